@@ -13,12 +13,23 @@ from pyspark.sql import functions as F
 from tripmill.operators.lookup import BroadcastBudget
 from tripmill.schemas import STATION_COLUMNS, TRIP_COLUMNS
 
+# The columns used here, with the types the files have.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+}
 # A station lookup row is four columns: an id, two short labels and a number.
 LOOKUP_ROW_BYTES = 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def padded(prefix: str, number: Column, suffix: str = "") -> Column:
@@ -79,14 +90,21 @@ def raw_trips(spark: SparkSession, sf_dir: str, resent: str | None = None) -> Da
     `resent` adds a second copy of every twentieth event: "later" an hour later with another user
     type, "exact" without any change.
     """
-    event, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    slots = station_slots(spark, sf_dir)
     started = F.col("ts").cast("timestamp")
     seconds = F.floor(F.col("value") * 60)
-    seconds = F.when(event % 41 == 0, -seconds).otherwise(seconds)
-    ended = F.timestamp_micros(F.unix_micros(started) + seconds * 1_000_000)
-    trips = table(spark, sf_dir, "events").select(
-        event.alias("event"),
+    signed = F.when(F.col("event_id") % 41 == 0, -seconds).otherwise(seconds)
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id"),
+        F.col("user_id"),
+        F.col("event_type"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        started.alias("started"),
+        iso(started).alias("created"),
+        F.timestamp_micros(F.unix_micros(started) + signed * 1_000_000).alias("ended"),
+        station_slots(spark, sf_dir).alias("slots"),
+    )
+    event, k, slots = F.col("event_id"), F.col("k"), F.col("slots")
+    trip = [
         F.when(event % 97 != 0, F.concat(F.lit("trip_"), event.cast("string"))).alias("trip_id"),
         padded("bk", k).alias("bike_id"),
         padded("user_", F.col("user_id")).alias("user_id"),
@@ -96,26 +114,24 @@ def raw_trips(spark: SparkSession, sf_dir: str, resent: str | None = None) -> Da
         F.when(k % 2 == 0, "Classic").otherwise("e-bike").alias("bike_type"),
         F.when(event % 89 != 0, padded("st", event * 7 % slots)).alias("start_station_id"),
         padded("st", (event * 7 + k % 5) % slots).alias("end_station_id"),
-        iso(started).alias("start_time"),
-        F.when(event % 53 != 0, iso(ended)).alias("end_time"),
-        iso(started).alias("event_created_at"),
-        started.alias("created"),
-    )
-    if resent is None:
-        return trips.select(*TRIP_COLUMNS)
-    later = resent == "later"
-    copies = F.when(F.col("event") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    is_copy = F.col("copy") == 1
-    changed = {
-        "user_type": F.when(is_copy, "MEMBER").otherwise(F.col("user_type")),
-        "event_created_at": F.when(
-            is_copy, iso(F.col("created") + F.expr("INTERVAL 1 HOUR"))
-        ).otherwise(F.col("event_created_at")),
-    }
-    sent = trips.withColumn("copy", F.explode(copies))
-    return (sent.withColumns(changed) if later else sent).select(*TRIP_COLUMNS)
+        F.col("created").alias("start_time"),
+        F.when(event % 53 != 0, iso(F.col("ended"))).alias("end_time"),
+        F.col("created").alias("event_created_at"),
+    ]
+    sent = F.array(F.struct(*trip))
+    if resent is not None:
+        later = {
+            "user_type": F.lit("MEMBER"),
+            "event_created_at": iso(F.col("started") + F.expr("INTERVAL 1 HOUR")),
+        }
+        changes = later if resent == "later" else {}
+        copy = [
+            changes[name].alias(name) if name in changes else column
+            for name, column in zip(TRIP_COLUMNS, trip)
+        ]
+        sent = F.when(event % 20 == 0, F.array(F.struct(*trip), F.struct(*copy))).otherwise(sent)
+    # Generated rows, like landed ones, are computed once and not again in pushed-down filters.
+    return events.select(F.inline(sent))
 
 
 def raw_trips_large(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +143,7 @@ def raw_trips_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     start = shipped + part % 24 * 3600
     end = start + F.col("l_quantity").cast("long") * 60
-    return lines.select(
+    trip = [
         F.concat_ws("-", F.lit("line"), "l_orderkey", "l_linenumber").alias("trip_id"),
         padded("bk", part).alias("bike_id"),
         padded("user_", F.col("o_custkey")).alias("user_id"),
@@ -138,4 +154,5 @@ def raw_trips_large(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso(F.timestamp_seconds(start)).alias("start_time"),
         iso(F.timestamp_seconds(end)).alias("end_time"),
         iso(F.timestamp_seconds(shipped)).alias("event_created_at"),
-    )
+    ]
+    return lines.select(F.inline(F.array(F.struct(*trip))))

@@ -157,14 +157,16 @@ def mart_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, target_of = SnapshotTable(f"{workdir}/refresh_log"), partitioned_marts(f"{workdir}/gold")
     for batch_id, load in enumerate((raw.filter(~second), raw.filter(second))):
         sink(load, batch_id)
-        refresh_touched_dates(spark, sink.fact, log, target_of)
+        refresh_touched_dates(spark, sink.fact, log, target_of, tags=("demand",))
     return target_of(marts.MARTS["mart_hourly_demand"]).read(spark)
 
 
 def build_marts_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts tagged `station`, built from the declared fact and counted."""
-    declare(spark, "fact_trip", enriched(spark, sf_dir))
-    target_of = snapshot_marts(new_workdir(spark, "build_marts_by_tag"))
+    workdir = new_workdir(spark, "build_marts_by_tag")
+    fact, target_of = SnapshotTable(f"{workdir}/fact_trip"), snapshot_marts(f"{workdir}/gold")
+    fact.replace(enriched(spark, sf_dir))
+    declare(spark, "fact_trip", fact.read(spark))
     build_marts(spark.table("fact_trip"), target_of, tags=("station",))
     counts = [
         target_of(mart).read(spark).agg(

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +22,18 @@ from tripmill.operators.survivors import keyed, keyless, latest_trip
 from tripmill.plans.fact_trip import enrich_trips
 from tripmill.schemas import FACT_TRIP, TRIP_COLUMNS, TRIP_JSON
 from tripmill.sources.files import CORRUPT
-from tripmill.sources.tables import ConnectorTable, PartitionedTable, rebalanced
+from tripmill.sources.tables import (
+    MAX_SLICES,
+    ConnectorTable,
+    PartitionedTable,
+    rebalanced,
+)
 
 log = logging.getLogger(__name__)
 
 LOAD_BATCH = "load_batch"
+# Size of a (trip id, date) pair in a hash table beyond the text of the id.
+KEY_OVERHEAD_BYTES = 64
 STREAM_ID_PROPERTY = "sql.streaming.queryId"
 
 
@@ -68,42 +76,69 @@ class TripSink:
 
     def _load(self, spark: SparkSession, raw: DataFrame, load_batch: str) -> None:
         trips = normalise_trips(raw)
-        rows, without_id, id_bytes = trips.agg(
-            F.count("*"),
-            F.count_if(F.col("trip_id").isNull()),
-            F.coalesce(F.sum(F.octet_length("trip_id") + 32), F.lit(0)),
-        ).first()
-        if rows == 0:
+        batch = BatchProfile.of(trips)
+        if batch.rows == 0:
             log.info("load %s is empty, nothing written", load_batch)
             return
         new = latest_trip(keyed(trips))
         if self.skip_known:
-            keys = keyed(trips).select("trip_id", "trip_date").distinct()
-            if id_bytes <= self.budget.limit_bytes:
-                keys = F.broadcast(keys)
-            new = self._unknown(spark, new, keys, load_batch)
+            new = self._unknown(spark, trips, new, batch, load_batch)
         facts = enrich_trips(new, self.stations(spark), self.budget, visits=trips)
         tagged = facts.withColumn(LOAD_BATCH, F.lit(load_batch))
         self.fact.replace_partitions(rebalanced(tagged, "trip_date"))
-        if without_id:
+        if batch.without_id:
             lost = keyless(raw).withColumn(LOAD_BATCH, F.lit(load_batch))
             self.quarantine.replace_partitions(lost)
-        log.info("load %s: %d rows, %d without a trip id", load_batch, rows, without_id)
+        log.info("load %s: %d rows, %d without trip id", load_batch, batch.rows, batch.without_id)
 
     def _unknown(
-        self, spark: SparkSession, trips: DataFrame, keys: DataFrame, load_batch: str
+        self,
+        spark: SparkSession,
+        trips: DataFrame,
+        new: DataFrame,
+        batch: BatchProfile,
+        load_batch: str,
     ) -> DataFrame:
-        """Trips whose id no other load has written for the same date.
+        """The rows of `new` whose id no other load has written for the same date.
 
-        The fact's ids are first reduced to those among `keys`, the ids of this batch. When those
-        are few enough to be broadcast, the fact's ids are scanned but not shuffled.
+        The fact's ids are first reduced to those of this batch. When those are few enough to be
+        broadcast, the fact's ids are scanned but not shuffled.
         """
-        written = self.fact.read_dates(spark, keys.select("trip_date").distinct())
+        keys = keyed(trips).select("trip_id", "trip_date").distinct()
+        if batch.dates is None:
+            written = self.fact.read_dates(spark, keys.select("trip_date").distinct())
+        else:
+            written = self.fact.read_slices(spark, batch.dates)
         if written is None:
-            return trips
+            return new
+        if batch.id_bytes <= self.budget.limit_bytes:
+            keys = F.broadcast(keys)
         others = written.filter(F.col(LOAD_BATCH) != load_batch).select("trip_id", "trip_date")
         known = _same_trip(others, keys, "left_semi")
-        return _same_trip(trips, known, "left_anti")
+        return _same_trip(new, known, "left_anti")
+
+
+@dataclass(frozen=True)
+class BatchProfile:
+    """Counts of a micro-batch, and its dates unless there are very many."""
+
+    rows: int
+    without_id: int
+    id_bytes: int
+    dates: list[date | None] | None
+
+    @classmethod
+    def of(cls, trips: DataFrame) -> BatchProfile:
+        counts = [
+            F.count("*"),
+            F.count_if(F.col("trip_id").isNull()),
+            F.coalesce(F.sum(F.octet_length("trip_id") + KEY_OVERHEAD_BYTES), F.lit(0)),
+        ]
+        per_date = trips.groupBy("trip_date").agg(*counts).limit(MAX_SLICES + 1).collect()
+        if len(per_date) > MAX_SLICES:
+            return cls(*trips.agg(*counts).first(), dates=None)
+        rows, without_id, id_bytes = (sum(line[i] for line in per_date) for i in (1, 2, 3))
+        return cls(rows, without_id, id_bytes, [line[0] for line in per_date])
 
 
 @dataclass(frozen=True)
