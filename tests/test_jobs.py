@@ -1,0 +1,63 @@
+"""The three commands one after the other, as they are submitted."""
+
+from __future__ import annotations
+
+import pytest
+
+from tests.helpers import STATION_HEADER, land, trip
+from tripmill.jobs import build_marts, load_stations, stream_trips
+
+ROWS = """\
+A,Alpha,49.1,-123.1,20,North,True,2020-05-01
+B,Beta,49.2,-123.2,30,South,True,2020-05-01
+"""
+
+
+@pytest.fixture
+def root(tmp_path):
+    (tmp_path / "stations.csv").write_text(f"{STATION_HEADER}\n{ROWS}")
+    land(tmp_path / "landing", "2024-05-01", "a", trip("1"), trip("2"), trip("2"), "{bad")
+    return tmp_path
+
+
+def test_directories(spark, root, capfd):
+    load_stations.main(
+        ["--station-path", f"{root}/stations.csv", "--dim-station", f"{root}/dim", "--preview", "2"]
+    )
+    stream = [
+        "--input-path", f"{root}/landing", "--checkpoint-path", f"{root}/checkpoint",
+        "--fact-trip", f"{root}/fact", "--quarantine", f"{root}/quarantine",
+        "--dim-station", f"{root}/dim", "--trigger-once", "--max-bytes", "1000000000", "--preview", "2",
+    ]
+    stream_trips.main(stream)
+    marts = ["--fact-trip", f"{root}/fact", "--gold-path", f"{root}/gold"]
+    build_marts.main([*marts, "--tag", "od", "--audit-path", f"{root}/audit"])
+    gold = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/gold/mart_station_od")
+    assert gold.agg({"trip_count": "sum"}).first()[0] == 2
+    assert spark.read.parquet(f"{root}/audit").count() == 3
+    land(root / "landing", "2024-05-01", "b", trip("3"))
+    stream_trips.main(stream)
+    build_marts.main([*marts[:3], f"{root}/live_gold", "--incremental"])
+    daily = spark.read.parquet(f"{root}/live_gold/mart_station_daily_activity")
+    assert daily.agg({"trip_starts": "sum"}).first()[0] == 3
+    assert "2 station rows read, 2 stations written" in capfd.readouterr().out
+
+
+def test_formats_with_options(spark, root):
+    def table(argument, name):
+        return [f"--{argument}", "format:orc", f"--{argument}-option", f"path={root}/{name}"]
+
+    load_stations.main(["--station-path", f"{root}/stations.csv", *table("dim-station", "dim")])
+    stream_trips.main([
+        "--input-path", f"{root}/landing", "--checkpoint-path", f"{root}/checkpoint",
+        *table("fact-trip", "fact"), *table("quarantine", "quarantine"),
+        *table("dim-station", "dim"), "--trigger-once",
+    ])
+    build_marts.main([*table("fact-trip", "fact"), "--gold-path", f"{root}/gold", "--tag", "hourly"])
+    assert spark.read.orc(f"{root}/fact").count() == 2
+    assert spark.read.orc(f"{root}/quarantine").count() == 1
+    with pytest.raises(SystemExit):
+        stream_trips.main([
+            "--input-path", "x", "--checkpoint-path", "x", "--fact-trip", "table:x",
+            "--quarantine", "x", "--dim-station", "x",
+        ])

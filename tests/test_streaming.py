@@ -196,12 +196,16 @@ def test_continuous_stream_picks_up_new_files(pipeline):
 
 
 def test_append_sink(spark, pipeline):
-    table = ConnectorTable(format="parquet", options={"path": str(pipeline.root / "appended")})
-    sink = AppendSink(table, pipeline.stations.read)
-    land(pipeline.landing, DAY, "a", trip("1"), trip("1"), trip(None))
+    fact, quarantine = (
+        ConnectorTable(format="parquet", options={"path": str(pipeline.root / name)})
+        for name in ("appended", "appended_quarantine")
+    )
+    sink = AppendSink(fact, quarantine, pipeline.stations.read)
+    land(pipeline.landing, DAY, "a", trip("1"), trip("1"), trip(None), "{bad")
     drain_trip_stream(spark, str(pipeline.landing), str(pipeline.root / "cp"), sink)
     sink(trips(spark, trip()).limit(0), 1)
-    assert [r.trip_id for r in table.read(spark).collect()] == ["1"]
+    assert [r.trip_id for r in fact.read(spark).collect()] == ["1"]
+    assert quarantine.read(spark).count() == 2
 
 
 def test_only_touched_dates_are_rewritten(spark, pipeline):

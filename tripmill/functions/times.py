@@ -15,7 +15,8 @@ def duration_minutes(start: Column, end: Column) -> Column:
     """Minutes between two instants, two decimals.
 
     Each instant loses its fraction before the subtraction, so the result counts the second
-    marks passed, not the elapsed time.
+    marks passed, not the elapsed time. A second is 5/3 hundredths of a minute, so no whole number
+    of seconds lies half-way between two hundredths and every way of rounding agrees.
     """
     seconds = F.unix_seconds(end) - F.unix_seconds(start)
-    return F.round(seconds / F.lit(60), 2)
+    return F.rint(seconds * 100 / F.lit(60)) / F.lit(100)

@@ -7,16 +7,17 @@ from collections.abc import Sequence
 
 from tripmill.jobs.arguments import add_table_argument, table_argument
 from tripmill.session import job_session
+from tripmill.sources.tables import ConnectorTable
 from tripmill.streaming.job import start_trip_stream
-from tripmill.streaming.sink import TripSink, fact_table, quarantine_table
+from tripmill.streaming.sink import AppendSink, TripSink, fact_table, quarantine_table
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input-path", required=True, help="landing directory of trip files")
     parser.add_argument("--checkpoint-path", required=True)
-    parser.add_argument("--fact-path", required=True, help="directory of the trip fact")
-    parser.add_argument("--quarantine-path", required=True, help="directory for rows without id")
+    add_table_argument(parser, "fact-trip", "trip fact: a directory, or a table to append to")
+    add_table_argument(parser, "quarantine", "rows without a trip id, in the same form")
     add_table_argument(parser, "dim-station", "station dimension to look up")
     parser.add_argument("--processing-time", default="30 seconds")
     parser.add_argument(
@@ -26,19 +27,28 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     limit = parser.add_mutually_exclusive_group()
     limit.add_argument("--max-files", type=int, default=1000, help="files per micro-batch")
-    limit.add_argument("--max-bytes", help="bytes per micro-batch, for example 200g")
+    limit.add_argument("--max-bytes", type=int, help="bytes per micro-batch")
     parser.add_argument(
         "--watermark-delay",
         help="de-duplicate within this delay in the stream instead of against the fact",
     )
+    parser.add_argument("--preview", type=int, default=0, help="rows to show after each batch")
     args = parser.parse_args(argv)
+    fact, quarantine = (table_argument(args, name) for name in ("fact-trip", "quarantine"))
+    stations = table_argument(args, "dim-station").read
+    if isinstance(fact, ConnectorTable) != isinstance(quarantine, ConnectorTable):
+        parser.error("--fact-trip and --quarantine must both be directories or both be tables")
     spark = job_session("stream-trips")
-    sink = TripSink(
-        fact_table(args.fact_path),
-        quarantine_table(args.quarantine_path),
-        table_argument(args, "dim-station").read,
-        skip_known=args.watermark_delay is None,
-    )
+    if isinstance(fact, ConnectorTable):
+        sink = AppendSink(fact, quarantine, stations)
+    else:
+        sink = TripSink(
+            fact_table(fact.path),
+            quarantine_table(quarantine.path),
+            stations,
+            skip_known=args.watermark_delay is None,
+            preview_rows=args.preview,
+        )
     start_trip_stream(
         spark,
         args.input_path,

@@ -51,7 +51,7 @@ def stream_trip_json(
     spark: SparkSession,
     path: str,
     max_files: int = 1000,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
     """The landing directory as a stream.

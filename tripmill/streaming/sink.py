@@ -62,6 +62,7 @@ class TripSink:
     budget: BroadcastBudget = BroadcastBudget()
     skip_known: bool = True
     stream_id: str | None = None
+    preview_rows: int = 0
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
@@ -90,6 +91,9 @@ class TripSink:
             lost = keyless(raw).withColumn(LOAD_BATCH, F.lit(load_batch))
             self.quarantine.replace_partitions(lost)
         log.info("load %s: %d rows, %d without trip id", load_batch, batch.rows, batch.without_id)
+        if self.preview_rows:
+            written = self.fact.read(spark).filter(F.col(LOAD_BATCH) == load_batch)
+            written.show(self.preview_rows, truncate=False)
 
     def _unknown(
         self,
@@ -143,18 +147,19 @@ class BatchProfile:
 
 @dataclass(frozen=True)
 class AppendSink:
-    """Sink for a table that can only be appended to, such as a warehouse connector.
+    """Sink for tables that can only be appended to, such as those of a warehouse connector.
 
-    De-duplicates inside the batch. A replayed batch appends again unless the table's own
-    connector prevents it; `TripSink` does not have this limit.
+    De-duplicates inside the batch. A replayed batch appends again unless the connector itself
+    prevents it; `TripSink` does not have this limit.
     """
 
     fact: ConnectorTable
+    quarantine: ConnectorTable
     stations: Callable[[SparkSession], DataFrame]
     budget: BroadcastBudget = BroadcastBudget()
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+        raw = with_corrupt(raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if raw.isEmpty():
                 log.info("batch %d is empty, nothing written", batch_id)
@@ -163,6 +168,9 @@ class AppendSink:
             stations = self.stations(raw.sparkSession)
             facts = enrich_trips(latest_trip(keyed(trips)), stations, self.budget, visits=trips)
             self.fact.append(facts)
+            lost = keyless(raw)
+            if not lost.isEmpty():
+                self.quarantine.append(lost)
         finally:
             raw.unpersist()
 
