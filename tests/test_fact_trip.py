@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
@@ -146,6 +147,9 @@ def test_shuffled_lookup_equals_broadcast(spark, dim):
     shuffled = enrich_trips(trips_, dim, SHUFFLED).select(*columns)
     assert broadcast.count() == shuffled.count() == n
     assert broadcast.exceptAll(shuffled).isEmpty() and shuffled.exceptAll(broadcast).isEmpty()
+    # Settled rows must be partitioned by their spread value, not all by the null key.
+    physical = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(_key#\w+, _spread#\w+", physical)) == 4
 
 
 def test_budget_measures_the_lookup(spark, dim):

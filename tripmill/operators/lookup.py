@@ -117,9 +117,11 @@ def _shuffled_role_join(
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
 
     hot_side = side.filter(is_hot).select(key, *[F.col(c).alias(f"_hot_{c}") for c in payload])
+    # Always 0, but not a literal: a constant key would be optimised out of the partitioning.
+    zero = F.col(key).isNull().cast("long")
     cold_side = side.filter(~is_hot).select(
         F.col(key).alias("_key"),
-        F.lit(0).cast("long").alias("_spread"),
+        zero.alias("_spread"),
         *[F.col(c).alias(f"_cold_{c}") for c in payload],
     )
     settled = F.col(key).isNull() | is_hot
