@@ -30,14 +30,16 @@ def test_directories(spark, root, capfd):
         "--dim-station", f"{root}/dim", "--trigger-once", "--max-bytes", "1000000000", "--preview", "2",
     ]
     stream_trips.main(stream)
-    marts = ["--fact-trip", f"{root}/fact", "--gold-path", f"{root}/gold"]
-    build_marts.main([*marts, "--tag", "od", "--audit-path", f"{root}/audit"])
+    marts = ["--fact-trip", f"{root}/fact", "--gold", f"{root}/gold"]
+    for _ in range(2):
+        build_marts.main([*marts, "--tag", "od", "--audit", f"{root}/audit", "--keep", "1"])
     gold = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/gold/mart_station_od")
     assert gold.agg({"trip_count": "sum"}).first()[0] == 2
-    assert spark.read.parquet(f"{root}/audit").count() == 3
+    assert spark.read.parquet(f"{root}/audit").count() == 6
     land(root / "landing", "2024-05-01", "b", trip("3"))
     stream_trips.main(stream)
-    build_marts.main([*marts[:3], f"{root}/live_gold", "--incremental"])
+    for _ in range(2):
+        build_marts.main([*marts[:3], f"{root}/live_gold", "--incremental"])
     daily = spark.read.parquet(f"{root}/live_gold/mart_station_daily_activity")
     assert daily.agg({"trip_starts": "sum"}).first()[0] == 3
     assert "2 station rows read, 2 stations written" in capfd.readouterr().out
@@ -53,7 +55,16 @@ def test_formats_with_options(spark, root):
         *table("fact-trip", "fact"), *table("quarantine", "quarantine"),
         *table("dim-station", "dim"), "--trigger-once",
     ])
-    build_marts.main([*table("fact-trip", "fact"), "--gold-path", f"{root}/gold", "--tag", "hourly"])
+    marts = [*table("fact-trip", "fact"), *table("gold", "gold/{mart}"), *table("audit", "audit")]
+    build_marts.main(marts)
+    assert spark.read.orc(f"{root}/gold/mart_station_daily_activity").count() == 2
+    assert spark.read.orc(f"{root}/audit").count() == 8
+    spark.sql(f"CREATE DATABASE gold_test LOCATION '{root}/gold_test'")
+    try:
+        build_marts.main([*table("fact-trip", "fact"), "--gold", "table:gold_test", "--tag", "od"])
+        assert spark.table("gold_test.mart_station_od").count() == 1
+    finally:
+        spark.sql("DROP DATABASE gold_test CASCADE")
     assert spark.read.orc(f"{root}/fact").count() == 2
     assert spark.read.orc(f"{root}/quarantine").count() == 1
     with pytest.raises(SystemExit):

@@ -5,9 +5,12 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from tripmill.jobs.arguments import add_table_argument, table_argument
+from tripmill.jobs.arguments import add_table_argument, parts, table_argument
+from tripmill.plans.marts import marts_tagged
 from tripmill.plans.refresh import (
     build_marts,
+    catalog_marts,
+    connector_marts,
     partitioned_marts,
     refresh_touched_dates,
     snapshot_marts,
@@ -17,36 +20,54 @@ from tripmill.sources.tables import ConnectorTable, SnapshotTable, declare
 from tripmill.streaming.sink import fact_table
 
 
+def gold_targets(args: argparse.Namespace):
+    kind, text, options = parts(args, "gold")
+    if kind == "table":
+        return catalog_marts(text)
+    if kind == "format":
+        return connector_marts(text, options)
+    return snapshot_marts(text)
+
+
+def audit_table(args: argparse.Namespace) -> ConnectorTable | None:
+    if args.audit is None:
+        return None
+    table = table_argument(args, "audit")
+    if isinstance(table, SnapshotTable):
+        return ConnectorTable(format="parquet", options={"path": table.path})
+    return table
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    add_table_argument(parser, "fact-trip", "directory of the trip fact, or another table form")
-    parser.add_argument("--gold-path", required=True, help="directory that holds the marts")
+    add_table_argument(parser, "fact-trip", "trip fact to read")
+    add_table_argument(
+        parser, "gold", "where the marts go: a directory, table:<schema>, or format:<data source>"
+    )
+    add_table_argument(parser, "audit", "table to append audit lines to", required=False)
     parser.add_argument("--tag", action="append", help="marts to build; default gold")
-    parser.add_argument("--audit-path", help="directory to append audit lines to")
     parser.add_argument(
         "--incremental", action="store_true", help="only dates loaded since the last such run"
     )
+    parser.add_argument("--keep", type=int, help="published versions to keep of each mart")
     args = parser.parse_args(argv)
-    spark = job_session("build-marts")
     tags = args.tag or ["gold"]
-    source = table_argument(args, "fact-trip")
-    if args.incremental:
-        if isinstance(source, ConnectorTable):
-            parser.error("--incremental needs the fact as a directory")
-        log = SnapshotTable(f"{args.gold_path}/_refresh_log")
-        target_of = partitioned_marts(args.gold_path)
-        refresh_touched_dates(spark, fact_table(source.path), log, target_of, tags)
-        return
+    source, gold_kind = table_argument(args, "fact-trip"), parts(args, "gold")[0]
+    if args.incremental and (isinstance(source, ConnectorTable) or gold_kind != "path"):
+        parser.error("--incremental needs the fact and the marts as directories")
+    spark = job_session("build-marts")
     if isinstance(source, SnapshotTable):
         source = fact_table(source.path)
+    if args.incremental:
+        log = SnapshotTable(f"{args.gold}/_refresh_log")
+        refresh_touched_dates(spark, source, log, partitioned_marts(args.gold), tags)
+        return
     declare(spark, "fact_trip", source.read(spark))
-    audit_target = None
-    if args.audit_path:
-        audit_target = ConnectorTable(format="parquet", options={"path": args.audit_path})
-    audit = build_marts(
-        spark.table("fact_trip"), snapshot_marts(args.gold_path), tags, audit_target
-    )
-    audit.show(truncate=False)
+    target_of = gold_targets(args)
+    build_marts(spark.table("fact_trip"), target_of, tags, audit_table(args)).show(truncate=False)
+    if args.keep and gold_kind == "path":
+        for mart in marts_tagged(tags):
+            target_of(mart).keep_newest(spark, args.keep)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,20 @@ def snapshot_marts(root: str) -> Callable[[Mart], SnapshotTable]:
     return lambda mart: SnapshotTable(f"{root}/{mart.name}", MART_PARTITION)
 
 
+def catalog_marts(schema: str) -> Callable[[Mart], ConnectorTable]:
+    return lambda mart: ConnectorTable(f"{schema}.{mart.name}", partition_by=MART_PARTITION)
+
+
+def connector_marts(source: str, options: Mapping[str, str]) -> Callable[[Mart], ConnectorTable]:
+    """Marts behind a data source; `{mart}` in an option stands for the mart's name."""
+
+    def target(mart: Mart) -> ConnectorTable:
+        named = {key: text.replace("{mart}", mart.name) for key, text in options.items()}
+        return ConnectorTable(format=source, options=named)
+
+    return target
+
+
 def partitioned_marts(root: str) -> Callable[[Mart], PartitionedTable]:
     return lambda mart: PartitionedTable(f"{root}/{mart.name}", mart.schema, MART_PARTITION)
 
@@ -92,4 +106,5 @@ def refresh_touched_dates(
             table = rebalanced(mart.build(touched), *MART_PARTITION)
             target_of(mart).replace_partitions(table)
     log.publish(spark, version)
+    log.keep_newest(spark, 2)
     return None if touched is None else dates

@@ -58,11 +58,21 @@ class SnapshotTable:
             check()
         self.publish(df.sparkSession, version)
 
-    def current(self, spark: SparkSession) -> str | None:
-        """Path of the newest published version."""
+    def published(self, spark: SparkSession) -> list[str]:
+        """Paths of the published versions, oldest first."""
         fs, marks = _hadoop_path(spark, f"{self.path}/version=*/{PUBLISHED}")
         found = fs.globStatus(marks) or []
-        return max((mark.getPath().getParent().toString() for mark in found), default=None)
+        return sorted(mark.getPath().getParent().toString() for mark in found)
+
+    def current(self, spark: SparkSession) -> str | None:
+        """Path of the newest published version."""
+        return max(self.published(spark), default=None)
+
+    def keep_newest(self, spark: SparkSession, count: int) -> None:
+        """Delete published versions beyond the newest `count`; running readers may hold one."""
+        for version in self.published(spark)[: -max(count, 1)]:
+            fs, old = _hadoop_path(spark, version)
+            fs.delete(old, True)
 
     def read(self, spark: SparkSession) -> DataFrame:
         version = self.current(spark)
