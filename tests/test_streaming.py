@@ -123,6 +123,15 @@ def test_many_dates_in_one_batch(spark, pipeline, monkeypatch):
     assert pipeline.fact.count() == 4
 
 
+@pytest.mark.parametrize(("match_dates", "expected"), [(True, 2), (False, 1)])
+def test_a_resent_trip_that_changes_its_date(spark, tmp_path, match_dates, expected):
+    pipeline = Pipeline(spark, tmp_path, stream_id="s", match_dates=match_dates)
+    for batch_id, day in enumerate((1, 2)):
+        start, end = (f"2024-05-0{day}T10:{minute}:00+00:00" for minute in ("00", "30"))
+        pipeline.sink(trips(spark, trip("1", start_time=start, end_time=end)), batch_id)
+    assert pipeline.fact.count() == expected
+
+
 def test_late_events_are_kept_however_late(pipeline):
     land(pipeline.landing, DAY, "a", trip("1"))
     pipeline.drain()

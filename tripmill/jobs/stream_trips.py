@@ -32,6 +32,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         "--watermark-delay",
         help="de-duplicate within this delay in the stream instead of against the fact",
     )
+    parser.add_argument(
+        "--match-any-date",
+        action="store_true",
+        help="look up known trip ids in the whole fact, for re-sent trips that change their date",
+    )
     parser.add_argument("--preview", type=int, default=0, help="rows to show after each batch")
     args = parser.parse_args(argv)
     fact, quarantine = (table_argument(args, name) for name in ("fact-trip", "quarantine"))
@@ -47,6 +52,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             quarantine_table(quarantine.path),
             stations,
             skip_known=args.watermark_delay is None,
+            match_dates=not args.match_any_date,
             preview_rows=args.preview,
         )
     start_trip_stream(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.text import category, identifier, label
 from tripmill.functions.times import duration_minutes, instant
+from tripmill.session import pin_utc
 
 def file_name_of(df: DataFrame) -> Column:
     """Source file of each row; null when the rows do not come from a tripmill file reader."""
@@ -42,7 +43,11 @@ def station_reject_reason() -> Column:
 
 
 def normalise_trips(raw: DataFrame) -> DataFrame:
-    """Normalised identifiers and categories, parsed instants and the columns derived from them."""
+    """Normalised identifiers and categories, parsed instants and the columns derived from them.
+
+    Dates and hours are UTC, so the session's time zone is pinned before they are resolved.
+    """
+    pin_utc(raw.sparkSession)
     parsed = raw.select(
         identifier("trip_id"),
         identifier("bike_id"),

@@ -33,7 +33,10 @@ def read_trip_json(
     ingest_from: str | None = None,
     ingest_to: str | None = None,
 ) -> DataFrame:
-    """Landed trip events; the optional bounds (inclusive dates) prune landing directories."""
+    """Landed trip events; the optional bounds (inclusive dates) prune landing directories.
+
+    With bounds, `path` must be the root of the landing, which holds the date directories.
+    """
     landed = (
         spark.read.schema(f"{TRIP_JSON}, {CORRUPT} STRING, ingest_date DATE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -52,7 +52,9 @@ class TripSink:
     """`foreachBatch` function that turns raw trip rows into fact rows.
 
     `stations` opens the dimension; it is called for every batch, so a refreshed dimension takes
-    effect with the next batch. `stream_id` separates the batches of streams that share the
+    effect with the next batch. Known trip ids are looked up under the dates of the batch, which
+    assumes that a re-sent trip keeps its start date; with `match_dates=False` they are looked up
+    in the whole fact, which scans every written id for each batch. `stream_id` separates the batches of streams that share the
     tables; by default it is the id Spark keeps in the stream's checkpoint.
     """
 
@@ -61,6 +63,7 @@ class TripSink:
     stations: Callable[[SparkSession], DataFrame]
     budget: BroadcastBudget = BroadcastBudget()
     skip_known: bool = True
+    match_dates: bool = True
     stream_id: str | None = None
     preview_rows: int = 0
 
@@ -108,8 +111,11 @@ class TripSink:
         The fact's ids are first reduced to those of this batch. When those are few enough to be
         broadcast, the fact's ids are scanned but not shuffled.
         """
-        keys = keyed(trips).select("trip_id", "trip_date").distinct()
-        if batch.dates is None:
+        key = ["trip_id", "trip_date"] if self.match_dates else ["trip_id"]
+        keys = keyed(trips).select(*key).distinct()
+        if not self.match_dates:
+            written = self.fact.read(spark)
+        elif batch.dates is None:
             written = self.fact.read_dates(spark, keys.select("trip_date").distinct())
         else:
             written = self.fact.read_slices(spark, batch.dates)
@@ -117,9 +123,9 @@ class TripSink:
             return new
         if batch.id_bytes <= self.budget.limit_bytes:
             keys = F.broadcast(keys)
-        others = written.filter(F.col(LOAD_BATCH) != load_batch).select("trip_id", "trip_date")
-        known = _same_trip(others, keys, "left_semi")
-        return _same_trip(new, known, "left_anti")
+        others = written.filter(F.col(LOAD_BATCH) != load_batch).select(*key)
+        known = _same_trip(others, keys, key, "left_semi")
+        return _same_trip(new, known, key, "left_anti")
 
 
 @dataclass(frozen=True)
@@ -192,9 +198,10 @@ def with_corrupt(raw: DataFrame) -> DataFrame:
     return raw.select(*TRIP_COLUMNS, *extras)
 
 
-def _same_trip(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+def _same_trip(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Join on the trip id, which is never null here, and on the date if it is in the key."""
     left, right = left.alias("l"), right.alias("r")
-    on = (F.col("l.trip_id") == F.col("r.trip_id")) & F.col("l.trip_date").eqNullSafe(
-        F.col("r.trip_date")
-    )
+    on = [F.col("l.trip_id") == F.col("r.trip_id")]
+    if "trip_date" in key:
+        on.append(F.col("l.trip_date").eqNullSafe(F.col("r.trip_date")))
     return left.join(right, on, how)
