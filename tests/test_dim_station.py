@@ -22,8 +22,9 @@ GOOD = "st1, Alpha ,49.1,-123.1,20, North ,True,2020-05-01"
 
 def test_normalised_keyed_and_rejected(spark):
     raw = stations(
-        spark, (" st1 ", " Alpha ", " North ", True), ("   ", "x", "y", True), (None, "x", "y", True)
-    )
+        spark, (" st1 ", " Alpha ", " North ", True), ("   ", "x", "y", True),
+        (None, "x", "y", True),
+    )
     (row,) = build_dim_station(raw).collect()
     assert (row.station_id, row.station_name, row.neighbourhood) == ("ST1", "Alpha", "North")
     assert row.station_key == hashlib.sha256(b"ST1").hexdigest()

@@ -22,12 +22,14 @@ def root(tmp_path):
 
 def test_directories(spark, root, capfd):
     load_stations.main(
-        ["--station-path", f"{root}/stations.csv", "--dim-station", f"{root}/dim", "--preview", "2"]
-    )
+        ["--station-path", f"{root}/stations.csv", "--dim-station", f"{root}/dim",
+         "--preview", "2"]
+    )
     stream = [
         "--input-path", f"{root}/landing", "--checkpoint-path", f"{root}/checkpoint",
         "--fact-trip", f"{root}/fact", "--quarantine", f"{root}/quarantine",
-        "--dim-station", f"{root}/dim", "--trigger-once", "--max-bytes", "1000000000", "--preview", "2",
+        "--dim-station", f"{root}/dim", "--trigger-once",
+        "--max-bytes", "1000000000", "--preview", "2",
     ]
     stream_trips.main(stream)
     marts = ["--fact-trip", f"{root}/fact", "--gold", f"{root}/gold"]

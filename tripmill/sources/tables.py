@@ -83,7 +83,7 @@ class SnapshotTable:
 
 @dataclass(frozen=True)
 class PartitionedTable:
-    """A table refreshed partition by partition: a write replaces exactly the partitions it holds."""
+    """A table refreshed by partition: a write replaces exactly the partitions it has rows for."""
 
     path: str
     schema: str
@@ -121,7 +121,7 @@ class PartitionedTable:
         return table.join(wanted, F.col(head).eqNullSafe(F.col("_date")), "left_semi")
 
     def read_slices(self, spark: SparkSession, values: Iterable[object]) -> DataFrame | None:
-        """The partitions under the given values of the first partition column; None if there are none.
+        """The partitions under the given values of the first partition column, None without any.
 
         Lists just those directories, so the listing does not grow with the table.
         """

@@ -54,8 +54,9 @@ class TripSink:
     `stations` opens the dimension; it is called for every batch, so a refreshed dimension takes
     effect with the next batch. Known trip ids are looked up under the dates of the batch, which
     assumes that a re-sent trip keeps its start date; with `match_dates=False` they are looked up
-    in the whole fact, which scans every written id for each batch. `stream_id` separates the batches of streams that share the
-    tables; by default it is the id Spark keeps in the stream's checkpoint.
+    in the whole fact, which scans every written id for each batch. `stream_id` separates the
+    batches of streams that share the tables; by default it is the id Spark keeps in the stream's
+    checkpoint.
     """
 
     fact: PartitionedTable
@@ -121,11 +122,12 @@ class TripSink:
             written = self.fact.read_slices(spark, batch.dates)
         if written is None:
             return new
-        if batch.id_bytes <= self.budget.limit_bytes:
-            keys = F.broadcast(keys)
+        small = batch.id_bytes <= self.budget.limit_bytes
         others = written.filter(F.col(LOAD_BATCH) != load_batch).select(*key)
-        known = _same_trip(others, keys, key, "left_semi")
-        return _same_trip(new, known, key, "left_anti")
+        repeated = _same_trip(others, F.broadcast(keys) if small else keys, key, "left_semi")
+        # Distinct keys of this batch again, so no larger than `keys`.
+        known = repeated.distinct()
+        return _same_trip(new, F.broadcast(known) if small else known, key, "left_anti")
 
 
 @dataclass(frozen=True)
