@@ -41,7 +41,10 @@ def test_directories(spark, root, capfd):
     land(root / "landing", "2024-05-01", "b", trip("3"))
     stream_trips.main(stream)
     for _ in range(2):
-        build_marts.main([*marts[:3], f"{root}/live_gold", "--incremental"])
+        build_marts.main(
+            [*marts[:3], f"{root}/live_gold", "--incremental", "--audit", f"{root}/live_audit"]
+        )
+    assert spark.read.parquet(f"{root}/live_audit").count() == 8
     daily = spark.read.parquet(f"{root}/live_gold/mart_station_daily_activity")
     assert daily.agg({"trip_starts": "sum"}).first()[0] == 3
     assert "2 station rows read, 2 stations written" in capfd.readouterr().out

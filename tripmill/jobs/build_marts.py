@@ -60,7 +60,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         source = fact_table(source.path)
     if args.incremental:
         log = SnapshotTable(f"{args.gold}/_refresh_log")
-        refresh_touched_dates(spark, source, log, partitioned_marts(args.gold), tags)
+        target_of = partitioned_marts(args.gold)
+        refresh_touched_dates(spark, source, log, target_of, tags, audit_table(args))
         return
     declare(spark, "fact_trip", source.read(spark))
     target_of = gold_targets(args)

@@ -70,23 +70,29 @@ def build_marts(
     lines = [audit_mart(mart, target_of(mart).read(spark)) for mart in marts]
     audit = reduce(DataFrame.unionByName, lines)
     if audit_target is not None:
-        audit_target.append(audit.withColumn("run_dt", F.current_timestamp()))
+        store_audit(audit, audit_target)
     return audit
 
 
+def store_audit(lines: DataFrame, target: ConnectorTable) -> None:
+    target.append(lines.withColumn("run_dt", F.current_timestamp()))
+
+
 def refresh_touched_dates(
     spark: SparkSession,
     fact: PartitionedTable,
     log: SnapshotTable,
     target_of: Callable[[Mart], PartitionedTable],
     tags: Iterable[str] = ("gold",),
+    audit_target: ConnectorTable | None = None,
 ) -> DataFrame | None:
     """Recompute only the dates that received a load since the last refresh.
 
     Distinct counts do not add up, so the unit is a whole date. `log` holds every (date, load)
     pair the marts have seen; the new list becomes visible only after the marts are written, so a
     failed refresh repeats its dates and a load that lands meanwhile is taken by the next one.
-    Returns the refreshed dates, or None when nothing is new.
+    The refreshed dates are audited when an `audit_target` is given. Returns them, or None when
+    nothing is new.
     """
     loads = fact.read(spark).select("trip_date", "load_batch").distinct()
     seen = log.current(spark)
@@ -103,8 +109,11 @@ def refresh_touched_dates(
     touched = fact.read_dates(spark, dates)
     if touched is not None:
         for mart in marts_tagged(tags):
-            table = rebalanced(mart.build(touched), *MART_PARTITION)
-            target_of(mart).replace_partitions(table)
+            target = target_of(mart)
+            target.replace_partitions(rebalanced(mart.build(touched), *MART_PARTITION))
+            written = target.read_dates(spark, dates) if audit_target else None
+            if written is not None:
+                store_audit(audit_mart(mart, written), audit_target)
     log.publish(spark, version)
     log.keep_newest(spark, 2)
     return None if touched is None else dates

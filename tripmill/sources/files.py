@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.schemas import STATION_COLUMNS, STATION_CSV, TRIP_COLUMNS, TRIP_JSON
+from tripmill.sources.tables import rebalanced
 
 CORRUPT = "_corrupt_record"
 LANDED_FILES = "*.json*"
@@ -88,4 +89,4 @@ def land_trips(trips: DataFrame, path: str) -> None:
     dated = trips.select(
         *TRIP_COLUMNS, F.to_date(F.substring("event_created_at", 1, 10)).alias("ingest_date")
     )
-    dated.write.mode("append").partitionBy("ingest_date").json(path)
+    rebalanced(dated, "ingest_date").write.mode("append").partitionBy("ingest_date").json(path)
