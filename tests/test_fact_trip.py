@@ -97,6 +97,13 @@ def test_station_without_a_name_is_no_hit(spark):
     assert row.start_neighbourhood == "n" and row.is_valid_start_station is False
 
 
+@pytest.mark.parametrize("budget", [BroadcastBudget(), SHUFFLED])
+def test_a_dimension_with_repeated_ids_does_not_multiply_trips(spark, dim, budget):
+    facts = fact(spark, dim.unionByName(dim), trip("1"), trip("2"), budget=budget)
+    assert by_id(facts, "start_station_name") == {"1": "Alpha", "2": "Alpha"}
+    assert facts.count() == 2
+
+
 def test_empty_trip_id_is_accepted_but_reported(spark, dim):
     facts = fact(spark, dim, trip(" "), trip("x", bike_id=None, end_time=None))
     assert by_id(facts, "is_valid_trip") == {"": True, "X": False}

@@ -10,7 +10,7 @@ import __spark_entry__ as registry
 from tests.helpers import trip, trips, two_stations
 from tests.oracle import connect, rows_of_spark, rows_of_sql
 from tripmill import fixtures
-from tripmill.operators.lookup import BroadcastBudget
+from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, payload_bytes
 from tripmill.plans import marts, questions
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
@@ -49,6 +49,11 @@ def test_copies_are_limited_before_the_exchange(spark, data_dir, name):
     ]
 
 
+def test_the_bound_of_the_lookup_size_holds(spark, data_dir):
+    lookup = active_station_lookup(build_dim_station(fixtures.raw_stations(spark, data_dir)))
+    assert payload_bytes(lookup) <= fixtures.station_budget(spark, data_dir).known_bytes
+
+
 def scans(df) -> list[str]:
     return [line for line in plan_of(df).splitlines() if "FileScan" in line]
 

@@ -16,6 +16,8 @@ STATION_PRECEDENCE = [
     "latitude", "longitude", "is_active", "file_name",
 ]
 
+LOOKUP_PRECEDENCE = ["station_name", "neighbourhood", "capacity"]
+
 # Latest version of the event wins; the other columns make the order total.
 TRIP_PRECEDENCE = [
     "event_created_at", "start_time", "end_time", "bike_id", "user_id", "user_type",
@@ -41,6 +43,11 @@ def surviving_station(stations: DataFrame) -> DataFrame:
     return pick_survivor(stations, STATION_KEY, greatest_first(STATION_PRECEDENCE))
 
 
+def one_per_station(lookup: DataFrame) -> DataFrame:
+    """A lookup that cannot multiply trips, whatever wrote the dimension."""
+    return pick_survivor(lookup, STATION_KEY, greatest_first(LOOKUP_PRECEDENCE))
+
+
 def latest_trip(trips: DataFrame) -> DataFrame:
     """One row per trip id. Rows without a trip id must have been set aside before."""
     return pick_survivor(trips, TRIP_KEY, greatest_first(TRIP_PRECEDENCE))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, join_stations
-from tripmill.operators.survivors import keyed, latest_trip
+from tripmill.operators.survivors import keyed, latest_trip, one_per_station
 from tripmill.operators.validity import flag_validity
 from tripmill.schemas import FACT_TRIP_COLUMNS
 
@@ -19,7 +19,8 @@ def enrich_trips(
     visits: DataFrame | None = None,
 ) -> DataFrame:
     """Normalised trips to fact rows: both station roles, the validity flags, the load time."""
-    joined = join_stations(trips, active_station_lookup(stations), budget, visits)
+    lookup = one_per_station(active_station_lookup(stations))
+    joined = join_stations(trips, lookup, budget, visits)
     return (
         flag_validity(joined)
         .withColumn("load_dt", F.current_timestamp())

@@ -9,7 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def new_workdir(spark: SparkSession, purpose: str) -> str:
-    """A new path below the cluster's checkpoint folder; machine-local only in local mode."""
+    """A new path below the cluster's checkpoint folder; machine-local only in local mode.
+
+    Results are read from it lazily, so it is the caller's to delete.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
