@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import map_batches, row_groups, without
+from tripmill.llm.common import map_batches, paused_collector, row_groups, without
 
 NO_RANK = np.int32(2**31 - 1)
 EMPTY = np.uint64(2**64 - 1)
@@ -262,7 +262,8 @@ def encode(
         codec = _codec(ranks.value, pattern)
         for batch in batches:
             for group in row_groups(batch, column):
-                ids = codec.encode_all(group.column(column).to_pylist())
+                with paused_collector():
+                    ids = codec.encode_all(group.column(column).to_pylist())
                 columns = [group.column(c) for c in kept]
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(

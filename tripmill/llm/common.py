@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,6 +23,16 @@ from tripmill.sources.workdir import new_workdir
 GROUP_CHARS = 1 << 21
 
 
+@contextmanager
+def paused_collector() -> Iterator[None]:
+    """Holds back the cycle collector while very many small objects without cycles are made."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 _shipped: set[str] = set()
 
 

@@ -8,13 +8,52 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bytebpe, simhash
+from tripmill.llm import bytebpe, langid, linededup, mixing, simhash, tokenfile
 from tripmill.llm.common import table
+from tripmill.sources.workdir import new_workdir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 1
 NEAR_SHINGLE, NEAR_BITS = 3, 3
+# A line on so many sites is boilerplate.
+BOILERPLATE_SITES = 4
+# Share of the greatest entropy that the mixture is to reach, and the most passes over a source.
+MIX_ENTROPY, MIX_REPEATS = 0.95, 2.0
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs), keep_text=False)
+    return found.select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = linededup.without_spread_lines(docs, BOILERPLATE_SITES)
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        "n_chars",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS)
+    return mixed.select("doc_id", "source", "n_chars", "mix_weight", "mix_epoch", "mix_order")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_workdir(spark, "op6_token_files")
+    tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, WORD_BPE, END_ID)
+    return tokenfile.with_crc32(tokenfile.read_token_files(spark, path))
 
 
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +76,42 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
+    "op4_source_mixing": op4_source_mixing,
+    "op6_token_files": op6_token_files,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+LINES_SQL = f"""
+with raw as (
+    select doc_id, source, unnest(string_split(text, chr(10))) as line,
+        generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from documents
+), lines as (
+    select doc_id, source, pos, line,
+        trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as stripped
+    from raw
+), spread as (
+    select stripped from lines where stripped <> ''
+    group by stripped
+    having count(distinct coalesce('=' || source, '')) >= {BOILERPLATE_SITES}
+), marked as (
+    select l.*, s.stripped is not null and row_number() over (
+        partition by l.stripped order by l.doc_id nulls last, l.pos) > 1 as gone
+    from lines l left join spread s on l.stripped = s.stripped
+), cleaned as (
+    select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_removed,
+        coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '') as text
+    from marked group by doc_id
+)
+select d.doc_id,
+    cast(coalesce(c.n_lines, 0) as integer) as n_lines,
+    cast(coalesce(c.n_removed, 0) as integer) as n_removed,
+    length(c.text) as n_chars,
+    sha256(c.text) as text_sha256
+from documents d left join cleaned c on d.doc_id = c.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINES_SQL}
