@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bytebpe, langid, linededup, mixing, simhash, tokenfile
+from tripmill.llm import (
+    bytebpe,
+    collisions,
+    langid,
+    linededup,
+    mixing,
+    pivotsearch,
+    simhash,
+    tokenfile,
+)
 from tripmill.llm.common import table
 from tripmill.sources.workdir import new_workdir
 
@@ -56,6 +65,16 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.with_crc32(tokenfile.read_token_files(spark, path))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivotsearch.top_products(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return collisions.nearest_cosines(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = simhash.near_duplicates(docs, NEAR_SHINGLE, NEAR_BITS)
@@ -80,8 +99,10 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op6_token_files": op6_token_files,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 LINES_SQL = f"""
@@ -114,4 +135,21 @@ select d.doc_id,
 from documents d left join cleaned c on d.doc_id = c.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINES_SQL}
+PRODUCTS_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as vector
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id,
+        list_dot_product(q.vector, c.vector) as score
+    from whole q join whole c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+    from scored)
+where rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINES_SQL, "op7_exact_top_k": PRODUCTS_SQL}
