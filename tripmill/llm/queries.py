@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tripmill.llm import (
     bytebpe,
     collisions,
+    htmltext,
     langid,
     linededup,
     mixing,
+    pii,
     pivotsearch,
     simhash,
     tokenfile,
@@ -53,12 +55,26 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS)
     return mixed.select("doc_id", "source", "n_chars", "mix_weight", "mix_epoch", "mix_order")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_workdir(spark, "op6_token_files")
     tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, WORD_BPE, END_ID)
@@ -97,7 +113,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_text": op3_html_text,
     "op4_source_mixing": op4_source_mixing,
+    "op5_personal_data": op5_personal_data,
     "op6_token_files": op6_token_files,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
