@@ -35,7 +35,8 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     `lines` has `line`, `site` (a null site counts as one site) and `place`, which orders the
     occurrences.
     """
-    site = F.coalesce(F.concat(F.lit("="), "site"), F.lit(""))
+    # Sketches ignore empty texts, so no site is one.
+    site = F.coalesce(F.concat(F.lit("="), "site"), F.lit("none"))
     sketched = lines.groupBy("line").agg(
         F.hll_sketch_agg(site, F.lit(SKETCH_BITS)).alias("sketch"), F.min("place").alias("first")
     )
