@@ -29,8 +29,8 @@ class Settings:
     directions: int = 96
     threshold: float = 0.8
     verified: float = 0.25
-    first_width: float = 0.7
-    widening: float = 1.15
+    first_width: float = 1.25
+    widening: float = 1.07
     seed: int = 5
 
 
