@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import re
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm.helpers import documents, empty, odd_documents, rows_of, with_clashing
+from tripmill.llm import pii, queries
+
+PLAIN = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def plain_spans(text):
+    def fine(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == 1:
+            return all(int(part) <= 255 for part in found.split("."))
+        if kind == 2:
+            total = 0
+            for place, digit in enumerate(reversed(digits)):
+                value = int(digit) * (1 + place % 2)
+                total += value - 9 if value > 9 else value
+            return 16 <= len(digits) <= 19 and total % 10 == 0
+        return kind == 0 or 8 <= len(digits) <= 15
+
+    return [
+        (kind, *match.span())
+        for kind, pattern in enumerate(PLAIN)
+        for match in re.finditer(pattern, text)
+        if fine(kind, match.group())
+    ]
+
+
+PIECES = st.sampled_from(
+    ["a", "é", "@", ".", "-", "+", " ", "(", ")", "1", "25", "0", "255", "4111111111111111", "b.c",
+     "x@y.zz", "1.2.3.4", "+1 555"]
+)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(PIECES, max_size=25).map("".join))
+def test_formats_against_plain_patterns(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+def test_query_against_plain_patterns(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text")
+    texts = dict(docs.collect())
+    got = queries.op5_personal_data(spark, data_dir).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        base = plain_spans(texts[row["doc_id"]] or "")
+        names = [f"{pii.KINDS[kind]}:{start}:{end}" for kind, start, end in base]
+        assert row["base_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert set(names) <= set(row["spans"].split(",")) or not names
+        counts = [sum(kind == k for kind, _, _ in base) for k in range(4)]
+        assert [row[f"n_{kind}"] for kind in pii.KINDS] == counts
+
+
+def test_learns_contexts(spark):
+    seeds = [(i, f"please call phone: +1 555 {i:03d} 4567 today", "en", "a") for i in range(8)]
+    others = [
+        (100, "office phone: 555-867-5309 (work)", "en", "a"),
+        (101, "order number 555-867-5308 shipped", "en", "a"),
+        (102, "please call phone: tomorrow", "en", "a"),
+    ]
+    found = pii.personal_data(documents(spark, seeds + others)).collect()
+    added = {row["doc_id"]: row["added"] for row in found}
+    text = others[0][1]
+    assert [text[s["start"] : s["end"]] for s in added[100]] == ["555-867-5309"]
+    assert not any(added[i] for i in (*range(8), 101, 102))
+
+
+def test_votes_reach_patterns_without_seeds(spark):
+    """Known words vote for a second context, which finds another word."""
+    rows = [(i, f"my phone: +1 555 {i:03d} 4567 end", "en", "a") for i in range(6)]
+    rows += [(10 + i, f"my phone: 555-000-{i:04d} end", "en", "a") for i in range(1)]
+    rows += [(20 + i, f"dial now= +1 555 {i:03d} 4567 end", "en", "a") for i in range(6)]
+    rows += [(30, "dial now= 777-123-4567 end", "en", "a")]
+    added = {row["doc_id"]: row["added"] for row in pii.personal_data(documents(spark, rows)).collect()}
+    assert len(added[10]) == len(added[30]) == 1
+
+
+def test_odd_rows(spark):
+    docs = with_clashing(odd_documents(spark))
+    rows = pii.personal_data(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(row["base"] == [] and row["added"] == [] for row in rows)
+
+
+def test_empty_table(spark):
+    assert rows_of(pii.personal_data(empty(spark))) == []
+
+
+def test_hostile_texts_take_linear_time():
+    began = time.process_time()
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" * 100_000, "a@" * 100_000):
+        pii.base_spans(text)
+        pii.occurrences(text, [])
+    assert time.process_time() - began < 20
