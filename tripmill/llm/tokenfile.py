@@ -11,7 +11,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, compress
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,8 @@ FILE_OPTIONS = {
     "parquet.enable.dictionary#part_start": "false",
     "parquet.enable.dictionary#n_tokens": "false",
 }
-# Words, and parts of words, whose ids a worker remembers; reaching it only costs time.
-REMEMBERED = 500_000
+# Words whose ids a worker remembers; reaching it only costs time.
+REMEMBERED = 700_000
 # Words, and parts of words, that the library gets at once.
 AT_ONCE = 500
 # Bytes of text whose words are numbered together.
@@ -45,6 +45,8 @@ AT_A_TIME = 4 << 20
 # The tokenizer's own pattern; words of Latin-1 characters are cut by it before they are looked up.
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 LAST_LATIN = "\xff"
+# A single mark after a letter is a part of its own; this sets it apart from the word.
+STOP, APART = r"([a-z])([.,;:!?])(\s|$)", r"\1 \2\3"
 
 
 class WordTokenizer:
@@ -57,31 +59,42 @@ class WordTokenizer:
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
+        # For parts that are cut and in lower case already: the same model, without those steps.
+        self.plain = Tokenizer.from_str(definition)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = regex.compile("|".join(regex.escape(t.content) for t in added) or r"(?!)")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        if not all("<" in t.content for t in added):
+            raise ValueError("added tokens are looked for in words with a < alone")
+        self.known: dict[str, bytes] = {}
 
     def encode_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of every text, and all their ids; `end_id` ends each text.
 
-        Arrow cuts the texts at ASCII white space (the tokenizer treats what is left of other white
-        space inside a word) and numbers the distinct words, so Python meets each word once.
+        Arrow lowers ASCII letters (the tokenizer lowers all), sets single stops apart, cuts the
+        texts at ASCII white space (other white space is left inside a word for the tokenizer) and
+        numbers the distinct words, so Python meets each word once.
         """
-        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        texts = texts.fill_null("")
+        # Lower case would turn other text into an added token.
+        if not pc.any(pc.match_substring(texts, "<")).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), STOP, APART)
+        cut = pc.ascii_split_whitespace(texts)
         numbered = cut.flatten().dictionary_encode()
         distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        for known in (self.words, self.parts):
-            if len(known) > REMEMBERED:
-                known.clear()
-        new = [word for word in distinct if word not in self.words]
-        plain = [self.is_plain(word) for word in new]
-        self.learn_plain(list(compress(new, plain)))
-        self.learn_whole([word for word, is_plain in zip(new, plain, strict=True) if not is_plain])
-        own = [self.words[word] for word in distinct]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        self.learn([word for word in distinct if word not in self.known])
+        own = [self.known[word] for word in distinct]
         own.append(np.array([end_id], "<u4").tobytes())
         pool = np.frombuffer(b"".join(own), "<i4")
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
@@ -98,29 +111,35 @@ class WordTokenizer:
         """Latin-1 alone, and none of the tokenizer's added tokens, which it finds first."""
         if not word.isascii() and max(word) > LAST_LATIN:
             return False
-        return self.added.search(word) is None
-
-    def learn_plain(self, words: list[str]) -> None:
-        cut = [PARTS.findall(word.lower()) for word in words]
-        new = list(set(chain.from_iterable(cut)) - self.parts.keys())
-        for start in range(0, len(new), AT_ONCE):
-            some = new[start : start + AT_ONCE]
-            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
+        return "<" not in word or self.added.search(word) is None
+
+    def learn(self, words: list[str]) -> None:
+        """Puts the ids of words into `known`, and those of the parts they are cut into."""
+        known, parts, cut, whole = self.known, set(), {}, []
+        for word in words:
+            if not self.is_plain(word):
+                whole.append(word)
+            elif word.isalpha() and word.islower():
+                parts.add(word)
+            else:
+                cut[word] = PARTS.findall(word.lower())
+        parts.update(part for own in cut.values() for part in own if part not in known)
+        parts = list(parts)
+        for start in range(0, len(parts), AT_ONCE):
+            some = parts[start : start + AT_ONCE]
+            encoded = self.plain.encode(" ".join(some), add_special_tokens=False)
+            raw = np.array(encoded.ids, "<u4").tobytes()
             ends = np.searchsorted(np.array(encoded.word_ids), np.arange(len(some)), "right")
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            ends = (4 * ends).tolist()
             for part, first, last in zip(some, [0, *ends], ends, strict=False):
-                self.parts[part] = raw[first:last]
-        parts = self.parts
-        for word, own in zip(words, cut, strict=True):
-            self.words[word] = parts[own[0]] if len(own) == 1 else b"".join([parts[x] for x in own])
-
-    def learn_whole(self, words: list[str]) -> None:
-        for start in range(0, len(words), AT_ONCE):
-            some = words[start : start + AT_ONCE]
+                known[part] = raw[first:last]
+        for word, own in cut.items():
+            known[word] = b"".join([known[part] for part in own])
+        for start in range(0, len(whole), AT_ONCE):
+            some = whole[start : start + AT_ONCE]
             encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             for word, own in zip(some, encoded, strict=True):
-                self.words[word] = np.array(own.ids, "<u4").tobytes()
+                known[word] = np.array(own.ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -131,19 +150,18 @@ def _tokenizer(definition: str) -> WordTokenizer:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Encodes every whole text, appends `end_id`, and writes the ids in order of doc_id.
 
-    Null texts count as empty. Rows without a doc_id come first; equal ids are ordered by a hash of
-    the text. Every task writes the files of one range of ids, numbered from 0 in `part`, and counts
+    Null texts count as empty. Rows without a doc_id come first; rows of one id follow their place in
+    the input. Every task writes the files of one range of ids, numbered from 0 in `part`, and counts
     its own ids in `part_start`. The tokenizer's definition is read once on the driver.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(
         F.col("doc_id").alias("doc_id"),
-        F.xxhash64("text").alias("hash"),
         F.monotonically_increasing_id().alias("row"),
         F.col("text").alias("text"),
     )
-    order = ["doc_id", "hash", "row"]
+    order = ["doc_id", "row"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = ranged.select("doc_id", "text")
 
