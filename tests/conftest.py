@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tripmill.session import pin_utc  # noqa: E402
+from tripmill.sources.workdir import delete_workdirs  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +24,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield pin_utc(session)
+    delete_workdirs(session)
     session.stop()
 
 

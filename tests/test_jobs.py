@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tests.helpers import STATION_HEADER, land, trip
+from tripmill.schemas import FACT_TRIP
 from tripmill.jobs import build_marts, load_stations, stream_trips
 
 ROWS = """\
@@ -34,19 +35,20 @@ def test_directories(spark, root, capfd):
     stream_trips.main(stream)
     marts = ["--fact-trip", f"{root}/fact", "--gold", f"{root}/gold"]
     for _ in range(2):
-        build_marts.main([*marts, "--tag", "od", "--audit", f"{root}/audit", "--keep", "1"])
-    gold = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/gold/mart_station_od")
+        build_marts.main([*marts, "--tag", "od", "--audit", f"{root}/audit"])
+    gold = spark.read.parquet(f"{root}/gold/mart_station_od")
     assert gold.agg({"trip_count": "sum"}).first()[0] == 2
     assert spark.read.parquet(f"{root}/audit").count() == 6
     land(root / "landing", "2024-05-01", "b", trip("3"))
     stream_trips.main(stream)
     for _ in range(2):
-        build_marts.main(
-            [*marts[:3], f"{root}/live_gold", "--incremental", "--audit", f"{root}/live_audit"]
-        )
+        build_marts.main([*marts, "--incremental", "--audit", f"{root}/live_audit"])
     assert spark.read.parquet(f"{root}/live_audit").count() == 8
-    daily = spark.read.parquet(f"{root}/live_gold/mart_station_daily_activity")
-    assert daily.agg({"trip_starts": "sum"}).first()[0] == 3
+    for name, column in (("od", "trip_count"), ("daily_activity", "trip_starts")):
+        mart = spark.read.parquet(f"{root}/gold/mart_station_{name}")
+        assert mart.agg({column: "sum"}).first()[0] == 3
+    build_marts.main([*marts, "--tag", "od"])
+    assert spark.read.parquet(f"{root}/gold/mart_station_od").count() == 1
     assert "2 station rows read, 2 stations written" in capfd.readouterr().out
 
 
@@ -72,8 +74,27 @@ def test_formats_with_options(spark, root):
         spark.sql("DROP DATABASE gold_test CASCADE")
     assert spark.read.orc(f"{root}/fact").count() == 2
     assert spark.read.orc(f"{root}/quarantine").count() == 1
+    append = [
+        "--input-path", "x", "--checkpoint-path", "x", "--fact-trip", "table:x",
+        "--quarantine", "table:x", "--dim-station", "x",
+    ]
+    with pytest.raises(SystemExit):
+        stream_trips.main([*append, "--match-any-date"])
     with pytest.raises(SystemExit):
         stream_trips.main([
             "--input-path", "x", "--checkpoint-path", "x", "--fact-trip", "table:x",
             "--quarantine", "x", "--dim-station", "x",
         ])
+
+
+def test_a_failed_audit_ends_the_command(spark, root):
+    fact = spark.createDataFrame([], FACT_TRIP)
+    row = {field.name: None for field in fact.schema}
+    row |= {"trip_id": "1", "is_valid_trip": True, "trip_duration_minutes": 1.0}
+    broken = spark.createDataFrame([row], fact.schema)
+    broken.write.parquet(f"{root}/broken")
+    with pytest.raises(SystemExit, match="audit failed"):
+        build_marts.main([
+            "--fact-trip", "format:parquet", "--fact-trip-option", f"path={root}/broken",
+            "--gold", f"{root}/gold_broken", "--tag", "od",
+        ])

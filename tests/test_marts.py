@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.helpers import stations, trip, trips, two_stations
 from tripmill.functions.numbers import exact_mean, half_up_quotient
-from tripmill.operators.checks import non_null_audit, null_rows, unique_audit
+from tripmill.operators.checks import non_null_audit, unique_audit
 from tripmill.plans import marts, questions
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
-from tripmill.plans.refresh import audit_mart, build_marts, snapshot_marts
+from tripmill.plans.refresh import AuditFailed, audit_mart, build_marts, partitioned_marts
 from tripmill.sources.tables import ConnectorTable
 
 DAY = dt.date(2024, 5, 1)
@@ -134,13 +134,11 @@ def test_audits(spark):
         ("a", 1), ("b", 2)
     }
     assert rows(unique_audit(df, "t", ("a",)), "check_name", "violations") == {("t", 1)}
-    failed = null_rows(df, ("a", "b"))
-    assert sorted(r.failed_column for r in failed.collect()) == ["a", "b"]
 
 
 def test_marts_by_tag_are_built_partitioned_and_audited(spark, facts, tmp_path):
     audit_target = ConnectorTable(format="parquet", options={"path": str(tmp_path / "audit")})
-    target_of = snapshot_marts(str(tmp_path / "gold"))
+    target_of = partitioned_marts(str(tmp_path / "gold"))
     audit = build_marts(facts, target_of, tags=("station",), audit_target=audit_target)
     assert audit.agg(F.sum("violations")).first()[0] == 0
     stored = audit_target.read(spark)
@@ -151,8 +149,7 @@ def test_marts_by_tag_are_built_partitioned_and_audited(spark, facts, tmp_path):
     od = target_of(marts.MARTS["mart_station_od"]).read(spark)
     assert f"trip_date={DAY}" in od.inputFiles()[0]
     assert od.schema["trip_date"].dataType.simpleString() == "date"
-    with pytest.raises(LookupError):
-        target_of(marts.MARTS["mart_hourly_demand"]).read(spark)
+    assert not target_of(marts.MARTS["mart_hourly_demand"]).exists(spark)
     with pytest.raises(LookupError):
         build_marts(facts, target_of, tags=("nothing",))
     # A second refresh replaces, it does not add.
@@ -161,6 +158,23 @@ def test_marts_by_tag_are_built_partitioned_and_audited(spark, facts, tmp_path):
     assert target_of(marts.MARTS["mart_station_od"]).read(spark).count() == before
 
 
+def test_a_failed_audit_keeps_the_old_rows(spark, facts, tmp_path):
+    audit_target = ConnectorTable(format="parquet", options={"path": str(tmp_path / "audit")})
+    target_of = partitioned_marts(str(tmp_path / "gold"))
+    build_marts(facts, target_of, ("od", "hourly"))
+    od, hourly = (
+        target_of(marts.MARTS[name]) for name in ("mart_station_od", "mart_hourly_demand")
+    )
+    before = sorted(map(str, od.read(spark).collect()))
+    # A valid trip without an end station is what no load writes.
+    broken = facts.withColumn("end_station_id", F.lit(None).cast("string")).unionByName(facts)
+    with pytest.raises(AuditFailed, match="mart_station_od.end_station_id"):
+        build_marts(broken, target_of, ("od", "hourly"), audit_target)
+    assert sorted(map(str, od.read(spark).collect())) == before
+    assert hourly.read(spark).agg(F.sum("trip_count")).first()[0] == 10
+    assert audit_target.read(spark).agg(F.sum("violations")).first()[0] > 0
+
+
 def test_registry():
     assert {m.name for m in marts.marts_tagged()} == set(marts.MARTS)
     assert [m.name for m in marts.marts_tagged(["hourly"])] == ["mart_hourly_demand"]

@@ -6,19 +6,22 @@ import re
 
 import pytest
 
-import __spark_entry__ as registry
 from tests.helpers import trip, trips, two_stations
 from tests.oracle import connect, rows_of_spark, rows_of_sql
 from tripmill import fixtures
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, payload_bytes
+from tripmill.oracle_sql import ORACLE_SQL
 from tripmill.plans import marts, questions
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
+from tripmill.queries import queries
 from tripmill.sources.tables import SnapshotTable
 
 WRITERS = {
     "fact_trip_stream", "trip_quarantine", "stream_cross_batch_dedupe", "stream_batch_replay",
-    "mart_incremental_refresh", "build_marts_by_tag",
+    "mart_incremental_refresh", "build_marts_by_tag", "mart_refresh_by_tag", "audit_store",
+    "stream_cross_batch_versions", "stream_append_replay", "stream_odd_landing", "fact_compacted",
+    "fact_lineage", "audit_fact_unique", "station_csv_load",
 }
 
 
@@ -34,15 +37,15 @@ def stored(spark, tmp_path_factory):
     return table.read(spark)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(queries()) - WRITERS))
 def test_no_pair_joins_and_no_python(spark, data_dir, name):
-    plan = plan_of(registry.queries()[name](spark, data_dir))
+    plan = plan_of(queries()[name](spark, data_dir))
     assert not re.search("CartesianProduct|NestedLoopJoin|EvalPython|InPandas|InArrow", plan)
 
 
 @pytest.mark.parametrize("name", ["trip_deduplicated", "trip_deduplicated_large", "dim_station"])
 def test_copies_are_limited_before_the_exchange(spark, data_dir, name):
-    lines = plan_of(registry.queries()[name](spark, data_dir)).splitlines()
+    lines = plan_of(queries()[name](spark, data_dir)).splitlines()
     kinds = [re.search(r"WindowGroupLimit|Exchange hashpartitioning", line) for line in lines]
     assert [kind[0] for kind in kinds if kind][:3] == [
         "WindowGroupLimit", "Exchange hashpartitioning", "WindowGroupLimit"
@@ -94,6 +97,6 @@ def test_same_rows_when_the_lookup_is_too_large_to_broadcast(spark, data_dir, mo
         return BroadcastBudget(limit_bytes=0, known_bytes=1)
 
     monkeypatch.setattr(fixtures, "station_budget", nothing_fits)
-    result = registry.queries()[name](spark, data_dir)
-    expected = rows_of_sql(connect(data_dir), registry.oracle_sql()[name])
+    result = queries()[name](spark, data_dir)
+    expected = rows_of_sql(connect(data_dir), ORACLE_SQL[name])
     assert rows_of_spark(result) == expected

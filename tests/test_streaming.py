@@ -10,12 +10,23 @@ from tripmill.operators.lookup import BroadcastBudget
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
 from tripmill.plans.marts import MARTS, hourly_demand
-from tripmill.plans.refresh import partitioned_marts, refresh_touched_dates
+from tripmill.plans.refresh import (
+    compact_dates,
+    partitioned_marts,
+    refresh_logs,
+    refresh_touched_dates,
+)
 from tripmill.schemas import FACT_TRIP_COLUMNS
-from tripmill.sources.files import read_trip_json
-from tripmill.sources.tables import ConnectorTable, SnapshotTable
+from tripmill.sources.files import land_trips, read_trip_json
+from tripmill.sources.tables import ConnectorTable, PartitionedTable, SnapshotTable
 from tripmill.streaming.job import drain_trip_stream, start_trip_stream
-from tripmill.streaming.sink import AppendSink, TripSink, fact_table, quarantine_table
+from tripmill.streaming.sink import (
+    AppendSink,
+    TripSink,
+    fact_table,
+    load_table,
+    quarantine_table,
+)
 
 DAY = "2024-05-01"
 
@@ -77,7 +88,7 @@ def test_copies_in_later_files_and_runs_are_left_out(pipeline):
     assert sorted(by_id(pipeline.drain(max_files=1), "bike_id")) == ["A", "B", "C", "SAME"]
     assert pipeline.fact.count() == 4
     first = by_id(pipeline.fact, "load_batch")
-    land(pipeline.landing, DAY, "d", trip("a", bike_id="other"), trip("d"))
+    land(pipeline.landing, DAY, "d", trip("a"), trip("d"))
     assert pipeline.drain().count() == 5
     assert by_id(pipeline.fact, "load_batch").items() >= first.items()
     assert pipeline.drain().count() == 5
@@ -107,20 +118,84 @@ def test_replay_replaces_itself(spark, tmp_path, limit_bytes):
     assert sink.quarantine.read(spark).count() == 2
 
 
-def test_many_dates_in_one_batch(spark, pipeline, monkeypatch):
-    monkeypatch.setattr("tripmill.streaming.sink.MAX_SLICES", 1)
-    monkeypatch.setattr("tripmill.sources.tables.MAX_SLICES", 1)
+def far(year, trip_id):
+    return trip(
+        trip_id,
+        start_time=f"{year}-05-01T10:00:00+00:00",
+        end_time=f"{year}-05-01T10:30:00+00:00",
+    )
+
+
+def test_far_years_pass_load_look_up_and_refresh(spark, pipeline):
     sink = TripSink(
         pipeline.sink.fact, pipeline.sink.quarantine, pipeline.stations.read, stream_id="s"
     )
-    later = trip("2", start_time="2024-05-02T10:00:00+00:00")
-    unknown = trip("3", start_time=None)
-    sink(trips(spark, trip("1"), later, unknown), 0)
-    sink(trips(spark, trip("1"), later, unknown, trip("4")), 1)
-    assert by_id(pipeline.fact, "load_batch") == {
-        "1": "s-0", "2": "s-0", "3": "s-0", "4": "s-1"
-    }
+    years = ("0000", "0001", "9999", "12345")
+    events = [far(year, f"y{year}") for year in years] + [trip("none", start_time=None)]
+    for batch_id in range(2):
+        sink(trips(spark, *events, trip(f"new{batch_id}")), batch_id)
+    assert pipeline.fact.count() == len(events) + 2
+    assert pipeline.fact.filter("load_batch = 's-0'").count() == len(events) + 1
+    log_of, target_of = (make(str(pipeline.root / "gold")) for make in (refresh_logs, partitioned_marts))
+    dates = refresh_touched_dates(spark, sink.fact, log_of, target_of)
+    assert len(dates) == len(events) + 1 and None in dates
+    daily = target_of(MARTS["mart_station_daily_activity"]).read(spark)
+    assert daily.agg(F.sum("trip_starts")).first()[0] == len(years) + 2
+    compact_dates(spark, sink.fact, dates)
+    assert pipeline.fact.count() == len(events) + 2
+
+
+def test_files_of_every_name_are_read(spark, pipeline):
+    folder = pipeline.landing / f"ingest_date={DAY}"
+    for name in ("a.jsonl", "b.ndjson", "c.txt", "part-00000", "d.x.y"):
+        land(pipeline.landing, DAY, "a", trip(name))
+        (folder / "trip_events_a.jsonl").rename(folder / name)
+    assert pipeline.drain().count() == 5
+    assert read_trip_json(spark, str(pipeline.landing)).count() == 5
+
+
+def test_unreadable_creation_times_land(spark, tmp_path):
+    land_trips(trips(spark, trip("1", event_created_at="soon"), trip("2")), str(tmp_path / "l"))
+    assert read_trip_json(spark, str(tmp_path / "l")).count() == 2
+
+
+@pytest.mark.parametrize("max_files", [1, 1000])
+@pytest.mark.parametrize("latest_first", [True, False])
+def test_the_latest_version_survives_in_any_batches(pipeline, max_files, latest_first):
+    hours = (12, 10, 11) if latest_first else (10, 11, 12)
+    for hour in hours:
+        created = f"2024-05-01T{hour}:00:00+00:00"
+        event = trip("1", bike_id=f"h{hour}", event_created_at=created)
+        land(pipeline.landing, DAY, f"f{hour}", event, trip(f"own{hour}"))
+    for _ in range(2):
+        fact = pipeline.drain(max_files=max_files)
+        assert by_id(fact, "bike_id")["1"] == "H12"
+        assert fact.count() == 4
+
+
+def test_an_emptied_load_leaves_no_rows(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path, stream_id="s")
+    for batch_id, hour in enumerate((10, 11)):
+        created = f"2024-05-01T{hour}:00:00+00:00"
+        for _ in range(2):
+            pipeline.sink(trips(spark, trip("1", event_created_at=created)), batch_id)
+    assert by_id(pipeline.fact, "load_batch") == {"1": "s-1"}
+    assert pipeline.fact.count() == 1
+    assert not (tmp_path / "fact" / f"trip_date={DAY}" / "load_batch=s-0").exists()
+
+
+def test_compaction_keeps_rows_and_replays(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path, stream_id="s")
+    for batch_id in range(3):
+        pipeline.sink(trips(spark, trip("1"), trip(f"own{batch_id}")), batch_id)
+    before = sorted(by_id(pipeline.fact, "bike_id"))
+    loads = load_table(pipeline.sink.fact).read(spark).count()
+    compact_dates(spark, pipeline.sink.fact, [DAY, "1999-01-01"])
+    assert len(list((tmp_path / "fact" / f"trip_date={DAY}").glob("load_batch=*"))) == 1
+    pipeline.sink(trips(spark, trip("1"), trip("own1")), 1)
+    assert sorted(by_id(pipeline.fact, "bike_id")) == before
     assert pipeline.fact.count() == 4
+    assert load_table(pipeline.sink.fact).read(spark).count() == loads
 
 
 @pytest.mark.parametrize(("match_dates", "expected"), [(True, 2), (False, 1)])
@@ -165,6 +240,11 @@ def test_watermark_form_drops_copies_and_late_rows(pipeline):
     assert drain() == ["1", "2"]
     land(pipeline.landing, DAY, "c", trip("late", **created(11)), trip("3", **created(15)))
     assert drain() == ["1", "2", "3"]
+    # What cannot be told apart is no late row: it reaches the fact or the quarantine.
+    odd = (trip("4", event_created_at="soon"), trip(None, **created(1)), "{bad")
+    land(pipeline.landing, DAY, "d", *odd)
+    assert drain() == ["1", "2", "3", "4"]
+    assert pipeline.sink.quarantine.read(pipeline.spark).count() == 2
 
 
 def test_refreshed_dimension_takes_effect_with_the_next_batch(spark, pipeline):
@@ -209,11 +289,16 @@ def test_append_sink(spark, pipeline):
         ConnectorTable(format="parquet", options={"path": str(pipeline.root / name)})
         for name in ("appended", "appended_quarantine")
     )
-    sink = AppendSink(fact, quarantine, pipeline.stations.read)
-    land(pipeline.landing, DAY, "a", trip("1"), trip("1"), trip(None), "{bad")
+    sink = AppendSink(fact, quarantine, pipeline.stations.read, stream_id="s")
+    first = (trip("1"), trip("1"), trip(None), "{bad")
+    land(pipeline.landing, DAY, "a", *first)
     drain_trip_stream(spark, str(pipeline.landing), str(pipeline.root / "cp"), sink)
     sink(trips(spark, trip()).limit(0), 1)
-    assert [r.trip_id for r in fact.read(spark).collect()] == ["1"]
+    # A replay in whole or in part, and copies in a later batch, add nothing.
+    sink(trips(spark, trip("1"), trip(None)), 0)
+    sink(trips(spark, trip("1"), trip("2")), 2)
+    assert by_id(fact.read(spark), "load_batch") == {"1": "s-0", "2": "s-2"}
+    assert fact.read(spark).count() == 2
     assert quarantine.read(spark).count() == 2
 
 
@@ -221,26 +306,61 @@ def test_only_touched_dates_are_rewritten(spark, pipeline):
     sink = TripSink(
         pipeline.sink.fact, pipeline.sink.quarantine, pipeline.stations.read, stream_id="s"
     )
-    log = SnapshotTable(str(pipeline.root / "log"))
-    target_of = partitioned_marts(str(pipeline.root / "gold"))
+    gold = str(pipeline.root / "gold")
+    log_of, target_of = refresh_logs(gold), partitioned_marts(gold)
     second_day = dict(
         start_time="2024-05-02T10:00:00+00:00", end_time="2024-05-02T10:30:00+00:00"
     )
 
-    def refresh():
-        dates = refresh_touched_dates(spark, sink.fact, log, target_of)
-        return None if dates is None else sorted(str(r[0]) for r in dates.collect())
+    def refresh(**options):
+        return refresh_touched_dates(spark, sink.fact, log_of, target_of, **options)
 
-    assert refresh() is None
+    assert refresh() == []
     sink(trips(spark, trip("1"), trip("2", **second_day)), 0)
+    assert refresh(tags=("od",)) == ["2024-05-01", "2024-05-02"]
+    assert refresh(tags=("od",)) == []
     assert refresh() == ["2024-05-01", "2024-05-02"]
     hourly = target_of(MARTS["mart_hourly_demand"])
     untouched = hourly.read_slices(spark, ["2024-05-01"]).inputFiles()
     sink(trips(spark, trip("3", **second_day)), 1)
     assert refresh() == ["2024-05-02"]
     assert hourly.read_slices(spark, ["2024-05-01"]).inputFiles() == untouched
-    assert refresh() is None
+    assert refresh() == []
     columns = [c for c in hourly.read(spark).columns if c != "mart_load_dt"]
     full = hourly_demand(sink.fact.read(spark)).select(*columns)
     assert full.exceptAll(hourly.read(spark).select(*columns)).isEmpty()
     assert hourly.read(spark).agg(F.sum("trip_count")).first()[0] == 3
+    assert refresh(everything=True) == ["2024-05-01", "2024-05-02"]
+    assert refresh() == []
+    # A replay after the dimension has changed is a new attempt with other rows.
+    pipeline.stations.replace(build_dim_station(stations(spark, ("b", "Beta", "South", True))))
+    sink(trips(spark, trip("3", **second_day)), 1)
+    assert refresh() == ["2024-05-02"]
+    assert hourly.read(spark).agg(F.sum("trip_count")).first()[0] == 2
+
+
+def test_refresh_reads_only_touched_dates(spark, pipeline, monkeypatch):
+    sink = TripSink(
+        pipeline.sink.fact, pipeline.sink.quarantine, pipeline.stations.read, stream_id="s"
+    )
+    gold = str(pipeline.root / "gold")
+    sink(trips(spark, far("2001", "1"), trip("2")), 0)
+    refresh_touched_dates(spark, sink.fact, refresh_logs(gold), partitioned_marts(gold))
+    sink(trips(spark, trip("3")), 1)
+    read = []
+    monkeypatch.setattr(
+        PartitionedTable,
+        "read_slices",
+        lambda table, session, dates, real=PartitionedTable.read_slices: (
+            read.append((table.path, list(dates))) or real(table, session, dates)
+        ),
+    )
+    monkeypatch.setattr(
+        PartitionedTable,
+        "read",
+        lambda table, session, real=PartitionedTable.read: (
+            read.append((table.path, None)) or real(table, session)
+        ),
+    )
+    refresh_touched_dates(spark, sink.fact, refresh_logs(gold), partitioned_marts(gold))
+    assert {str(dates) for path, dates in read if path == sink.fact.path} == {f"['{DAY}']"}

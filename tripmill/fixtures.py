@@ -24,7 +24,8 @@ TABLES = {
     "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
         value DOUBLE, props STRING""",
 }
-# A station lookup row is four columns: an id, two short labels and a number.
+# A station lookup row is four columns: an id of 14 characters, two labels that the tables keep
+# below 40 characters, and a number. A test holds the bound against the measured payload.
 LOOKUP_ROW_BYTES = 128
 
 
@@ -134,6 +135,23 @@ def raw_trips(spark: SparkSession, sf_dir: str, resent: str | None = None) -> Da
     return events.select(F.inline(sent))
 
 
+def odd_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips with some start times in far years and some unreadable creation times."""
+    event = F.coalesce(F.regexp_extract("trip_id", r"([0-9]+)", 1).try_cast("long"), F.lit(1))
+    rest = F.substring("start_time", 5, 40)
+    far = (
+        F.when(event % 31 == 0, F.concat(F.lit("12345"), rest))
+        .when(event % 37 == 0, F.concat(F.lit("0000"), rest))
+        .otherwise(F.col("start_time"))
+    )
+    created = F.when(event % 43 == 0, F.lit("unreadable")).otherwise(F.col("event_created_at"))
+    return raw_trips(spark, sf_dir).withColumns({"start_time": far, "event_created_at": created})
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(F.concat(F.lit("{broken "), "r_name").alias("value"))
+
+
 def raw_trips_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item; (order, line number) repeats, so trip ids have natural duplicates."""
     part = F.col("l_partkey")

@@ -6,14 +6,14 @@ import argparse
 from collections.abc import Sequence
 
 from tripmill.jobs.arguments import add_table_argument, parts, table_argument
-from tripmill.plans.marts import marts_tagged
 from tripmill.plans.refresh import (
+    AuditFailed,
     build_marts,
     catalog_marts,
     connector_marts,
     partitioned_marts,
+    refresh_logs,
     refresh_touched_dates,
-    snapshot_marts,
 )
 from tripmill.session import job_session
 from tripmill.sources.tables import ConnectorTable, SnapshotTable, declare
@@ -26,7 +26,7 @@ def gold_targets(args: argparse.Namespace):
         return catalog_marts(text)
     if kind == "format":
         return connector_marts(text, options)
-    return snapshot_marts(text)
+    return partitioned_marts(text)
 
 
 def audit_table(args: argparse.Namespace) -> ConnectorTable | None:
@@ -47,9 +47,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     add_table_argument(parser, "audit", "table to append audit lines to", required=False)
     parser.add_argument("--tag", action="append", help="marts to build; default gold")
     parser.add_argument(
-        "--incremental", action="store_true", help="only dates loaded since the last such run"
+        "--incremental", action="store_true", help="only dates loaded since the last run"
     )
-    parser.add_argument("--keep", type=int, help="published versions to keep of each mart")
     args = parser.parse_args(argv)
     tags = args.tag or ["gold"]
     source, gold_kind = table_argument(args, "fact-trip"), parts(args, "gold")[0]
@@ -58,17 +57,24 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = job_session("build-marts")
     if isinstance(source, SnapshotTable):
         source = fact_table(source.path)
-    if args.incremental:
-        log = SnapshotTable(f"{args.gold}/_refresh_log")
-        target_of = partitioned_marts(args.gold)
-        refresh_touched_dates(spark, source, log, target_of, tags, audit_table(args))
-        return
-    declare(spark, "fact_trip", source.read(spark))
-    target_of = gold_targets(args)
-    build_marts(spark.table("fact_trip"), target_of, tags, audit_table(args)).show(truncate=False)
-    if args.keep and gold_kind == "path":
-        for mart in marts_tagged(tags):
-            target_of(mart).keep_newest(spark, args.keep)
+    try:
+        if isinstance(source, ConnectorTable) or gold_kind != "path":
+            declare(spark, "fact_trip", source.read(spark))
+            facts = spark.table("fact_trip")
+            build_marts(facts, gold_targets(args), tags, audit_table(args)).show(truncate=False)
+            return
+        dates = refresh_touched_dates(
+            spark,
+            source,
+            refresh_logs(args.gold),
+            gold_targets(args),
+            tags,
+            audit_table(args),
+            everything=not args.incremental,
+        )
+        print(f"{len(dates)} dates refreshed")
+    except AuditFailed as failed:
+        raise SystemExit(f"audit failed, old rows kept: {failed}") from failed
 
 
 if __name__ == "__main__":

@@ -37,15 +37,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         action="store_true",
         help="look up known trip ids in the whole fact, for re-sent trips that change their date",
     )
+    parser.add_argument("--file-glob", help="names of landed files to read; default all")
     parser.add_argument("--preview", type=int, default=0, help="rows to show after each batch")
     args = parser.parse_args(argv)
     fact, quarantine = (table_argument(args, name) for name in ("fact-trip", "quarantine"))
     stations = table_argument(args, "dim-station").read
     if isinstance(fact, ConnectorTable) != isinstance(quarantine, ConnectorTable):
         parser.error("--fact-trip and --quarantine must both be directories or both be tables")
-    spark = job_session("stream-trips")
     if isinstance(fact, ConnectorTable):
-        sink = AppendSink(fact, quarantine, stations)
+        if args.match_any_date:
+            parser.error("--match-any-date has no effect on tables that are only appended to")
+        sink = AppendSink(fact, quarantine, stations, preview_rows=args.preview)
     else:
         sink = TripSink(
             fact_table(fact.path),
@@ -55,6 +57,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             match_dates=not args.match_any_date,
             preview_rows=args.preview,
         )
+    spark = job_session("stream-trips")
     start_trip_stream(
         spark,
         args.input_path,
@@ -64,6 +67,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         watermark_delay=args.watermark_delay,
         max_files=args.max_files,
         max_bytes=args.max_bytes,
+        **({"pathGlobFilter": args.file_glob} if args.file_glob else {}),
     ).awaitTermination()
 
 

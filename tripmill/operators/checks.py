@@ -30,12 +30,6 @@ def unique_audit(df: DataFrame, check: str, key: Sequence[str]) -> DataFrame:
     )
 
 
-def null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The violating rows themselves, each with the first column that failed."""
-    failed = F.coalesce(*[F.when(F.col(name).isNull(), F.lit(name)) for name in columns])
-    return df.withColumn("failed_column", failed).filter(F.col("failed_column").isNotNull())
-
-
 def _line(check, column, violations):
     return F.struct(
         F.lit(check).alias("check_name"),

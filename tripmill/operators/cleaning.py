@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.text import category, identifier, label
 from tripmill.functions.times import duration_minutes, instant
-from tripmill.session import pin_utc
+from tripmill.session import require_utc
+
 
 def file_name_of(df: DataFrame) -> Column:
     """Source file of each row; null when the rows do not come from a tripmill file reader."""
@@ -42,12 +43,13 @@ def station_reject_reason() -> Column:
     )
 
 
-def normalise_trips(raw: DataFrame) -> DataFrame:
+def normalise_trips(raw: DataFrame, *extra: Column) -> DataFrame:
     """Normalised identifiers and categories, parsed instants and the columns derived from them.
 
-    Dates and hours are UTC, so the session's time zone is pinned before they are resolved.
+    Dates and hours are UTC, so the session must be (`pin_utc`). `extra` columns of
+    the raw rows are kept beside them.
     """
-    pin_utc(raw.sparkSession)
+    require_utc(raw.sparkSession)
     parsed = raw.select(
         identifier("trip_id"),
         identifier("bike_id"),
@@ -60,6 +62,7 @@ def normalise_trips(raw: DataFrame) -> DataFrame:
         instant("end_time"),
         instant("event_created_at"),
         file_name_of(raw),
+        *extra,
     )
     start, end = F.col("start_time"), F.col("end_time")
     return parsed.withColumns(

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +29,15 @@ SPREAD = 1 << 20
 
 @dataclass(frozen=True)
 class BroadcastBudget:
-    """How many payload bytes one broadcast may hold, and a size already proven, if any."""
+    """How many payload bytes one broadcast may hold, and a size already proven, if any.
+
+    `hot_share` is the share of all visits above which a station counts as hot when the lookup is
+    beyond the limit.
+    """
 
     limit_bytes: int = 64 << 20
     known_bytes: int | None = None
+    hot_share: float = HOT_SHARE
 
     def admits(self, df: DataFrame) -> bool:
         size = payload_bytes(df) if self.known_bytes is None else self.known_bytes
@@ -91,21 +97,26 @@ def join_stations(
             side = F.broadcast(station_role(lookup, role))
             trips = trips.join(side, f"{role}_station_id", "left")
         return trips
-    hot = hot_stations(trips if visits is None else visits)
+    hot = hot_stations(trips if visits is None else visits, budget.hot_share)
     for role in ROLES:
         trips = _shuffled_role_join(trips, lookup, role, hot)
     return trips
 
 
 def hot_stations(trips: DataFrame, share: float = HOT_SHARE) -> list[str]:
-    """Station ids with more than `share` of all visits: fewer than 1 / share strings."""
-    visits = trips.select(
-        F.explode(F.array(*[F.col(f"{role}_station_id") for role in ROLES])).alias("station_id")
-    ).filter(F.col("station_id").isNotNull())
-    total = trips.agg(F.count("*") * len(ROLES)).scalar()
-    per_station = visits.groupBy("station_id").agg(F.count("*").alias("n"))
-    hot = per_station.filter(F.col("n") > total * F.lit(share))
-    return [row["station_id"] for row in hot.select("station_id").collect()]
+    """Station ids with more than `share` of all visits: fewer than 1 / share strings.
+
+    One pass over the trips: the counts of the stations, null included, are kept for the total.
+    """
+    ids = F.explode(F.array(*[F.col(f"{role}_station_id") for role in ROLES]))
+    counts = trips.select(ids.alias("station_id")).groupBy("station_id")
+    counts = counts.agg(F.count("*").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        hot = counts.filter(F.col("station_id").isNotNull() & (F.col("n") > total * share))
+        return [row["station_id"] for row in hot.select("station_id").collect()]
+    finally:
+        counts.unpersist()
 
 
 def _shuffled_role_join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,24 +12,32 @@ from pyspark.sql import types as T
 from tripmill import fixtures
 from tripmill.operators.checks import non_null_audit, unique_audit
 from tripmill.operators.cleaning import normalise_trips
-from tripmill.operators.lookup import active_station_lookup, station_role
+from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, station_role
 from tripmill.operators.survivors import keyed, latest_trip
 from tripmill.operators.validity import reject_reasons
 from tripmill.plans import marts, questions
-from tripmill.plans.dim_station import build_dim_station, station_rejects
+from tripmill.plans.dim_station import build_dim_station, load_dim_station, station_rejects
 from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
 from tripmill.plans.refresh import (
+    audit_fact,
     build_marts,
+    compact_dates,
     partitioned_marts,
+    refresh_logs,
     refresh_touched_dates,
-    snapshot_marts,
 )
 from tripmill.session import pin_utc
 from tripmill.sources.files import land_trips
-from tripmill.sources.tables import SnapshotTable, declare
+from tripmill.sources.tables import ConnectorTable, SnapshotTable, date_texts, declare
 from tripmill.sources.workdir import new_workdir
 from tripmill.streaming.job import drain_trip_stream
-from tripmill.streaming.sink import TripSink, fact_table, quarantine_table
+from tripmill.streaming.sink import (
+    LOAD_BATCH,
+    AppendSink,
+    TripSink,
+    fact_table,
+    quarantine_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,12 +150,73 @@ def stream_batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.fact.read(spark)
 
 
-def mart_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads, each followed by a refresh of the dates it touched.
+def stream_cross_batch_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions of the re-sent trips, in two landings and several batches each.
+
+    Of half of the trips the later version lands first.
+    """
+    workdir = new_workdir(spark, "stream_cross_batch_versions")
+    sink = stream_sink(spark, sf_dir, workdir)
+    sent = fixtures.raw_trips(spark, sf_dir, resent="later")
+    later = F.col("user_type") == "MEMBER"
+    first = later == (F.crc32(F.coalesce("trip_id", F.lit(""))) % 2 == 0)
+    landing, checkpoint = f"{workdir}/landing", f"{workdir}/checkpoint"
+    for part, max_files in ((sent.filter(first), 20), (sent.filter(~first), 1000)):
+        land_trips(part, landing)
+        drain_trip_stream(spark, landing, checkpoint, sink, max_files=max_files)
+    return sink.fact.read(spark)
+
+
+def connector_at(path: str) -> ConnectorTable:
+    return ConnectorTable(format="parquet", options={"path": path})
+
+
+def stream_append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch, its replay and a batch of copies through the sink of append-only tables."""
+    workdir = new_workdir(spark, "stream_append_replay")
+    trips = stream_sink(spark, sf_dir, workdir)
+    sink = AppendSink(
+        connector_at(f"{workdir}/appended"),
+        connector_at(f"{workdir}/appended_quarantine"),
+        trips.stations,
+        trips.budget,
+        stream_id="append",
+    )
+    for batch_id in (0, 0, 1):
+        sink(fixtures.raw_trips(spark, sf_dir), batch_id)
+    return sink.fact.read(spark)
+
+
+def stream_odd_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Far years, unreadable times, malformed lines, missing ids and odd file names, counted.
+
+    Loaded with the look-up of stored trips, and again with de-duplication in the stream.
+    """
+    workdir = new_workdir(spark, "stream_odd_landing")
+    landing = f"{workdir}/landing"
+    land_trips(fixtures.odd_trips(spark, sf_dir), landing)
+    lines = fixtures.malformed_lines(spark, sf_dir)
+    lines.write.mode("append").text(f"{landing}/ingest_date=2024-01-01")
+    counts = []
+    for name, options in (("", {}), ("watermark_", {"watermark_delay": "400 days"})):
+        sink = stream_sink(spark, sf_dir, f"{workdir}/{name}tables")
+        drain_trip_stream(spark, landing, f"{workdir}/{name}checkpoint", sink, **options)
+        fact = sink.fact.read(spark)
+        parts = {f"{name}fact": fact, f"{name}quarantine": sink.quarantine.read(spark)}
+        if not name:
+            parts["fact_far_years"] = fact.filter("year(trip_date) not between 1 and 9999")
+        counts += [
+            df.agg(F.lit(part).alias("part"), F.count("*").alias("part_rows"))
+            for part, df in parts.items()
+        ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def two_loads(spark: SparkSession, sf_dir: str, workdir: str) -> tuple[TripSink, list[DataFrame]]:
+    """A sink and two loads for it.
 
     The second load brings the last ten days and late evenings of the ten days before.
     """
-    workdir = new_workdir(spark, "mart_incremental_refresh")
     sink = stream_sink(spark, sf_dir, workdir)
     sink = TripSink(sink.fact, sink.quarantine, sink.stations, sink.budget, stream_id="load")
     raw = fixtures.raw_trips(spark, sf_dir)
@@ -154,19 +224,89 @@ def mart_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = (F.col("start_time") >= "2024-01-21") | (
         (F.col("start_time") >= "2024-01-11") & evening
     )
-    log, target_of = SnapshotTable(f"{workdir}/refresh_log"), partitioned_marts(f"{workdir}/gold")
-    for batch_id, load in enumerate((raw.filter(~second), raw.filter(second))):
+    return sink, [raw.filter(~second), raw.filter(second)]
+
+
+def mart_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, each followed by a refresh of the dates it touched."""
+    workdir = new_workdir(spark, "mart_incremental_refresh")
+    sink, loads = two_loads(spark, sf_dir, workdir)
+    log_of, target_of = refresh_logs(f"{workdir}/gold"), partitioned_marts(f"{workdir}/gold")
+    for batch_id, load in enumerate(loads):
         sink(load, batch_id)
-        refresh_touched_dates(spark, sink.fact, log, target_of, tags=("demand",))
+        refresh_touched_dates(spark, sink.fact, log_of, target_of, tags=("demand",))
     return target_of(marts.MARTS["mart_hourly_demand"]).read(spark)
 
 
+def mart_refresh_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tag after the first load, all after the second and after its replay."""
+    workdir = new_workdir(spark, "mart_refresh_by_tag")
+    sink, (first, second) = two_loads(spark, sf_dir, workdir)
+    log_of, target_of = refresh_logs(f"{workdir}/gold"), partitioned_marts(f"{workdir}/gold")
+    steps = ((first, 0, "demand"), (second, 1, "daily"), (second, 1, "daily"))
+    for load, batch_id, tag in steps:
+        sink(load, batch_id)
+        refresh_touched_dates(spark, sink.fact, log_of, target_of, tags=(tag,))
+    return target_of(marts.MARTS["mart_station_daily_activity"]).read(spark)
+
+
+def fact_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, merged date by date, and a replay of the first."""
+    sink, loads = two_loads(spark, sf_dir, new_workdir(spark, "fact_compacted"))
+    for batch_id, load in enumerate(loads):
+        sink(load, batch_id)
+    compact_dates(spark, sink.fact, date_texts(sink.fact.read(spark).select("trip_date")))
+    sink(loads[0], 0)
+    return sink.fact.read(spark)
+
+
+def audit_fact_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink, loads = two_loads(spark, sf_dir, new_workdir(spark, "audit_fact_unique"))
+    for batch_id, load in enumerate([*loads, loads[0]]):
+        sink(load, batch_id)
+    return audit_fact(sink.fact.read(spark))
+
+
+def fact_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose source file, load and load time are what a load writes."""
+    formed = {
+        "file_name": F.col("file_name").like("%/ingest_date=%/part-%"),
+        LOAD_BATCH: F.col(LOAD_BATCH).rlike("^[0-9a-f-]{36}-[0-9]+$"),
+        "load_dt": F.col("load_dt") <= F.current_timestamp(),
+    }
+    counts = streamed(spark, sf_dir).fact.read(spark).agg(
+        F.array(
+            *[
+                F.struct(F.lit(n).alias("column_name"), F.count_if(c).alias("well_formed"))
+                for n, c in formed.items()
+            ]
+        ).alias("lines")
+    )
+    return counts.select(F.inline("lines"))
+
+
+def station_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations written as CSV, loaded with the counted guards, and read back."""
+    workdir = new_workdir(spark, "station_csv_load")
+    raw = fixtures.raw_stations(spark, sf_dir)
+    kept_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.write.options(header=True, **kept_spaces).csv(f"{workdir}/stations")
+    target = SnapshotTable(f"{workdir}/dim_station")
+    load_dim_station(spark, f"{workdir}/stations", target)
+    return target.read(spark)
+
+
+def stored_fact(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
+    """The fact of all trips, stored: what marts that read it twice are built from."""
+    fact = SnapshotTable(f"{new_workdir(spark, purpose)}/fact_trip", ("trip_date",))
+    fact.replace(enriched(spark, sf_dir))
+    return fact.read(spark)
+
+
 def build_marts_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts tagged `station`, built from the declared fact and counted."""
-    workdir = new_workdir(spark, "build_marts_by_tag")
-    fact, target_of = SnapshotTable(f"{workdir}/fact_trip"), snapshot_marts(f"{workdir}/gold")
-    fact.replace(enriched(spark, sf_dir))
-    declare(spark, "fact_trip", fact.read(spark))
+    target_of = partitioned_marts(f"{new_workdir(spark, 'build_marts_by_tag')}/gold")
+    declare(spark, "fact_trip", stored_fact(spark, sf_dir, "build_marts_by_tag"))
     build_marts(spark.table("fact_trip"), target_of, tags=("station",))
     counts = [
         target_of(mart).read(spark).agg(
@@ -177,6 +317,21 @@ def build_marts_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def audit_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit lines that a refresh has appended to the audit table."""
+    workdir = new_workdir(spark, "audit_store")
+    target = connector_at(f"{workdir}/audit")
+    facts = stored_fact(spark, sf_dir, "audit_store")
+    build_marts(facts, partitioned_marts(f"{workdir}/gold"), ("station",), target)
+    return target.read(spark)
+
+
+def large_fact_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The large fact with a lookup that is beyond the broadcast budget."""
+    budget = BroadcastBudget(limit_bytes=0, known_bytes=1, hot_share=1 / 64)
+    return build_fact_trip(fixtures.raw_trips_large(spark, sf_dir), dim(spark, sf_dir), budget)
+
+
 def from_fact(build: Callable[[DataFrame], DataFrame], fact: Query = enriched) -> Query:
     return lambda spark, sf_dir: build(fact(spark, sf_dir))
 
@@ -186,9 +341,13 @@ def daily_of_computed(facts: DataFrame) -> DataFrame:
     return marts.station_daily_activity(facts, single_scan=True)
 
 
-def mart_audit(name: str) -> Query:
+def from_stored(build: Callable[[DataFrame], DataFrame], purpose: str) -> Query:
+    return lambda spark, sf_dir: build(stored_fact(spark, sf_dir, purpose))
+
+
+def mart_audit(name: str, query: Callable = from_fact) -> Query:
     mart = marts.MARTS[name]
-    return from_fact(lambda facts: non_null_audit(mart.build(facts), name, mart.non_null))
+    return query(lambda facts: non_null_audit(mart.build(facts), name, mart.non_null))
 
 
 def station_daily_unique(facts: DataFrame) -> DataFrame:
@@ -208,18 +367,26 @@ QUERIES: dict[str, Query] = {
     "trip_deduplicated": deduplicated,
     "trip_deduplicated_large": deduplicated_large,
     "fact_trip_large": large_fact,
+    "fact_trip_large_shuffled": large_fact_shuffled,
     "fact_trip_stream": fact_trip_stream,
     "trip_quarantine": trip_quarantine,
     "stream_cross_batch_dedupe": stream_cross_batch_dedupe,
     "stream_batch_replay": stream_batch_replay,
+    "stream_cross_batch_versions": stream_cross_batch_versions,
+    "stream_append_replay": stream_append_replay,
+    "stream_odd_landing": stream_odd_landing,
+    "fact_compacted": fact_compacted,
+    "fact_lineage": fact_lineage,
+    "station_csv_load": station_csv_load,
     "hourly_demand": from_fact(marts.hourly_demand),
     "hourly_demand_large": from_fact(marts.hourly_demand, large_fact),
-    "station_daily_activity": from_fact(marts.station_daily_activity),
+    "station_daily_activity": from_stored(marts.station_daily_activity, "station_daily_activity"),
     "station_daily_activity_single_scan": from_fact(daily_of_computed),
     "station_daily_activity_large": from_fact(daily_of_computed, large_fact),
     "station_od": from_fact(marts.station_od),
     "station_od_large": from_fact(marts.station_od, large_fact),
     "mart_incremental_refresh": mart_incremental_refresh,
+    "mart_refresh_by_tag": mart_refresh_by_tag,
     "build_marts_by_tag": build_marts_by_tag,
     "trips_per_day": from_fact(lambda f: questions.trips_per_day(marts.hourly_demand(f))),
     "busiest_stations": from_fact(lambda f: questions.busiest_stations(daily_of_computed(f))),
@@ -230,9 +397,13 @@ QUERIES: dict[str, Query] = {
     "bike_usage": from_fact(questions.bike_usage),
     "bike_type_comparison": from_fact(questions.bike_type_comparison),
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
-    "audit_station_daily": mart_audit("mart_station_daily_activity"),
+    "audit_station_daily": mart_audit(
+        "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")
+    ),
     "audit_station_od": mart_audit("mart_station_od"),
-    "audit_station_daily_unique": from_fact(station_daily_unique),
+    "audit_station_daily_unique": from_stored(station_daily_unique, "audit_station_daily_unique"),
+    "audit_fact_unique": audit_fact_unique,
+    "audit_store": audit_store,
     "audit_fact_trip": from_fact(
         lambda f: non_null_audit(f, "fact_trip", ("trip_id", "start_station_id", "end_time"))
     ),

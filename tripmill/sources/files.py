@@ -9,7 +9,6 @@ from tripmill.schemas import STATION_COLUMNS, STATION_CSV, TRIP_COLUMNS, TRIP_JS
 from tripmill.sources.tables import rebalanced
 
 CORRUPT = "_corrupt_record"
-LANDED_FILES = "*.json*"
 
 
 def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -36,12 +35,12 @@ def read_trip_json(
 ) -> DataFrame:
     """Landed trip events; the optional bounds (inclusive dates) prune landing directories.
 
-    With bounds, `path` must be the root of the landing, which holds the date directories.
+    With bounds, `path` must be the root of the landing, which holds the date directories. Files of
+    every name are read, except those Spark takes for hidden.
     """
     landed = (
         spark.read.schema(f"{TRIP_JSON}, {CORRUPT} STRING, ingest_date DATE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", LANDED_FILES)
         .json(path)
     )
     if ingest_from is not None:
@@ -60,13 +59,13 @@ def stream_trip_json(
 ) -> DataFrame:
     """The landing directory as a stream.
 
-    `max_files` or `max_bytes` (not both) bounds one micro-batch. Further file source options, such
-    as `maxFileAge` or `cleanSource`, pass through.
+    `max_files` or `max_bytes` (not both) bounds one micro-batch. Files of every name are read;
+    further file source options, such as `pathGlobFilter`, `maxFileAge` or `cleanSource`, pass
+    through.
     """
     reader = (
         spark.readStream.schema(f"{TRIP_JSON}, {CORRUPT} STRING")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", LANDED_FILES)
         .options(**options)
     )
     if max_bytes is None:
@@ -84,9 +83,9 @@ def _trip_rows(landed: DataFrame) -> DataFrame:
 def land_trips(trips: DataFrame, path: str) -> None:
     """Append raw trips to a landing: JSON lines under `ingest_date=YYYY-MM-DD` directories.
 
-    The ingest date is the date on which the event was created, as in its text.
+    The ingest date is the date on which the event was created, as in its text; events whose text
+    has no date land under the null date.
     """
-    dated = trips.select(
-        *TRIP_COLUMNS, F.to_date(F.substring("event_created_at", 1, 10)).alias("ingest_date")
-    )
+    created = F.to_date(F.try_to_timestamp(F.substring("event_created_at", 1, 10)))
+    dated = trips.select(*TRIP_COLUMNS, created.alias("ingest_date"))
     rebalanced(dated, "ingest_date").write.mode("append").partitionBy("ingest_date").json(path)

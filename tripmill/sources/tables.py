@@ -11,13 +11,12 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PUBLISHED = "_PUBLISHED"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# Above this many dates a read filters the whole table instead of naming directories.
-MAX_SLICES = 2000
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -30,6 +29,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def directories(spark: SparkSession, path: str) -> dict[str, str]:
+    """Names and paths of the directories below a path, from one listing call."""
+    fs, hadoop = _hadoop_path(spark, path)
+    if not fs.exists(hadoop):
+        return {}
+    found = [entry.getPath() for entry in fs.listStatus(hadoop) if entry.isDirectory()]
+    return {entry.getName(): entry.toString() for entry in found}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _hadoop_path(spark, path)
+    fs.delete(hadoop, True)
+
+
+def partition_name(column: str, value: str | None) -> str:
+    """Directory of a partition value given as Spark's text of it."""
+    escaped = spark_escaped(NULL_PARTITION if value is None else value)
+    return f"{column}={escaped}"
+
+
+def spark_escaped(text: str) -> str:
+    """Text as Spark writes it into a partition directory's name: odd characters as %XX."""
+    odd = set('"#%\'*/:=?\\\x7f{[]^')
+    return "".join(f"%{ord(c):02X}" if c in odd or ord(c) < 32 else c for c in text)
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """A table that every refresh replaces as a whole.
@@ -69,10 +94,16 @@ class SnapshotTable:
         return max(self.published(spark), default=None)
 
     def keep_newest(self, spark: SparkSession, count: int) -> None:
-        """Delete published versions beyond the newest `count`; running readers may hold one."""
-        for version in self.published(spark)[: -max(count, 1)]:
-            fs, old = _hadoop_path(spark, version)
-            fs.delete(old, True)
+        """Delete versions beyond the newest `count` published ones; running readers may hold one.
+
+        Staged versions older than the newest published one belong to failed refreshes and go, too.
+        """
+        published = self.published(spark)
+        kept = {path.rpartition("/")[2] for path in published[-max(count, 1) :]}
+        newest = max(kept, default="")
+        for name, path in directories(spark, self.path).items():
+            if name.startswith("version=") and name < newest and name not in kept:
+                delete_path(spark, path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         version = self.current(spark)
@@ -106,32 +137,40 @@ class PartitionedTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self.path)
 
-    def read_dates(self, spark: SparkSession, dates: DataFrame) -> DataFrame | None:
-        """The partitions whose first partition column is among `dates` (one column, distinct).
+    def read_slices(self, spark: SparkSession, values: Iterable[str | None]) -> DataFrame | None:
+        """The partitions of the given values of the first partition column, None without any.
 
-        Up to `MAX_SLICES` values are listed as directories. Beyond that the table is semi-joined,
-        which is right for any number; broadcasting is safe because calendar dates are bounded.
+        Values are Spark's texts of them, as Python knows fewer dates than Spark. The table's
+        directories are listed once; of the files, only those of the wanted directories are.
         """
         head = self.partition_by[0]
-        found = [row[0] for row in dates.limit(MAX_SLICES + 1).collect()]
-        if len(found) <= MAX_SLICES:
-            return self.read_slices(spark, found)
-        table = self.read(spark)
-        wanted = F.broadcast(dates.toDF("_date"))
-        return table.join(wanted, F.col(head).eqNullSafe(F.col("_date")), "left_semi")
+        wanted = {partition_name(head, value) for value in values}
+        present = directories(spark, self.path)
+        paths = sorted(present[name] for name in wanted & present.keys())
+        if not paths:
+            return None
+        return spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
 
-    def read_slices(self, spark: SparkSession, values: Iterable[object]) -> DataFrame | None:
-        """The partitions under the given values of the first partition column, None without any.
+    def drop(self, spark: SparkSession) -> None:
+        delete_path(spark, self.path)
 
-        Lists just those directories, so the listing does not grow with the table.
-        """
+    def drop_slices(self, spark: SparkSession, names: Iterable[str]) -> None:
+        """Deletes partitions given by their directories below the table, such as `a=1/b=2`."""
+        for name in names:
+            delete_path(spark, f"{self.path}/{name}")
+
+    def keep_only(self, spark: SparkSession, values: Iterable[str | None]) -> None:
+        """Deletes the partitions whose first partition column has none of the values."""
         head = self.partition_by[0]
-        names = [NULL_PARTITION if value is None else str(value) for value in values]
-        paths = [f"{self.path}/{head}={name}" for name in names]
-        present = [path for path in paths if path_exists(spark, path)]
-        if not present:
-            return None
-        return spark.read.schema(self.schema).option("basePath", self.path).parquet(*present)
+        kept = {partition_name(head, value) for value in values}
+        present = [name for name in directories(spark, self.path) if name.startswith(f"{head}=")]
+        self.drop_slices(spark, sorted(set(present) - kept))
+
+
+def date_texts(dates: DataFrame) -> list[str | None]:
+    """The distinct values of a frame's one date column, as Spark's texts of them."""
+    texts = dates.select(F.col(dates.columns[0]).cast("string").alias("text")).distinct()
+    return [row[0] for row in texts.collect()]
 
 
 @dataclass(frozen=True)
@@ -151,6 +190,16 @@ class ConnectorTable:
             return spark.table(self.name)
         return spark.read.format(self.format).options(**self.options).load()
 
+    def exists(self, spark: SparkSession) -> bool:
+        """Whether the table can be read; a connector says so by the class of its error."""
+        if self.format is None:
+            return spark.catalog.tableExists(self.name)
+        try:
+            self.read(spark)
+        except AnalysisException:
+            return False
+        return True
+
     def replace(self, df: DataFrame, check: Callable[[], object] | None = None) -> None:
         """Full overwrite. With a check, the rows are computed and checked before they go out."""
         if check is None:

@@ -1,31 +1,37 @@
-"""The micro-batch sink: trips once and only once into the fact table.
+"""The micro-batch sink: one row of each trip in the fact table.
 
 A micro-batch becomes the partitions `trip_date=<date>/load_batch=<stream>-<batch>`. Writing
-replaces exactly those, so a batch that Spark replays after a failure replaces itself. Trip ids
-that an earlier batch wrote are left out, however late the copy arrives.
+replaces exactly those, so a batch that Spark replays after a failure replaces itself. Of a trip's
+versions the latest survives, in whatever batches they come: a version that is not later than the
+stored one is left out, and a later one takes the stored one's place.
+
+The look-up of stored trips and the write are not one transaction, so a fact has a single writer:
+streams that share a fact must not run at the same time. The audit of the fact's trip ids
+(`audit_fact`) finds what a second writer would repeat.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget
-from tripmill.operators.survivors import keyed, keyless, latest_trip
+from tripmill.operators.survivors import TRIP_PRECEDENCE, keyed, keyless, latest_trip
 from tripmill.plans.fact_trip import enrich_trips
 from tripmill.schemas import FACT_TRIP, TRIP_COLUMNS, TRIP_JSON
 from tripmill.sources.files import CORRUPT
 from tripmill.sources.tables import (
-    MAX_SLICES,
     ConnectorTable,
     PartitionedTable,
+    date_texts,
+    partition_name,
     rebalanced,
 )
 
@@ -35,12 +41,24 @@ LOAD_BATCH = "load_batch"
 # Size of a (trip id, date) pair in a hash table beyond the text of the id.
 KEY_OVERHEAD_BYTES = 64
 STREAM_ID_PROPERTY = "sql.streaming.queryId"
+# Which of two versions is later, across batches; a copy that only comes from another file is not.
+VERSION = [name for name in TRIP_PRECEDENCE if name != "file_name"]
 
 
 def fact_table(path: str) -> PartitionedTable:
     return PartitionedTable(path, f"{FACT_TRIP}, {LOAD_BATCH} STRING", ("trip_date", LOAD_BATCH))
 
 
+def load_table(fact: PartitionedTable) -> PartitionedTable:
+    """What each load changed: a row for each date, under an id of the attempt that wrote it.
+
+    Dates are Spark's text of them, null for trips without one. A replayed load replaces its rows,
+    and its new attempt tells readers that the dates hold something new.
+    """
+    schema = f"trip_date STRING, attempt STRING, {LOAD_BATCH} STRING"
+    return PartitionedTable(f"{fact.path}_loads", schema, (LOAD_BATCH,))
+
+
 def quarantine_table(path: str) -> PartitionedTable:
     """Raw rows without a trip id, with the unparsed line where there was one."""
     schema = f"{TRIP_JSON}, {CORRUPT} STRING, file_name STRING, {LOAD_BATCH} STRING"
@@ -52,7 +70,7 @@ class TripSink:
     """`foreachBatch` function that turns raw trip rows into fact rows.
 
     `stations` opens the dimension; it is called for every batch, so a refreshed dimension takes
-    effect with the next batch. Known trip ids are looked up under the dates of the batch, which
+    effect with the next batch. Stored versions are looked up under the dates of the batch, which
     assumes that a re-sent trip keeps its start date; with `match_dates=False` they are looked up
     in the whole fact, which scans every written id for each batch. `stream_id` separates the
     batches of streams that share the tables; by default it is the id Spark keeps in the stream's
@@ -71,73 +89,144 @@ class TripSink:
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
         load_batch = f"{self.stream_id or running_stream_id(spark)}-{batch_id}"
-        # The batch is used for its statistics, the known ids and the write; parse files once.
+        # The batch is used for its statistics, the look-up and the writes; parse files once.
         # Lineage is kept, so a lost executor's blocks are recomputed.
-        raw = with_corrupt(raw).persist(StorageLevel.MEMORY_AND_DISK)
+        raw = with_corrupt(raw)
+        trips = normalise_trips(raw, F.struct(*raw.columns).alias("_raw"))
+        trips = trips.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._load(spark, raw, load_batch)
+            self._load(spark, trips, load_batch)
         finally:
-            raw.unpersist()
+            trips.unpersist()
 
-    def _load(self, spark: SparkSession, raw: DataFrame, load_batch: str) -> None:
-        trips = normalise_trips(raw)
+    def _load(self, spark: SparkSession, batch_trips: DataFrame, load_batch: str) -> None:
+        trips = batch_trips.drop("_raw")
         batch = BatchProfile.of(trips)
         if batch.rows == 0:
             log.info("load %s is empty, nothing written", load_batch)
             return
         new = latest_trip(keyed(trips))
-        if self.skip_known:
-            new = self._unknown(spark, trips, new, batch, load_batch)
-        facts = enrich_trips(new, self.stations(spark), self.budget, visits=trips)
-        tagged = facts.withColumn(LOAD_BATCH, F.lit(load_batch))
-        self.fact.replace_partitions(rebalanced(tagged, "trip_date"))
+        stored = self._stored_versions(spark, trips, batch, load_batch) if self.skip_known else None
+        beaten = None
+        if stored is not None:
+            # At most one stored row for each trip of the batch.
+            stored = stored.persist(StorageLevel.MEMORY_AND_DISK)
+            new, beaten = self._compare(new, stored)
+        try:
+            facts = enrich_trips(new, self.stations(spark), self.budget, visits=trips)
+            tagged = facts.withColumn(LOAD_BATCH, F.lit(load_batch))
+            self.fact.replace_partitions(rebalanced(tagged, "trip_date"))
+            changed = set(batch.dates)
+            if beaten is not None:
+                changed |= self._remove(spark, beaten)
+            self._record(spark, changed, load_batch)
+        finally:
+            if stored is not None:
+                stored.unpersist()
         if batch.without_id:
-            lost = keyless(raw).withColumn(LOAD_BATCH, F.lit(load_batch))
+            lost = keyless(batch_trips).select("_raw.*").withColumn(LOAD_BATCH, F.lit(load_batch))
             self.quarantine.replace_partitions(lost)
         log.info("load %s: %d rows, %d without trip id", load_batch, batch.rows, batch.without_id)
         if self.preview_rows:
             written = self.fact.read(spark).filter(F.col(LOAD_BATCH) == load_batch)
             written.show(self.preview_rows, truncate=False)
 
-    def _unknown(
-        self,
-        spark: SparkSession,
-        trips: DataFrame,
-        new: DataFrame,
-        batch: BatchProfile,
-        load_batch: str,
-    ) -> DataFrame:
-        """The rows of `new` whose id no other load has written for the same date.
-
-        The fact's ids are first reduced to those of this batch. When those are few enough to be
-        broadcast, the fact's ids are scanned but not shuffled.
+    def _key(self) -> list[str]:
+        return ["trip_id", "trip_date"] if self.match_dates else ["trip_id"]
+
+    def _stored_versions(
+        self, spark: SparkSession, trips: DataFrame, batch: BatchProfile, load_batch: str
+    ) -> DataFrame | None:
+        """Id, date, load and version of the batch's trips as other loads have written them.
+
+        When the batch's ids are few enough to be broadcast, the fact is scanned but not shuffled.
         """
-        key = ["trip_id", "trip_date"] if self.match_dates else ["trip_id"]
-        keys = keyed(trips).select(*key).distinct()
-        if not self.match_dates:
-            written = self.fact.read(spark)
-        elif batch.dates is None:
-            written = self.fact.read_dates(spark, keys.select("trip_date").distinct())
-        else:
-            written = self.fact.read_slices(spark, batch.dates)
+        written = (
+            self.fact.read_slices(spark, batch.dates)
+            if self.match_dates
+            else self.fact.read(spark)
+        )
         if written is None:
-            return new
+            return None
+        keys = keyed(trips).select(*self._key()).distinct()
         small = batch.id_bytes <= self.budget.limit_bytes
-        others = written.filter(F.col(LOAD_BATCH) != load_batch).select(*key)
-        repeated = _same_trip(others, F.broadcast(keys) if small else keys, key, "left_semi")
-        # Distinct keys of this batch again, so no larger than `keys`.
-        known = repeated.distinct()
-        return _same_trip(new, F.broadcast(known) if small else known, key, "left_anti")
+        others = written.filter(F.col(LOAD_BATCH) != load_batch).select(
+            "trip_id", "trip_date", LOAD_BATCH, version().alias("version")
+        )
+        return _same_trip(others, F.broadcast(keys) if small else keys, self._key(), "left_semi")
+
+    def _compare(self, new: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The new rows no stored version equals or beats; the stored rows a new one beats."""
+        versions = new.select(*self._key(), version().alias("version")).alias("l")
+        met = _same_trip(versions, stored.alias("r"), self._key(), "inner")
+        later = F.col("l.version") > F.col("r.version")
+        beaten = met.filter(later).select(
+            "r.trip_id", F.col("r.trip_date").alias("trip_date"), f"r.{LOAD_BATCH}"
+        )
+        known = met.filter(~later).select(*[f"l.{name}" for name in self._key()]).distinct()
+        return _same_trip(new, known, self._key(), "left_anti"), beaten
+
+    def _remove(self, spark: SparkSession, beaten: DataFrame) -> set[str | None]:
+        """Rewrites the partitions of beaten rows without them; returns their dates.
+
+        Comes after the new rows are written, so a failure in between leaves both versions until
+        the replayed batch gets here again. What stays is stored first, as a table cannot be read
+        while its partitions are replaced.
+        """
+        text = F.col("trip_date").cast("string").alias("date")
+        pairs = {tuple(row) for row in beaten.select(text, LOAD_BATCH).distinct().collect()}
+        if not pairs:
+            return set()
+        dates = {date for date, _ in pairs}
+        touched = beaten.select(F.col("trip_date").alias("_date"), F.col(LOAD_BATCH).alias("_load"))
+        on = F.col("trip_date").eqNullSafe(F.col("_date")) & (F.col(LOAD_BATCH) == F.col("_load"))
+        slices = self.fact.read_slices(spark, dates).join(touched.distinct(), on, "left_semi")
+        gone = beaten.select(
+            F.col("trip_id").alias("_id"),
+            F.col("trip_date").alias("_date"),
+            F.col(LOAD_BATCH).alias("_load"),
+        )
+        staged = PartitionedTable(
+            f"{self.fact.path}_staged/{uuid.uuid4().hex}", self.fact.schema, self.fact.partition_by
+        )
+        staged.replace_partitions(
+            rebalanced(slices.join(gone, on & (F.col("trip_id") == F.col("_id")), "left_anti"), "trip_date")
+        )
+        try:
+            rest = staged.read(spark)
+            left = {tuple(row) for row in rest.select(text, LOAD_BATCH).distinct().collect()}
+            self.fact.replace_partitions(rebalanced(rest, "trip_date"))
+            self.fact.drop_slices(
+                spark,
+                [
+                    f"{partition_name('trip_date', date)}/{partition_name(LOAD_BATCH, load)}"
+                    for date, load in pairs - left
+                ],
+            )
+        finally:
+            staged.drop(spark)
+        return dates
+
+    def _record(self, spark: SparkSession, dates: set[str | None], load_batch: str) -> None:
+        attempt = uuid.uuid4().hex
+        rows = [(date, attempt, load_batch) for date in sorted(dates, key=str)]
+        loads = load_table(self.fact)
+        loads.replace_partitions(spark.createDataFrame(rows, loads.schema).coalesce(1))
+
+
+def version() -> Column:
+    """Comparable version of a trip: by creation time first, nulls least."""
+    return F.struct(*[F.col(name) for name in VERSION])
 
 
 @dataclass(frozen=True)
 class BatchProfile:
-    """Counts of a micro-batch, and its dates unless there are very many."""
+    """Counts of a micro-batch, and its dates as Spark's text of them."""
 
     rows: int
     without_id: int
     id_bytes: int
-    dates: list[date | None] | None
+    dates: list[str | None]
 
     @classmethod
     def of(cls, trips: DataFrame) -> BatchProfile:
@@ -146,9 +235,8 @@ class BatchProfile:
             F.count_if(F.col("trip_id").isNull()),
             F.coalesce(F.sum(F.octet_length("trip_id") + KEY_OVERHEAD_BYTES), F.lit(0)),
         ]
-        per_date = trips.groupBy("trip_date").agg(*counts).limit(MAX_SLICES + 1).collect()
-        if len(per_date) > MAX_SLICES:
-            return cls(*trips.agg(*counts).first(), dates=None)
+        text = F.col("trip_date").cast("string").alias("date")
+        per_date = trips.groupBy(text).agg(*counts).collect()
         rows, without_id, id_bytes = (sum(line[i] for line in per_date) for i in (1, 2, 3))
         return cls(rows, without_id, id_bytes, [line[0] for line in per_date])
 
@@ -157,31 +245,48 @@ class BatchProfile:
 class AppendSink:
     """Sink for tables that can only be appended to, such as those of a warehouse connector.
 
-    De-duplicates inside the batch. A replayed batch appends again unless the connector itself
-    prevents it; `TripSink` does not have this limit.
+    Ids that are in the table already are left out, so copies in later batches and replays of a
+    batch, in whole or in part, add nothing; the whole table's ids are scanned for each batch. As
+    rows cannot be replaced, the first stored version of a trip stays. Quarantined rows have no id;
+    a load that has any in the quarantine adds no more.
     """
 
     fact: ConnectorTable
     quarantine: ConnectorTable
     stations: Callable[[SparkSession], DataFrame]
     budget: BroadcastBudget = BroadcastBudget()
+    stream_id: str | None = None
+    preview_rows: int = 0
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
+        spark = raw.sparkSession
+        load_batch = f"{self.stream_id or running_stream_id(spark)}-{batch_id}"
         raw = with_corrupt(raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if raw.isEmpty():
-                log.info("batch %d is empty, nothing written", batch_id)
+                log.info("load %s is empty, nothing written", load_batch)
                 return
             trips = normalise_trips(raw)
-            stations = self.stations(raw.sparkSession)
-            facts = enrich_trips(latest_trip(keyed(trips)), stations, self.budget, visits=trips)
-            self.fact.append(facts)
-            lost = keyless(raw)
-            if not lost.isEmpty():
+            new = latest_trip(keyed(trips))
+            if self.fact.exists(spark):
+                known = self.fact.read(spark).select("trip_id")
+                new = _same_trip(new, known, ["trip_id"], "left_anti")
+            facts = enrich_trips(new, self.stations(spark), self.budget, visits=trips)
+            self.fact.append(facts.withColumn(LOAD_BATCH, F.lit(load_batch)))
+            lost = keyless(raw).withColumn(LOAD_BATCH, F.lit(load_batch))
+            if not lost.isEmpty() and not self._holds(spark, load_batch):
                 self.quarantine.append(lost)
+            if self.preview_rows:
+                self.fact.read(spark).show(self.preview_rows, truncate=False)
         finally:
             raw.unpersist()
 
+    def _holds(self, spark: SparkSession, load_batch: str) -> bool:
+        if not self.quarantine.exists(spark):
+            return False
+        same = F.col(LOAD_BATCH) == load_batch
+        return not self.quarantine.read(spark).filter(same).isEmpty()
+
 
 def running_stream_id(spark: SparkSession) -> str:
     """Id of the stream whose batch this thread runs; it survives restarts from a checkpoint."""
