@@ -111,10 +111,10 @@ def test_recall_on_one_large_shard():
     data /= np.linalg.norm(data, axis=1)[:, None]
     settings = collisions.Settings()
     directions = collisions.random_directions(64, settings)
-    shard = collisions.Shard(data @ directions, settings)
+    shard = collisions.Shard(data @ directions, data[::64] @ directions, settings)
     hits, shares = 0, []
     for i in range(0, 4096, 64):
-        found = shard.candidates(data[i] @ directions, 6)
+        found = shard.candidates(i // 64, 6)
         scores = data @ data[i]
         scores[i] = -9
         hits += len(set(np.argsort(-scores)[:5]) & set(found))

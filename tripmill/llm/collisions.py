@@ -26,11 +26,11 @@ SHARD_ROWS = 4096
 class Settings:
     """`verified` is the share of a shard that must pass the threshold before widening ends."""
 
-    directions: int = 96
-    threshold: float = 0.8
-    verified: float = 0.25
-    first_width: float = 1.25
-    widening: float = 1.07
+    directions: int = 64
+    threshold: float = 0.75
+    verified: float = 0.1
+    first_width: float = 1.0
+    widening: float = 1.1
     seed: int = 5
 
 
@@ -57,9 +57,9 @@ def local_search(block: pa.Table, k: int, settings: Settings):
                 batch = whole.slice(start, SHARD_ROWS)
                 ids, rows = batch.column("vec_id").to_numpy(), matrix(batch.column("vector"))
                 norms = np.linalg.norm(rows, axis=1)
-                shard = Shard(rows / norms[:, None] @ directions, settings)
-                for i, centre in enumerate(centres):
-                    found = shard.candidates(centre, k + 1)
+                shard = Shard(rows / norms[:, None] @ directions, centres, settings)
+                for i in range(len(centres)):
+                    found = shard.candidates(i, k + 1)
                     found = found[ids[found] != query_ids[i]]
                     products = (rows[found] * queries[i]).sum(1)
                     best.add(i, products / (norms[found] * lengths[i]), ids[found])
@@ -69,41 +69,47 @@ def local_search(block: pa.Table, k: int, settings: Settings):
 
 
 class Shard:
-    """Sorted projections of some rows."""
+    """Sorted projections of some rows, and the windows of some queries in them."""
 
-    def __init__(self, projected: np.ndarray, settings: Settings):
-        self.rows, self.settings = len(projected), settings
+    def __init__(self, projected: np.ndarray, centres: np.ndarray, settings: Settings):
+        self.rows, self.settings, self.centres = len(projected), settings, centres
         self.order = np.ascontiguousarray(projected.argsort(0).T)
         self.values = np.take_along_axis(projected.T, self.order, 1)
         self.needed = max(1, int(np.ceil(settings.threshold * projected.shape[1])))
-
-    def candidates(self, centre: np.ndarray, least: int) -> np.ndarray:
-        """Rows that pass the collision threshold once enough of the shard does."""
+        self.levels: list[tuple[list, list]] = []
+
+    def windows(self, level: int) -> tuple[list, list]:
+        """Where the windows of a level begin and end, by query and direction."""
+        while len(self.levels) <= level:
+            width = self.settings.first_width * self.settings.widening ** len(self.levels)
+            ends = [
+                [values.searchsorted(at - width), values.searchsorted(at + width)]
+                for values, at in zip(self.values, self.centres.T, strict=True)
+            ]
+            low, high = np.array(ends).transpose(1, 2, 0)
+            self.levels.append((low.tolist(), high.tolist()))
+        return self.levels[level]
+
+    def candidates(self, query: int, least: int) -> np.ndarray:
+        """Rows that pass the collision threshold once enough of the shard does.
+
+        A level counts only what its windows hold beyond those of the level before.
+        """
         enough = min(self.rows, least + int(self.settings.verified * self.rows))
-        counts = np.zeros(self.rows, np.int64)
-        width, low, high = self.settings.first_width, None, None
+        counts, level = np.zeros(self.rows, np.int64), 0
         while True:
-            new_low, new_high = self._window(centre, width)
-            parts = []
-            for direction, order in enumerate(self.order):
-                a, b = new_low[direction], new_high[direction]
-                if low is None:
-                    parts.append(order[a:b])
-                else:
-                    parts.append(order[a : low[direction]])
-                    parts.append(order[high[direction] : b])
-            counts += np.bincount(np.concatenate(parts), minlength=self.rows)
+            lows, highs = self.windows(level)
+            low, high = lows[query], highs[query]
+            if level == 0:
+                found = [o[a:b] for o, a, b in zip(self.order, low, high, strict=True)]
+            else:
+                found = [o[a:b] for o, a, b in zip(self.order, low, inner[0], strict=True)]
+                found += [o[a:b] for o, a, b in zip(self.order, inner[1], high, strict=True)]
+            counts += np.bincount(np.concatenate(found), minlength=self.rows)
             passed = np.flatnonzero(counts >= self.needed)
             if len(passed) >= enough:
                 return passed
-            low, high, width = new_low, new_high, width * self.settings.widening
-
-    def _window(self, centre: np.ndarray, width: float) -> tuple[list[int], list[int]]:
-        ends = [
-            values.searchsorted((at - width, at + width))
-            for values, at in zip(self.values, centre, strict=True)
-        ]
-        return [int(e[0]) for e in ends], [int(e[1]) for e in ends]
+            inner, level = (low, high), level + 1
 
 
 def nearest_cosines(
