@@ -68,8 +68,10 @@ def test_long_text_counts_every_character():
     assert sum(len(x) for x in langid.features(text)) >= 2 * langid.CHUNK_CHARS
 
 
-def test_threshold_keeps_what_is_accepted_right():
-    logits = np.array([[4.0, 0], [3.0, 0], [0.1, 0], [0, 0.05]])
-    temperature, threshold = langid.calibrate(logits, np.array([0, 0, 1, 0]), 0.0, 0.1)
+def test_threshold_loses_few_that_are_right():
+    logits = np.array([[4.0, 0], [3.0, 0], [0.6, 0], [0.1, 0], [0, 0.05]])
+    truth = np.array([0, 0, 0, 1, 0])
+    temperature, threshold = langid.calibrate(logits, truth, 0.0, 0.99)
     chances = langid.softmax(logits / temperature).max(1)
-    assert (chances >= threshold).tolist() == [True, True, False, False]
+    assert (chances >= threshold).tolist() == [True, True, True, False, False]
+    assert langid.calibrate(logits, truth, 0.0, 0.3)[1] == 0.3

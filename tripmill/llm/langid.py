@@ -193,14 +193,15 @@ def descend(
 
 
 def calibrate(
-    logits: np.ndarray, labels: np.ndarray, error: float, least: float
+    logits: np.ndarray, labels: np.ndarray, lost: float, most: float
 ) -> tuple[float, float]:
-    """Temperature of the lowest log loss; threshold above which at most `error` is wrong.
+    """Temperature of the lowest log loss, and a threshold for the calibrated probability.
 
-    The threshold is never below `least`.
+    The threshold is so low that at most a share `lost` of the rightly predicted windows is below
+    it, and never above `most`.
     """
     if not len(labels):
-        return 1.0, least
+        return 1.0, most
     every = np.arange(len(labels))
     temperatures = np.geomspace(0.2, 20, 60)
     losses = [
@@ -208,19 +209,17 @@ def calibrate(
     ]
     temperature = float(temperatures[int(np.argmin(losses))])
     chances = softmax(logits / temperature)
-    order = np.argsort(-chances.max(1), kind="stable")
-    wrong = np.cumsum(chances.argmax(1)[order] != labels[order]) / (every + 1)
-    accepted = np.flatnonzero(wrong <= error)
-    last = accepted[-1] if len(accepted) else 0
-    return temperature, max(least, float(chances.max(1)[order[last]]) if last + 1 < len(order) else 0)
+    right = np.sort(chances.max(1)[chances.argmax(1) == labels])
+    least = right[int(lost * len(right))] if len(right) else most
+    return temperature, min(most, float(least))
 
 
 def train(
     docs: DataFrame,
     per_language: int = 600,
     epochs: int = 6,
-    error: float = 0.01,
-    least: float = 0.4,
+    lost: float = 0.001,
+    most: float = 0.4,
     seed: int = 7,
 ) -> LanguageModel:
     """Fits the model on about `per_language` labelled rows of each language.
@@ -231,7 +230,7 @@ def train(
     languages = tuple(sorted({lang for lang, _, _ in windows}))
     if not languages:
         empty = np.zeros((1 << BUCKET_BITS, DIMENSIONS), np.float32)
-        return LanguageModel((), empty, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, least)
+        return LanguageModel((), empty, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, most)
     number = {lang: i for i, lang in enumerate(languages)}
     learnt = [w for w in windows if not w[1]] or windows
     labels = np.array([number[lang] for lang, _, _ in learnt])
@@ -242,7 +241,7 @@ def train(
     means = [embeddings[buckets].mean(0, dtype=np.float64) for _, _, buckets in kept]
     logits = np.array(means).reshape(-1, DIMENSIONS) @ weights + bias
     truth = np.array([number[lang] for lang, _, _ in kept], int)
-    temperature, threshold = calibrate(logits, truth, error, least)
+    temperature, threshold = calibrate(logits, truth, lost, most)
     return LanguageModel(languages, embeddings, weights, bias, temperature, threshold)
 
 
