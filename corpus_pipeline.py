@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmill.llm import bytebpe, langid, linededup, mixing, simhash
 from tripmill.llm.common import stored
@@ -45,12 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     kept = docs.select("doc_id", "lang", "source", "text")
-    encoded = bytebpe.encode(kept, BYTE_BPE, public_tokenizers.PATTERN, keep_text=True)
-    decoded = bytebpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN)
-    text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    return decoded.select(
-        "doc_id", "lang", "source", "n_tokens", "ids", (F.col("decoded") == text).alias("round_trip")
-    )
+    return bytebpe.encode(kept, BYTE_BPE, public_tokenizers.PATTERN)
 
 
 STAGES = [

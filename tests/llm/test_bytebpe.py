@@ -57,14 +57,14 @@ def test_streamed_and_forgotten_pieces(codec, library, monkeypatch):
 def test_round_trip_of_odd_rows(spark, library):
     docs = with_clashing(odd_documents(spark))
     encoded = bytebpe.encode(docs, PATH, PATTERN, keep_text=True)
-    assert set(docs.columns) == set(encoded.columns)
+    assert {*docs.columns, "round_trip"} == set(encoded.columns)
     rows = bytebpe.decode(encoded, PATH, PATTERN).collect()
     assert len(rows) == docs.count()
     for row in rows:
         text = row["text"] or ""
         assert bytes(row["decoded"]) == text.encode()
         assert np.frombuffer(row["ids"], "<u4").tolist() == library.encode_ordinary(text)
-        assert row["n_tokens"] == len(row["ids"]) // 4
+        assert row["n_tokens"] == len(row["ids"]) // 4 and row["round_trip"]
 
 
 def test_empty_table(spark):

@@ -30,7 +30,7 @@ MATRIX_CELLS = 1 << 18
 # Longer pieces are merged one by one with a heap, whose cost is not quadratic in the length.
 LONGEST_ROW = 256
 # Pieces whose ids a worker remembers; reaching it only costs time.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 # Texts beyond this many characters are cut into pieces as a stream.
 STREAMED_CHARS = 1 << 20
 STREAMED_PIECES = 1 << 17
@@ -246,28 +246,35 @@ def _codec(rank_file: bytes, pattern: str) -> ByteBpe:
 def encode(
     docs: DataFrame, rank_path: str, pattern: str, column: str = "text", keep_text: bool = False
 ) -> DataFrame:
-    """Adds `ids` (binary, little-endian unsigned 32-bit) and `n_tokens` to every row.
+    """Adds `n_tokens`, `ids` (binary, little-endian unsigned 32-bit) and `round_trip` to every row.
 
-    The text column is replaced by them unless `keep_text`. A null or empty text has no ids. Other
-    columns pass through, except that columns called `ids` or `n_tokens` give way. Repeated rows
-    stay repeated; an empty table gives an empty one. The rank file is read once on the driver.
+    `round_trip` tells whether the ids decode to the bytes of the text. The text column is replaced
+    by them unless `keep_text`. A null or empty text has no ids. Other columns pass through, except
+    that columns of these names give way. Repeated rows stay repeated; an empty table gives an empty
+    one. The rank file is read once on the driver.
     """
-    docs = without(docs, "ids", "n_tokens")
+    docs = without(docs, "n_tokens", "ids", "round_trip")
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     kept = [c for c in docs.columns if keep_text or c != column]
     schema = docs.select(*kept).withColumn("n_tokens", F.lit(0).cast("long"))
-    schema = schema.withColumn("ids", F.lit(b"")).schema
+    schema = schema.withColumns({"ids": F.lit(b""), "round_trip": F.lit(True)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
         for batch in batches:
             for group in row_groups(batch, column):
+                texts = group.column(column).to_pylist()
                 with paused_collector():
-                    ids = codec.encode_all(group.column(column).to_pylist())
+                    ids = codec.encode_all(texts)
+                    same = [
+                        codec.decode(x) == (t or "").encode()
+                        for x, t in zip(ids, texts, strict=True)
+                    ]
                 columns = [group.column(c) for c in kept]
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, counts, pa.array(ids, pa.binary())], [*kept, "n_tokens", "ids"]
+                    [*columns, counts, pa.array(ids, pa.binary()), pa.array(same, pa.bool_())],
+                    [*kept, "n_tokens", "ids", "round_trip"],
                 )
 
     return map_batches(docs, run, schema)
