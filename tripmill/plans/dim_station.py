@@ -58,11 +58,13 @@ def load_dim_station(
     station_path: str,
     target: SnapshotTable | ConnectorTable,
     preview_rows: int = 0,
+    keep: int = 3,
 ) -> DimensionLoad:
     """Station CSV to the dimension table, replaced as a whole.
 
     Both counts are observed while the rows are written; an empty input or output raises before
-    the new rows become visible. The preview reads the written table, not the plan again.
+    the new rows become visible. The preview reads the written table, not the plan again. Of a
+    snapshot table the newest `keep` versions stay; running readers may hold an older one.
     """
     raw_seen, kept_seen = Observation(), Observation()
     raw = read_station_csv(spark, station_path).observe(raw_seen, F.count("*").alias("n"))
@@ -73,6 +75,8 @@ def load_dim_station(
         require_rows(observed(kept_seen), "station dimension after cleaning")
 
     target.replace(dim, check=both_have_rows)
+    if isinstance(target, SnapshotTable):
+        target.keep_newest(spark, keep)
     if preview_rows:
         target.read(spark).show(preview_rows, truncate=False)
     return DimensionLoad(observed(raw_seen), observed(kept_seen))

@@ -27,7 +27,7 @@ from tripmill.plans.refresh import (
     refresh_touched_dates,
 )
 from tripmill.session import pin_utc
-from tripmill.sources.files import land_trips
+from tripmill.sources.files import land_trips, read_trip_json
 from tripmill.sources.tables import ConnectorTable, SnapshotTable, date_texts, declare
 from tripmill.sources.workdir import new_workdir
 from tripmill.streaming.job import drain_trip_stream
@@ -167,6 +167,14 @@ def stream_cross_batch_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.fact.read(spark)
 
 
+def fact_trip_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact in one batch from landed files of all dates."""
+    landing = f"{new_workdir(spark, 'fact_trip_from_files')}/landing"
+    land_trips(fixtures.raw_trips(spark, sf_dir), landing)
+    raw = read_trip_json(spark, landing, ingest_from="2024-01-01")
+    return build_fact_trip(raw, dim(spark, sf_dir), fixtures.station_budget(spark, sf_dir))
+
+
 def connector_at(path: str) -> ConnectorTable:
     return ConnectorTable(format="parquet", options={"path": path})
 
@@ -368,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "trip_deduplicated_large": deduplicated_large,
     "fact_trip_large": large_fact,
     "fact_trip_large_shuffled": large_fact_shuffled,
+    "fact_trip_from_files": fact_trip_from_files,
     "fact_trip_stream": fact_trip_stream,
     "trip_quarantine": trip_quarantine,
     "stream_cross_batch_dedupe": stream_cross_batch_dedupe,
