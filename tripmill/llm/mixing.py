@@ -81,7 +81,7 @@ def solve(
     ).first()
     if not sources:
         return None
-    shares = stored(shares.select((F.col("tokens") / total).alias("share")).coalesce(1), "mix-shares")
+    shares = stored(shares.select((F.col("tokens") / total).alias("share")), "mix-shares")
     low, high = least / total, most / total
 
     def entropy_of(exponent: float, powers: float, logs: float) -> float:
