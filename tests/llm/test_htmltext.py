@@ -41,6 +41,8 @@ def test_query_against_articles(spark, data_dir):
         ("<form><p>x</form><aside>y</aside><footer>f</footer><header>h</header>z", "z"),
         ("<script>if (a<b) '</p>'</script><style>p{}</style><!-- <p>x --><p>z", "z"),
         ("<article><header><h1>T</h1></header>a<ol class=comments><li>c</ol></article>out", "T\na"),
+        ("<article><header class='entry-header'><h1>T</h1></header>a</article>", "T\na"),
+        ("<article><header class='share-header'>T</header>a</article>", "a"),
         ("<main>a <span class='ad'>buy</span> b<p hidden>c</main>", "a\nb"),
         ("<p>1 < 2 & 3 > 2 &lt;b&gt;&nbsp; x</p>", "1 < 2 & 3 > 2 <b> x"),
         ("<a href=\"x>y\">l</a> <p title='a>b'>m", "l\nm"),

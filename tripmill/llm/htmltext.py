@@ -181,8 +181,8 @@ class Page:
         if tag not in BLOCK and removed:
             self._end_block()
         # A header of the article itself holds its title.
-        if tag == "header" and above.main and not styled:
-            removed = False
+        if tag == "header" and above.main:
+            removed = not REMOVED_WORDS.isdisjoint(set(WORDS.findall(style)) - {"header"})
         path = signed(xxhash.xxh64_intdigest(f"{above.path} {style}"))
         main = above.main or tag in MAIN
         element = Element(tag, path, above.removed or removed, main, styled, above)
