@@ -76,6 +76,10 @@ def test_marts_read_their_columns_of_valid_trips(stored):
     assert not any(column.startswith(unused) for column in scanned(per_day))
 
 
+def test_shares_read_the_fact_once(stored):
+    assert len(scans(questions.bike_type_comparison(stored))) == 1
+
+
 def test_dates_prune_partitions(stored):
     day = marts.station_od(stored).filter("trip_date = DATE'2024-05-01'")
     (scan,) = scans(day)
