@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm import bytebpe, langid, linededup, mixing, simhash
-from tripmill.llm.common import stored
+from tripmill.llm.common import TEXT_ROWS, hand_over, stored
 from tripmill.llm.queries import (
     BOILERPLATE_SITES,
     BYTE_BPE,
@@ -32,6 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    hand_over(spark, TEXT_ROWS)
     return simhash.one_of_each_group(docs, NEAR_SHINGLE, NEAR_BITS)
 
 
@@ -43,6 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
+    hand_over(spark, TEXT_ROWS)
     kept = docs.select("doc_id", "lang", "source", "text")
     return bytebpe.encode(kept, BYTE_BPE, public_tokenizers.PATTERN)
 

@@ -61,6 +61,15 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+# Rows of whole texts, and of vectors, that Spark hands to Python at once.
+TEXT_ROWS, VECTOR_ROWS = 1_000, 10_000
+
+
+def hand_over(spark: SparkSession, rows: int) -> None:
+    """Sets the session's Arrow batch size, for queries and stages to call; operators never do."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

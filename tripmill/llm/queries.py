@@ -20,7 +20,7 @@ from tripmill.llm import (
     simhash,
     tokenfile,
 )
-from tripmill.llm.common import table
+from tripmill.llm.common import TEXT_ROWS, VECTOR_ROWS, hand_over, table
 from tripmill.sources.workdir import new_workdir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,16 +82,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, VECTOR_ROWS)
     vectors = table(spark, sf_dir, "embeddings")
     return pivotsearch.top_products(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, VECTOR_ROWS)
     vectors = table(spark, sf_dir, "embeddings")
     return collisions.nearest_cosines(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, TEXT_ROWS)
     docs = table(spark, sf_dir, "documents")
     found = simhash.near_duplicates(docs, NEAR_SHINGLE, NEAR_BITS)
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -99,6 +102,7 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, TEXT_ROWS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bytebpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN)
     decoded = bytebpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN)
