@@ -77,6 +77,44 @@ def test_copies_of_an_article_stay(spark):
     assert {row["text"] for row in got} == {"Same\nwords"}
 
 
+@pytest.mark.parametrize(
+    "opened, closed",
+    [
+        ("<article class='post big'>", "</article>"),
+        ("<main id=story>", "</main>"),
+        ("<div class=story>", "</div>"),
+        ("", ""),
+    ],
+)
+@pytest.mark.parametrize("nonce", ["", "<i class=n{letters}></i>", "<footer>{i}</footer>"])
+def test_thousands_of_copies_take_no_text_away(spark, opened, closed, nonce):
+    """Exact copies, and copies that differ in a class or outside their text, beside other pages."""
+
+    def page(i, words):
+        letters = "".join(chr(97 + int(d)) for d in str(i))
+        own = nonce.format(i=i, letters=letters)
+        banner = "<div class='x7'>Buy two</div>"
+        source = f"<html><body class=b>{banner}{opened}<p>{words}</p>{closed}{own}</body></html>"
+        return i, "http://a.org/", source
+
+    same = "the same words on page after page"
+    rows = [page(i, same) for i in range(3000)]
+    rows += [page(i, f"other words of the page {i}") for i in range(3000, 3100)]
+    got = htmltext.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    texts = {row["page_id"]: row["text"] for row in got}
+    assert all(same in texts[i] for i in range(3000))
+    assert all(f"other words of the page {i}" in texts[i] for i in range(3000, 3100))
+    if not nonce and opened:
+        assert not any("Buy two" in text for text in texts.values())
+
+
+def test_copies_weigh_no_more_than_one_page(spark):
+    pages = site(spark, 30)
+    copies = spark.range(1000).crossJoin(pages.filter("page_id = 0")).drop("id")
+    got = htmltext.main_text(pages.union(copies)).collect()
+    assert {row["text"] for row in got} == {f"own text {i}" for i in range(30)}
+
+
 def test_entropy_of_styles(spark):
     nodes = [("h", 1, 5, 5)] * 16 + [("h", 2, i, 5) for i in range(16)]
     frame = spark.createDataFrame(nodes, "host string, path long, content long, presentation long")

@@ -23,6 +23,8 @@ from tripmill.llm.common import Batches, map_batches, row_groups, stored, withou
 
 # Pages of a host from which a node's entropy counts, and the importance that a branch must have.
 LEAST_PAGES, LEAST_IMPORTANCE = 10, 0.2
+# A branch with more than this share of a page's text (numerator, denominator) is its main text.
+MOST = 2, 3
 
 # Names of HTML elements by their role.
 VOID = frozenset(
@@ -40,6 +42,8 @@ REMOVED = frozenset(
     "video xmp".split()
 )
 MAIN = frozenset(["article", "main"])
+# What holds a page or its article as such; whatever its style, it is no branch to remove.
+WHOLE = MAIN | {"html", "body"}
 # Words of a class, id or role that name what is no part of an article.
 REMOVED_WORDS = frozenset(
     "ad ads adv advert advertisement advertising advertorial banner breadcrumb breadcrumbs byline "
@@ -243,21 +247,39 @@ class Page:
         """The blocks that are in no removed branch. `low`: paths of low importance on this host.
 
         In a page with an article, what lies outside is no part of it, and inside only branches
-        with a class or id of their own can be of low importance.
+        with a class or id of their own can be of low importance. A low branch that is the page,
+        its article or most of the page's text stays with all it holds: its entropy only tells
+        that many pages have the same text.
         """
-        kept = []
+        found = []
         for block in self.blocks:
-            element = block.element
-            if element.removed or (self.has_main and not element.main):
-                continue
-            dropped = False
-            while element is not None and not dropped:
-                dropped = element.path in low and (element.styled or not element.main)
-                element = element.above
-            if not dropped:
-                kept.append(block.text())
+            if not block.element.removed and (block.element.main or not self.has_main):
+                found.append((block.text(), *self._low_branches(block.element, low)))
+        held: dict[int, int] = {}
+        for text, branches, _ in found:
+            for path in branches:
+                held[path] = held.get(path, 0) + len(text)
+        most = sum(len(text) for text, _, _ in found) * MOST[0]
+        kept = (
+            text
+            for text, branches, stays in found
+            if stays or not branches or any(held[path] * MOST[1] > most for path in branches)
+        )
         return "\n".join(text for text in kept if text)
 
+    @staticmethod
+    def _low_branches(element: Element | None, low: frozenset[int]) -> tuple[list[int], bool]:
+        """The low branches an element is in, and whether one of them is the page or its article."""
+        branches, stays = [], False
+        while low and element.above is not None:
+            if element.path in low and element.path != element.above.path:
+                if element.tag in WHOLE:
+                    stays = True
+                elif element.styled or not element.main:
+                    branches.append(element.path)
+            element = element.above
+        return branches, stays
+
 
 def host_of(url: Column) -> Column:
     """Host of a URL in lower case, without user and port; empty if there is none."""
@@ -266,26 +288,34 @@ def host_of(url: Column) -> Column:
 
 
 def style_nodes(pages: DataFrame, column: str = "html") -> DataFrame:
-    """(host, path, content, presentation): one row for each page and style in it."""
+    """(host, path, content, presentation): one row for each distinct page and style in it.
+
+    Pages of a host with the same styles that hold the same texts are one page. Their rows combine
+    before the exchange, by page and path, so a page in very many copies is no large group.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for group in row_groups(batch, column):
                 hosts = group.column("host").to_pylist()
-                rows = [
-                    (host, *node)
-                    for host, source in zip(hosts, group.column(column).to_pylist(), strict=True)
-                    for node in Page(source or "").nodes()
-                ]
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+                rows = []
+                for host, source in zip(hosts, group.column(column).to_pylist(), strict=True):
+                    nodes = list(Page(source or "").nodes())
+                    page = signed(xxhash.xxh64_intdigest(repr(nodes)))
+                    rows += [(host, page, *node) for node in nodes]
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                kinds = (pa.string(), *[pa.int64()] * 4)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                    ["host", "path", "content", "presentation"],
+                    ["host", "page", "path", "content", "presentation"],
                 )
 
-    schema = "host string, path long, content long, presentation long"
-    return map_batches(pages.select("host", column), run, schema)
+    schema = "host string, page long, path long, content long, presentation long"
+    nodes = map_batches(pages.select("host", column), run, schema)
+    once = nodes.groupBy("host", "page", "path")
+    return once.agg(
+        F.min("content").alias("content"), F.min("presentation").alias("presentation")
+    ).drop("page")
 
 
 def _entropies(nodes: DataFrame, what: str) -> DataFrame:
@@ -323,7 +353,7 @@ def main_text(
     """The rows of `pages` with `text` (main text) and `n_chars` instead of the HTML.
 
     Null and empty pages have an empty text. Pages without a host form a site of their own; sites
-    of fewer than `least_pages` pages lose no branch by its entropy. The trees are merged in one
+    of fewer than `least_pages` distinct pages lose no branch by its entropy. The trees are merged in one
     pass; the paths of low importance of each host, a few for each, are joined to the second one by
     Spark's choice. Repeated rows stay repeated; columns `text` and `n_chars` give way.
     """
