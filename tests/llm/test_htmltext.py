@@ -53,6 +53,27 @@ def test_pages(source, expected):
     assert text(source) == expected
 
 
+BASE64 = "data:image/png;base64," + "iVBORw0KGgo/" * 2500 + "=="
+LONG = "a > b <p>no text</p> class='sidebar' " * 1000
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        (f'<p><img src="{BASE64}">text</p><p class="x">more</p>', "text\nmore"),
+        (f"<p><img src='{BASE64}' alt='y'>text</p><p class='x'>more</p>", "text\nmore"),
+        (f'<p><img src={BASE64}>text</p><p class="x">more</p>', "text\nmore"),
+        (f'<p data-x="{LONG}">text</p><p>more</p>', "text\nmore"),
+        (f'<iframe srcdoc="{LONG}"></iframe><p title="{LONG}" class="sidebar">no</p>more', "more"),
+        ('<p title="class=sidebar" data-id="footer">text</p>', "text"),
+        ('<p id="x>text</p><p>more', "text\nmore"),
+        ("<p title = 'a>b' hidden>no<p/class=ad>no<p CLASS=\"ok\"id='z'>text", "text"),
+    ],
+)
+def test_attribute_values_of_any_length(source, expected):
+    assert text(source) == expected
+
+
 def site(spark, count, banner="<div class='x7'>Buy two, get three</div>"):
     rows = [
         (i, "http://Shop.example.org:80/x", f"<div class=top>{banner}</div><p>own text {i}</p>")
@@ -143,3 +164,13 @@ def test_hostile_pages_take_linear_time():
     for source in ('<a b="' * 100_000, "<div>" * 50_000 + "</b>" * 50_000, "<p " * 100_000, "<" * 300_000):
         text(source)
     assert time.process_time() - began < 30
+
+
+def test_hostile_attributes_take_linear_time():
+    began = time.process_time()
+    for source in (
+        "<a b='\"" * 100_000, "<a b=\"'" * 100_000 + "'", "<a b=" * 200_000, "<a b=\"x>" * 200_000,
+        "<a " + "b='c'" * 200_000, "'" + "<a b=\"> c=" * 100_000, "<a " + "= " * 300_000,
+    ):
+        text(source)
+    assert time.process_time() - began < 30

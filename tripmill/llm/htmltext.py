@@ -53,6 +53,8 @@ REMOVED_WORDS = frozenset(
     "sponsor sponsored subscribe toc toolbar widget widgets complementary alert disclaimer "
     "skyscraper topbar usermenu adsbygoogle adbox adslot".split()
 )
+# The attributes that matter here.
+READ = ("class", "id", "role", "hidden", "aria-hidden")
 # Elements that end an open one of the first kind up to the nearest of the second.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -66,17 +68,14 @@ ENDS = {
 # How far up a closing tag is searched for its element.
 DEEPEST = 400
 
+# What the text is cut by: a comment, a declaration, or the name of a tag.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*+)"
-    r"((?:[^>\"'=]++|=\s*+(?:\"[^\"]{0,20000}+\"|'[^']{0,20000}+'|)|[\"'])*+)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][^\s/>]*+)",
     re.S,
 )
-ATTRIBUTE = re.compile(
-    r"(?<![\w-])(class|id|role|hidden|aria-hidden)"
-    r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-    re.I | re.S,
-)
+# Parts of a tag after its name: up to a value or the end, white space, a value without quotes.
+NAMES, SPACE, BARE = re.compile(r"[^>=]*+"), re.compile(r"\s*+"), re.compile(r"[^\s>]*+")
 CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 WORDS = re.compile(r"[a-z]+")
 HEX_OR_NUMBER = re.compile(r"[0-9]+")
@@ -109,13 +108,41 @@ def signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def style_of(tag: str, attributes: str) -> tuple[str, bool, bool]:
+def attributes_at(source: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int]:
+    """The attributes of a tag whose name ends at `at`, by lower-case name, and where the tag ends.
+
+    Quoted values may have any length and hold anything. `last` has the place of the last quote of
+    each sort in the page: a value's quote that no other follows is no quote, and no search for one
+    starts that finds nothing, so a page takes linear time.
+    """
+    found: dict[str, str] = {}
+    while True:
+        stop = NAMES.match(source, at).end()
+        names = source[at:stop].replace("/", " ").lower().split()
+        if source[stop : stop + 1] != "=":
+            for name in names:
+                found.setdefault(name, "")
+            return found, min(stop + 1, len(source))
+        valued = names.pop() if names else ""
+        for name in names:
+            found.setdefault(name, "")
+        start = SPACE.match(source, stop + 1).end()
+        quote = source[start : start + 1]
+        if start < last.get(quote, -1):
+            start += 1
+            end = source.index(quote, start)
+            at = end + 1
+        else:
+            at = end = BARE.match(source, start).end()
+        if valued in READ:
+            found.setdefault(valued, source[start:end])
+
+
+def style_of(tag: str, attributes: dict[str, str]) -> tuple[str, bool, bool]:
     """Style of an element, whether it is more than its tag, and whether it names no article."""
-    if "=" not in attributes and "hidden" not in attributes.lower():
+    found = {name: attributes[name].lower() for name in READ if name in attributes}
+    if not found:
         return tag, False, tag in REMOVED
-    found = {}
-    for name, *values in ATTRIBUTE.findall(attributes):
-        found.setdefault(name.lower(), "".join(values).lower())
     named = " ".join(found.get(name, "") for name in ("class", "id", "role"))
     hidden = "hidden" in found or found.get("aria-hidden") == "true"
     removed = tag in REMOVED or hidden or not REMOVED_WORDS.isdisjoint(WORDS.findall(named))
@@ -138,6 +165,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
+        last = {quote: source.rfind(quote) for quote in "\"'"}
         while at < size:
             token = TOKEN.search(source, at)
             if token is None:
@@ -145,10 +173,11 @@ class Page:
                 return
             self._text(source[at : token.start()])
             at = token.end()
-            closing, tag, attributes = token.groups()
+            closing, tag = token.groups()
             if tag is None:
                 continue
             tag = tag.lower()
+            attributes, at = attributes_at(source, at, last)
             if closing:
                 self._close(tag)
                 continue
@@ -167,7 +196,7 @@ class Page:
             self.blocks.append(block)
         self.pieces = []
 
-    def _open(self, tag: str, attributes: str) -> None:
+    def _open(self, tag: str, attributes: dict[str, str]) -> None:
         if tag == "br":
             self.pieces.append(" ")
         if tag in BLOCK:
