@@ -53,6 +53,31 @@ def test_pages(source, expected):
     assert text(source) == expected
 
 
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("<main class='content with-sidebar'><p>a</main>out", "a"),
+        ("<div class='content-sidebar-wrap'><article>a</article></div>out", "a"),
+        ("<div class='content-sidebar-wrap'><p>a</div><div class=sidebar>s</div>", "a"),
+        ("<div id=content class=has-toc><p>a</div><p>z", "a\nz"),
+        ("<article class='post no-comments'>a</article>out", "a"),
+        ("<h1 class='page-header'>T</h1><p>a", "T\na"),
+        ("<div class='right-sidebar'><main>a</main><div class='right-sidebar'>s</div></div>", "a"),
+        ("<div class='layout sidebar'><article>a</article></div>out", "a"),
+        ("<main class=widget><div class=widget><article>a</article></div></main>out", "a"),
+        ("<div class=toolbar><p>most of the text is here</div><p>z", "most of the text is here\nz"),
+        ("<div class='related-posts'><article>t</article><article>u</article></div><p>own", "own"),
+        ("<article class=widget>long</article><article class=widget>text</article>out", "long\ntext"),
+        ("<article>a<div class='related'><article>t</article></div></article>", "a"),
+        ("<p>some own text<p class='ad-hoc social-science'>z<p class='comment-list'>n", "some own text\nz"),
+        ("<p>own text<div class='post ad-300x250'>n</div><div id=sidebar1>n</div><p class=ad_box>n", "own text"),
+        ("<nav class=x><main>a</main></nav>out", "out"),
+    ],
+)
+def test_names_of_wrappers(source, expected):
+    assert text(source) == expected
+
+
 BASE64 = "data:image/png;base64," + "iVBORw0KGgo/" * 2500 + "=="
 LONG = "a > b <p>no text</p> class='sidebar' " * 1000
 

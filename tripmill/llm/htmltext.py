@@ -44,7 +44,7 @@ REMOVED = frozenset(
 MAIN = frozenset(["article", "main"])
 # What holds a page or its article as such; whatever its style, it is no branch to remove.
 WHOLE = MAIN | {"html", "body"}
-# Words of a class, id or role that name what is no part of an article.
+# Words that name what is no part of an article, as the last of a class, id or role.
 REMOVED_WORDS = frozenset(
     "ad ads adv advert advertisement advertising advertorial banner breadcrumb breadcrumbs byline "
     "comment comments commentlist consent contentinfo cookie cookies disqus footer gdpr header "
@@ -53,6 +53,15 @@ REMOVED_WORDS = frozenset(
     "sponsor sponsored subscribe toc toolbar widget widgets complementary alert disclaimer "
     "skyscraper topbar usermenu adsbygoogle adbox adslot".split()
 )
+# Words after which the one before names the element, words that say a page has or
+# lacks something elsewhere, and words that on a heading mean the heading itself.
+PARTS = frozenset(
+    "area articles bar block bottom box button buttons form icons inner item items left link links "
+    "list message posts right stories top".split()
+)
+ELSEWHERE = frozenset("has no not with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADERS = frozenset("banner header masthead".split())
 # The attributes that matter here.
 READ = ("class", "id", "role", "hidden", "aria-hidden")
 # Elements that end an open one of the first kind up to the nearest of the second.
@@ -77,7 +86,7 @@ TOKEN = re.compile(
 # Parts of a tag after its name: up to a value or the end, white space, a value without quotes.
 NAMES, SPACE, BARE = re.compile(r"[^>=]*+"), re.compile(r"\s*+"), re.compile(r"[^\s>]*+")
 CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
-WORDS = re.compile(r"[a-z]+")
+WORDS = re.compile(r"[a-z]{2,}")
 HEX_OR_NUMBER = re.compile(r"[0-9]+")
 
 
@@ -85,24 +94,24 @@ HEX_OR_NUMBER = re.compile(r"[0-9]+")
 class Element:
     tag: str
     path: int
+    hard: bool
+    named: bool
     removed: bool
     main: bool
     styled: bool
     above: Element | None
     children: list[str] = field(default_factory=list)
-    holds: list[str] = field(default_factory=list)
+    chars: int = 0
+    holds_main: bool = False
 
 
 @dataclass
 class Block:
     """Text of one block and the innermost element that holds it."""
 
-    pieces: list[str]
+    text: str
     element: Element
 
-    def text(self) -> str:
-        return " ".join(html.unescape("".join(self.pieces)).split())
-
 
 def signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
@@ -138,16 +147,42 @@ def attributes_at(source: str, at: int, last: dict[str, int]) -> tuple[dict[str,
             found.setdefault(valued, source[start:end])
 
 
-def style_of(tag: str, attributes: dict[str, str]) -> tuple[str, bool, bool]:
-    """Style of an element, whether it is more than its tag, and whether it names no article."""
+def names_no_article(tag: str, names: str, in_main: bool) -> bool:
+    """Whether a class, id or role names what is no part of an article.
+
+    The last word of each counts, as "sidebar" of "left-sidebar" or of "sidebar-box", but not of
+    "no-sidebar" or "sidebar-wrap". Of an article's own header every word but that counts.
+    """
+    for name in names.split():
+        words = WORDS.findall(name)
+        if not words or not ELSEWHERE.isdisjoint(words[:-1]):
+            continue
+        if tag == "header" and in_main:
+            named = REMOVED_WORDS.intersection(words) - {"header"}
+        else:
+            while len(words) > 1 and words[-1] in PARTS:
+                words.pop()
+            named = REMOVED_WORDS.intersection(words[-1:])
+        if named - HEADERS if tag in HEADINGS else named:
+            return True
+    return False
+
+
+def style_of(
+    tag: str, attributes: dict[str, str], in_main: bool
+) -> tuple[str, bool, bool, bool]:
+    """Style of an element, whether it is more than its tag, and whether HTML or a name removes it."""
+    # A header of the article itself holds its title.
+    hard = tag in REMOVED and not (tag == "header" and in_main)
     found = {name: attributes[name].lower() for name in READ if name in attributes}
     if not found:
-        return tag, False, tag in REMOVED
-    named = " ".join(found.get(name, "") for name in ("class", "id", "role"))
-    hidden = "hidden" in found or found.get("aria-hidden") == "true"
-    removed = tag in REMOVED or hidden or not REMOVED_WORDS.isdisjoint(WORDS.findall(named))
+        return tag, False, hard, False
+    names = " ".join(found.get(name, "") for name in ("class", "id", "role"))
+    hard = hard or "hidden" in found or found.get("aria-hidden") == "true"
+    named = names_no_article(tag, names, in_main)
     look = HEX_OR_NUMBER.sub("0", f"{found.get('class', '')}#{found.get('id', '')}")
-    return f"{tag}.{look}", look != "#", removed and tag not in ("html", "body")
+    page = tag in ("html", "body")
+    return f"{tag}.{look}", look != "#", hard and not page, named and not page
 
 
 class Page:
@@ -156,11 +191,14 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[Block] = []
         self.elements: list[Element] = []
-        self.root = Element("", 0, False, False, False, None)
+        self.root = Element("", 0, False, False, False, False, False, None)
+        self.opened: list[Element] = []
         self.stack = [self.root]
         self.pieces: list[str] = []
         self._read(source)
         self._end_block()
+        if any(element.named for element in self.opened):
+            self._settle_names()
         self.has_main = any(e.main and not e.removed for e in self.elements)
 
     def _read(self, source: str) -> None:
@@ -192,8 +230,8 @@ class Page:
 
     def _end_block(self) -> None:
         if any(not piece.isspace() for piece in self.pieces):
-            block = Block(self.pieces, self.stack[-1])
-            self.blocks.append(block)
+            text = " ".join(html.unescape("".join(self.pieces)).split())
+            self.blocks.append(Block(text, self.stack[-1]))
         self.pieces = []
 
     def _open(self, tag: str, attributes: dict[str, str]) -> None:
@@ -203,24 +241,26 @@ class Page:
             self._end_block()
             self._end_open(tag)
         above = self.stack[-1]
-        style, styled, removed = style_of(tag, attributes)
+        style, styled, hard, named = style_of(tag, attributes, above.main)
+        removed = hard or named
         # Runs of inline elements do not start a style of their own.
         if tag not in BLOCK and not styled and not removed:
             if tag not in VOID:
-                self.stack.append(
-                    Element(tag, above.path, above.removed, above.main, False, above)
+                element = Element(
+                    tag, above.path, False, False, above.removed, above.main, False, above
                 )
+                self.opened.append(element)
+                self.stack.append(element)
             return
         if tag not in BLOCK and removed:
             self._end_block()
-        # A header of the article itself holds its title.
-        if tag == "header" and above.main:
-            removed = not REMOVED_WORDS.isdisjoint(set(WORDS.findall(style)) - {"header"})
         path = signed(xxhash.xxh64_intdigest(f"{above.path} {style}"))
         main = above.main or tag in MAIN
-        element = Element(tag, path, above.removed or removed, main, styled, above)
+        removed = above.removed or removed
+        element = Element(tag, path, hard, named, removed, main, styled, above)
         self._styled_above(above).children.append(style)
         self.elements.append(element)
+        self.opened.append(element)
         if tag not in VOID:
             self.stack.append(element)
 
@@ -254,6 +294,49 @@ class Page:
             if tag not in BLOCK and open_.tag in BLOCK:
                 return
 
+    def _settle_names(self) -> None:
+        """Takes back removals by name that would take the page's article or most of its text.
+
+        An element with <main> or with most of the text stays. So does one with an article, if all
+        articles would go: the only one of the page, or several with more text than what is left.
+        """
+        articles, inside = [], {id(self.root): (False, False)}
+        for element in self.opened:
+            hard, article = inside[id(element.above)]
+            hard = hard or element.hard
+            if element.tag == "article" and not hard and not article:
+                articles.append(element)
+            element.holds_main = element.tag == "main" and not hard
+            inside[id(element)] = hard, article or element.tag == "article"
+        for block in self.blocks:
+            if not inside[id(block.element)][0]:
+                block.element.chars += len(block.text)
+        for element in reversed(self.opened):
+            element.above.chars += element.chars
+            element.above.holds_main |= element.holds_main
+        most = self.root.chars * MOST[0]
+        for element in self.opened:
+            if element.holds_main or element.chars * MOST[1] > most:
+                element.named = False
+        self._remove()
+        if articles and all(article.removed for article in articles):
+            has_main = any(e.main and not e.removed for e in self.elements)
+            left = sum(
+                len(block.text)
+                for block in self.blocks
+                if not block.element.removed and (block.element.main or not has_main)
+            )
+            if len(articles) == 1 or sum(article.chars for article in articles) > left:
+                for element in articles:
+                    while element is not None:
+                        element.named = False
+                        element = element.above
+                self._remove()
+
+    def _remove(self) -> None:
+        for element in self.opened:
+            element.removed = element.above.removed or element.hard or element.named
+
     def nodes(self) -> Iterator[tuple[int, int, int]]:
         """(path, content, presentation) of every style that occurs, as hashes."""
         held: dict[int, list[str]] = {}
@@ -262,7 +345,7 @@ class Page:
             shown.setdefault(element.path, []).append(" ".join(element.children))
             held.setdefault(element.path, [])
         for block in self.blocks:
-            text, element = block.text(), block.element
+            text, element = block.text, block.element
             last = None
             while element is not None:
                 if element.path != last and element.path in held:
@@ -283,7 +366,7 @@ class Page:
         found = []
         for block in self.blocks:
             if not block.element.removed and (block.element.main or not self.has_main):
-                found.append((block.text(), *self._low_branches(block.element, low)))
+                found.append((block.text, *self._low_branches(block.element, low)))
         held: dict[int, int] = {}
         for text, branches, _ in found:
             for path in branches:
