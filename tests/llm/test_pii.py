@@ -89,6 +89,56 @@ def test_votes_reach_patterns_without_seeds(spark):
     assert len(added[10]) == len(added[30]) == 1
 
 
+def found_in(spark, texts):
+    rows = [(i, text, "en", "a") for i, text in enumerate(texts)]
+    got = {row["doc_id"]: row for row in pii.personal_data(documents(spark, rows)).collect()}
+    return [[text[s["start"] : s["end"]] for s in got[i]["added"]] for i, text in enumerate(texts)]
+
+
+def test_learns_grouped_numbers(spark):
+    seeds = [f"please call phone: +1 555 {i:03d} 4567 today" for i in range(20)]
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881"]
+    cards = [f"card: {number} x" for number in cards]
+    grouped = ["555 867 5309", "(555) 867-5309", "030 1234567", "555.867 5310"]
+    texts = [f"the office phone: {number}, ask there" for number in grouped]
+    texts += ["phone: 867 5309 867 5310 end", "card: 4111 1111 1111 1112."]
+    added = found_in(spark, seeds + cards + texts)
+    assert not any(added[: len(seeds)])
+    assert added[-6:-2] == [[number] for number in grouped]
+    assert added[-2:] == [["867 5309"], ["4111 1111 1111 1112"]]
+
+
+def test_label_that_is_half_unseen(spark):
+    """Numbers after a label are found though half of them are no seeds; order numbers are not."""
+    texts = [f"phone: +1 555 {i:03d} 4567 a{i}" for i in range(10)]
+    texts += [f"phone: 555-{i:03d}-4567 b{i}" for i in range(10)]
+    texts += [f"order number 777-{i:03d}-4567 shipped" for i in range(30)]
+    added = found_in(spark, texts)
+    assert added[10:20] == [[f"555-{i:03d}-4567"] for i in range(10)]
+    assert not any(added[:10] + added[20:])
+
+
+def test_few_seeds_among_many_numbers_tell_nothing(spark):
+    texts = [f"and of: +1 555 {i:03d} 4567 a{i}" for i in range(4)]
+    texts += [f"and of: 1234{i:03d} b{i}" for i in range(200)]
+    assert not any(found_in(spark, texts))
+
+
+def test_instances():
+    def words(text):
+        return [text[s:e] for s, e in pii.instances(text, pii.base_spans(text))]
+
+    assert words("a 1 2, 3 (4) 5\n6  7") == ["1 2", "3 (4) 5", "6  7"]
+    assert words("on 555-867-5309 555-867-5310 24") == ["555-867-5309", "555-867-5310", "24"]
+    assert sorted(words("(030) 1234 mail x@y.zz 7 x1 8")) == ["(030) 1234", "7", "8", "x1"]
+    assert words("(555 867 5311), [1 2.") == ["555 867 5311", "1 2"]
+    assert words("4111 1111 1111 1112 4111 1111 1111 1113") == [
+        "4111 1111 1111 1112", "4111 1111 1111 1113",
+    ]
+    long = "x" * 100 + "@" + "y" * 100
+    assert [o["word"] for o in pii.occurrences(f"id: {long} z", [])] == [long]
+
+
 def test_odd_rows(spark):
     docs = with_clashing(odd_documents(spark))
     rows = pii.personal_data(docs).collect()
@@ -106,3 +156,10 @@ def test_hostile_texts_take_linear_time():
         pii.base_spans(text)
         pii.occurrences(text, [])
     assert time.process_time() - began < 20
+
+
+def test_hostile_groups_take_linear_time():
+    began = time.process_time()
+    for text in ("1 " * 200_000, "12 345 " * 100_000, "(1 " * 100_000, "1 2 1 3 " * 50_000):
+        pii.occurrences(text, [])
+    assert time.process_time() - began < 20

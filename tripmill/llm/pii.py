@@ -1,8 +1,8 @@
 """Personal data by fixed formats, and by patterns that are learnt from their contexts.
 
 Formats find e-mail and IP addresses, card and phone numbers. These seeds vote for the word pairs
-before and after them (patterns); patterns vote for the identifier-like words (instances) they
-stand at. Spark passes scores over the pattern-instance graph a few times. Patterns that end with
+before and after them (patterns); patterns vote for the identifier-like words and runs of digit
+groups (instances) they stand at. Spark passes scores over the pattern-instance graph a few times. Patterns that end with
 high confidence and enough support mark identifiers the formats do not know.
 """
 
@@ -31,9 +31,16 @@ DIGIT = re.compile(r"[0-9]")
 # Characters beside a span that are searched for its context's words.
 CONTEXT_CHARS, CONTEXT_WORDS = 60, 2
 WRAPPING = ".,;:!?\"'()[]{}<>="
-LENGTHS = range(5, 65)
-# Learning: passes over the graph, least support in instances, least confidence.
-PASSES, SUPPORT, CONFIDENCE = 3, 3.0, 0.8
+BREAKING = ".,;:!?\"'[]{}<>="
+LEAST_LENGTH = 5
+# A word of digits that can be part of a run, what may stand between two, the digits of a whole
+# number in one word, of the least number, and of the longest one.
+GROUP = re.compile(r"[+(]{0,2}[0-9][0-9().+-]*+")
+GAP = re.compile(r"[ \t\xa0\u2009\u202f]{1,2}")
+WHOLE_DIGITS, LEAST_DIGITS, MOST_DIGITS = 10, 7, 19
+# Learning: passes over the graph, least support in instances, least confidence, and the share of
+# seeds among the instances of a pattern from which the others there are no counter-examples.
+PASSES, SUPPORT, CONFIDENCE, NEAR = 3, 3.0, 0.8, 0.1
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -82,8 +89,8 @@ def possible_kinds(word: str) -> int:
     bits = 1 if "@" in word[1:-1] else 0
     if word.count(":") >= 3 or word.count(".") >= 3 and digits >= 4:
         bits |= 2
-    if digits >= 7 and not any(c.isalpha() for c in word):
-        bits |= 4 * (12 <= digits <= 19) | 8 * (digits <= 15)
+    if digits >= LEAST_DIGITS and not any(c.isalpha() for c in word):
+        bits |= 4 * (12 <= digits <= MOST_DIGITS) | 8 * (digits <= 15)
     return bits
 
 
@@ -95,25 +102,89 @@ def contexts(text: str, start: int, end: int) -> tuple[str, str]:
     return left, right
 
 
+def cut_run(digits: list[int]) -> Iterator[tuple[int, int]]:
+    """Parts of a run of digit groups, given by their digits, that can each be one number.
+
+    A run that repeats itself, as "867 5309 867 5310", is cut where it does if that gives numbers;
+    else it is one number, or, with too many digits, cut as late as possible again and again.
+    """
+    size = len(digits)
+    periods = (n for n in range(1, min(size, MOST_DIGITS + 1)) if digits[n:] == digits[:-n])
+    period = next(periods, size)
+    if size % period == 0 and LEAST_DIGITS <= sum(digits[:period]) <= MOST_DIGITS:
+        yield from ((at, at + period) for at in range(0, size, period))
+        return
+    start, held = 0, 0
+    for at, count in enumerate(digits):
+        if at > start and held + count > MOST_DIGITS:
+            yield start, at
+            start, held = at, 0
+        held += count
+    yield start, size
+
+
+def unwrapped(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span without the brackets that enclose it or have no partner in it."""
+    word = text[start:end]
+    if word.startswith("(") and word.find(")") in (-1, len(word) - 1):
+        start += 1
+    if word.endswith(")") and word.rfind("(") in (-1, 0):
+        end -= 1
+    return start, end
+
+
+def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Words with a digit or @ outside base spans; adjacent groups of digits are one, as cut above."""
+    taken = sorted((start, end) for _, start, end in base)
+    starts = np.array([start for start, _ in taken])
+    reach = np.maximum.accumulate([end for _, end in taken]) if taken else starts
+    run: list[tuple[int, int]] = []
+    open_until = -1
+
+    def parts() -> Iterator[tuple[int, int]]:
+        for first, after in cut_run([len(DIGIT.findall(text[s:e])) for s, e in run]):
+            start, end = run[first][0], run[after - 1][1]
+            if after - first > 1:
+                yield unwrapped(text, start, end)
+            else:
+                word = text[start:end].strip(WRAPPING)
+                start += text[start:end].index(word)
+                yield start, start + len(word)
+
+    for match in WORD.finditer(text):
+        raw = match.group()
+        if not MARKED.search(raw):
+            continue
+        word = raw.strip(WRAPPING)
+        start = match.start() + raw.index(word)
+        end = start + len(word)
+        before = np.searchsorted(starts, end) - 1
+        if before >= 0 and reach[before] > start:
+            continue
+        bare = raw.strip(BREAKING)
+        if not GROUP.fullmatch(bare) or len(DIGIT.findall(bare)) >= WHOLE_DIGITS:
+            yield start, end
+            continue
+        own = match.start() + raw.index(bare)
+        if run and not (
+            own == match.start()
+            and open_until == run[-1][1]
+            and GAP.fullmatch(text, open_until, match.start())
+        ):
+            yield from parts()
+            run = []
+        run.append((own, own + len(bare)))
+        open_until = match.end()
+    if run:
+        yield from parts()
+
+
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base spans and identifier-like words outside them, with their contexts."""
+    """Base spans and identifier-like instances outside them, with their contexts."""
     found = [(start, end, 1 << kind, True) for kind, start, end in base]
     if MARKED.search(text):
-        taken = sorted((start, end) for _, start, end in base)
-        starts = np.array([start for start, _ in taken])
-        reach = np.maximum.accumulate([end for _, end in taken]) if taken else starts
-        for match in WORD.finditer(text):
-            if not MARKED.search(match.group()):
-                continue
-            word = match.group().strip(WRAPPING)
-            if len(word) not in LENGTHS:
-                continue
-            start = match.start() + match.group().index(word)
-            end = start + len(word)
-            before = np.searchsorted(starts, end) - 1
-            if before >= 0 and reach[before] > start:
-                continue
-            kinds = possible_kinds(word)
+        for start, end in instances(text, base):
+            kinds = possible_kinds(text[start:end]) if end - start >= LEAST_LENGTH else 0
             if kinds:
                 found.append((start, end, kinds, False))
     out = []
@@ -186,9 +257,10 @@ def pattern_words() -> dict[str, Column]:
 
 
 def graph(seen: DataFrame) -> DataFrame:
-    """(pattern, instance, kind, seed): one row for each edge, by kind.
+    """(pattern, instance, kind, shape, seed): one row for each edge, by kind.
 
-    A pattern is a side and the words there; an instance is a hash of the word in lower case.
+    A pattern is a side and the words there; an instance is a hash of the word in lower case, its
+    shape one of the word with digits as 0 and letters in a row as a.
     """
     sides = [
         F.struct(F.lit(side).alias("side"), words.alias("words"))
@@ -196,44 +268,85 @@ def graph(seen: DataFrame) -> DataFrame:
     ]
     numbers = F.array(*[F.lit(k) for k in range(len(KINDS))])
     possible = F.filter(numbers, lambda k: F.col("kinds").bitwiseAND(_bit(k)) > 0)
+    shape = F.regexp_replace(F.regexp_replace("word", "[0-9]", "0"), r"\p{L}+", "a")
     edges = seen.select(
         F.explode(F.array(*sides)).alias("pattern"),
         F.xxhash64(F.lower("word")).alias("instance"),
+        F.xxhash64(shape).alias("shape"),
         possible.alias("possible"),
         "seed",
     ).filter("pattern.words <> ''")
-    edges = edges.select("pattern", "instance", F.explode("possible").alias("kind"), "seed")
-    return edges.groupBy("pattern", "instance", "kind").agg(F.max("seed").alias("seed"))
+    edges = edges.select(
+        "pattern", "instance", "shape", F.explode("possible").alias("kind"), "seed"
+    )
+    return edges.groupBy("pattern", "instance", "kind").agg(
+        F.min("shape").alias("shape"), F.max("seed").alias("seed")
+    )
 
 
 def _bit(kind: Column) -> Column:
     return F.element_at(F.array(*[F.lit(1 << k) for k in range(len(KINDS))]), kind + 1)
 
 
+def seeds_and_doubts(edges: DataFrame) -> DataFrame:
+    """(instance, kind, seeded, doubt): whether it is a seed, and how likely one that is not is wrong.
+
+    An instance that is no seed is unknown if it stands at a pattern with enough seeds, else a
+    counter-example. The doubt is the share of counter-examples among those of the same shape.
+    """
+    seeded = F.col("seed").cast("int")
+    near = edges.groupBy("pattern", "kind").agg(
+        F.sum(seeded).alias("support"), F.count("*").alias("instances")
+    )
+    near = near.filter(
+        (F.col("support") >= SUPPORT) & (F.col("support") >= NEAR * F.col("instances"))
+    ).select("pattern", "kind", F.lit(1).alias("near"))
+    found = edges.join(near, ["pattern", "kind"], "left").groupBy("instance", "kind").agg(
+        F.max(seeded).cast("double").alias("seeded"),
+        F.max(F.coalesce("near", F.lit(0))).alias("near"),
+        F.min("shape").alias("shape"),
+    )
+    found = stored(found, "pii-instances")
+    shapes = found.filter("seeded = 0").groupBy("shape", "kind").agg(
+        F.avg(1 - F.col("near")).alias("doubt")
+    )
+    shapes = shapes.filter("doubt < 1")
+    return found.join(shapes, ["shape", "kind"], "left").select(
+        "instance", "kind", "seeded", F.coalesce("doubt", F.lit(1.0)).alias("doubt")
+    )
+
+
 def pattern_scores(edges: DataFrame, scores: DataFrame) -> DataFrame:
-    """(pattern, kind, confidence, support): the scored share of a pattern's instances."""
+    """(pattern, kind, confidence, support): the scores of a pattern's instances against the doubts.
+
+    What an instance lacks to the score 1 counts against the pattern by its doubt, and the less the
+    more of the pattern's instances are scored. Half of them unknown is well above `CONFIDENCE`,
+    whatever the doubt; a few scored among very many unknown are not.
+    """
     scored = edges.join(scores, ["instance", "kind"])
     sums = scored.groupBy("pattern", "kind").agg(
-        F.sum("score").alias("support"), F.count("*").alias("instances")
-    )
-    return sums.select(
-        "pattern", "kind", "support", (F.col("support") / F.col("instances")).alias("confidence")
+        F.sum("score").alias("support"),
+        F.sum((1 - F.col("score")) * F.col("doubt")).alias("doubts"),
+        F.count("*").alias("instances"),
     )
+    unscored = 1 - F.col("support") / F.col("instances")
+    against = F.col("doubts") * unscored * unscored
+    confidence = F.when(
+        F.col("support") > 0, F.col("support") / (F.col("support") + against)
+    ).otherwise(0.0)
+    return sums.select("pattern", "kind", "support", confidence.alias("confidence"))
 
 
 def learn_patterns(edges: DataFrame) -> DataFrame:
     """(pattern, kind) of high confidence after some passes of scores over the graph.
 
     Seeds keep the score 1. Another instance gets the chance that at least one of its trusted
-    patterns is right. A pattern's confidence is the mean score of its distinct instances, its
-    support their sum; it is trusted from `SUPPORT` and `CONFIDENCE` on. Each pass stores its
+    patterns is right. A pattern's support is the sum of the scores of its distinct instances, its
+    confidence that sum against the doubts in the others; it is trusted from `SUPPORT` and `CONFIDENCE` on. Each pass stores its
     scores, sums combine before they are exchanged, and nothing reaches the driver.
     """
     edges = stored(edges, "pii-edges")
-    seeds = edges.groupBy("instance", "kind").agg(
-        F.max("seed").cast("int").cast("double").alias("seeded")
-    )
-    seeds = stored(seeds, "pii-seeds")
+    seeds = stored(seeds_and_doubts(edges), "pii-seeds")
     scores, trusted = seeds.withColumnRenamed("seeded", "score"), None
     for _ in range(PASSES):
         patterns = pattern_scores(edges, scores)
@@ -242,8 +355,9 @@ def learn_patterns(edges: DataFrame) -> DataFrame:
         doubt = F.sum(F.log1p(-F.least("confidence", F.lit(0.999))))
         voted = edges.join(trusted, ["pattern", "kind"]).groupBy("instance", "kind")
         voted = stored(voted.agg((1 - F.exp(doubt)).alias("voted")), "pii-votes")
+        score = F.greatest("seeded", F.coalesce("voted", F.lit(0.0)))
         scores = seeds.join(voted, ["instance", "kind"], "left").select(
-            "instance", "kind", F.greatest("seeded", F.coalesce("voted", F.lit(0.0))).alias("score")
+            "instance", "kind", score.alias("score"), "doubt"
         )
         scores = stored(scores, "pii-scores")
     return trusted.select("pattern", "kind")
