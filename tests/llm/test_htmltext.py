@@ -78,6 +78,14 @@ def test_names_of_wrappers(source, expected):
     assert text(source) == expected
 
 
+@pytest.mark.parametrize("inside", ["<i>", "<div>", "<b class=x>", "<ul><li>", "<p>x<span>"])
+def test_closing_tags_find_their_element_at_any_depth(inside):
+    for count in (10, 399, 400, 1000):
+        assert text(f"<nav>{inside * count}menu</nav><p>z") == "z"
+        assert text(f"<aside>{inside * count}x</b></u></i></aside></nav>z") == "z"
+    assert text("<ul><li>a" + "<b>" * 1000 + "<li>c</ul>d") == "a\nc\nd"
+
+
 BASE64 = "data:image/png;base64," + "iVBORw0KGgo/" * 2500 + "=="
 LONG = "a > b <p>no text</p> class='sidebar' " * 1000
 
@@ -199,3 +207,13 @@ def test_hostile_attributes_take_linear_time():
     ):
         text(source)
     assert time.process_time() - began < 30
+
+
+def test_hostile_nesting_takes_linear_time():
+    began = time.process_time()
+    for source in (
+        "<nav>" + "<i>" * 200_000 + "</nav>" * 100_000, "<ul>" * 50_000 + "<p><li>" * 50_000,
+        "<div><i>" * 50_000 + "</b></i>" * 100_000, "<td><i>" * 100_000,
+    ):
+        text(source)
+    assert time.process_time() - began < 30

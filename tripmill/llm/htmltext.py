@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -74,9 +74,6 @@ ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
-# How far up a closing tag is searched for its element.
-DEEPEST = 400
-
 # What the text is cut by: a comment, a declaration, or the name of a tag.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -194,6 +191,9 @@ class Page:
         self.root = Element("", 0, False, False, False, False, False, None)
         self.opened: list[Element] = []
         self.stack = [self.root]
+        # The depths at which elements of each tag, and blocks of any tag, are open.
+        self.depths: dict[str, list[int]] = {}
+        self.block_depths: list[int] = []
         self.pieces: list[str] = []
         self._read(source)
         self._end_block()
@@ -250,7 +250,7 @@ class Page:
                     tag, above.path, False, False, above.removed, above.main, False, above
                 )
                 self.opened.append(element)
-                self.stack.append(element)
+                self._push(element)
             return
         if tag not in BLOCK and removed:
             self._end_block()
@@ -262,7 +262,24 @@ class Page:
         self.elements.append(element)
         self.opened.append(element)
         if tag not in VOID:
-            self.stack.append(element)
+            self._push(element)
+
+    def _push(self, element: Element) -> None:
+        self.depths.setdefault(element.tag, []).append(len(self.stack))
+        if element.tag in BLOCK:
+            self.block_depths.append(len(self.stack))
+        self.stack.append(element)
+
+    def _end_from(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag = self.stack.pop().tag
+            self.depths[tag].pop()
+            if tag in BLOCK:
+                self.block_depths.pop()
+
+    def _deepest(self, tags: Iterable[str]) -> int:
+        """The depth of the innermost open element of some tags, 0 if there is none."""
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=0)
 
     def _styled_above(self, element: Element) -> Element:
         while element.above is not None and element.above.path == element.path:
@@ -270,29 +287,29 @@ class Page:
         return element
 
     def _end_open(self, tag: str) -> None:
-        ended, until = ENDS.get(tag, (set(), set()))
-        for depth in range(len(self.stack) - 1, max(0, len(self.stack) - DEEPEST), -1):
-            open_ = self.stack[depth].tag
-            if open_ in ended or open_ == "p":
-                del self.stack[depth:]
-                if open_ == "p" and ended:
-                    continue
-                return
-            if open_ in until or (open_ in BLOCK and not ended):
+        if tag not in ENDS:
+            if self.block_depths and self.stack[self.block_depths[-1]].tag == "p":
+                self._end_from(self.block_depths[-1])
+            return
+        ended, until = ENDS[tag]
+        depth = self._deepest(ended | {"p"})
+        while depth > self._deepest(until):
+            last = self.stack[depth].tag
+            self._end_from(depth)
+            if last != "p":
                 return
+            depth = self._deepest(ended | {"p"})
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
             self._end_block()
-        for depth in range(len(self.stack) - 1, max(0, len(self.stack) - DEEPEST), -1):
-            open_ = self.stack[depth]
-            if open_.tag == tag:
-                if tag not in BLOCK and open_.removed:
-                    self._end_block()
-                del self.stack[depth:]
-                return
-            if tag not in BLOCK and open_.tag in BLOCK:
-                return
+        depth = self._deepest([tag])
+        # An inline element is not closed from inside a block that it holds.
+        if not depth or (tag not in BLOCK and self.block_depths and self.block_depths[-1] > depth):
+            return
+        if tag not in BLOCK and self.stack[depth].removed:
+            self._end_block()
+        self._end_from(depth)
 
     def _settle_names(self) -> None:
         """Takes back removals by name that would take the page's article or most of its text.
