@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,34 @@ def test_odd_vectors(spark):
     assert sorted((r[0], r[1], r[2]) for r in near.collect()) == sorted(want)
 
 
+def test_repeated_ids_against_sql(spark, tmp_path):
+    """Every vector of an id is a candidate, and a query of its own."""
+    random = np.random.default_rng(2)
+    rows = [(i % 150, random.normal(size=4).tolist(), 0) for i in range(400)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    pq.write_table(frame.toArrow(), f"{tmp_path}/embeddings.parquet")
+    got = rows_of_spark(queries.op7_exact_top_k(spark, str(tmp_path)))
+    assert got == rows_of_sql(connect(str(tmp_path)), queries.PRODUCTS_SQL)
+    near = collisions.nearest_cosines(frame, F.col("vec_id") == 0, 2000).collect()
+    assert len(near) == 3 * 397
+
+
+def test_each_length_by_itself(spark):
+    rows = [(i, [1.0 + i, 1.0], 0) for i in range(0, 30, 10)]
+    rows += [(i, [1.0, 1.0 + i, 2.0], 0) for i in range(100, 150, 10)] + [(200, [], 0), (201, [], 0)]
+    rows += [(0, [1.0, 2.0, 3.0], 0)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for row in pivotsearch.top_products(frame, F.col("vec_id") % 100 == 0, 10).collect():
+        got.setdefault(row["query_id"], []).append(row["vec_id"])
+    assert {q: sorted(ids) for q, ids in got.items()} == {
+        0: [10, 20, 100, 110, 120, 130, 140], 100: [0, 110, 120, 130, 140], 200: [201],
+    }
+    near = collisions.nearest_cosines(frame, F.col("vec_id") == 0, 10).collect()
+    assert sorted(row["vec_id"] for row in near) == [10, 20, 100, 110, 120, 130, 140]
+    assert sorted(row["rank"] for row in near) == list(range(1, 8))
+
+
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], SCHEMA)
     assert pivotsearch.top_products(nothing, F.col("vec_id") % 100 == 0).collect() == []

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from tripmill.llm.common import Batches, stored
-from tripmill.llm.vectors import Best, matrix, search, valid_vectors
+from tripmill.llm.vectors import Best, matrix, of_each_length, search, valid_vectors
 
 # Rows of a shard; its sorted arrays take 8 bytes for each row and direction.
 SHARD_ROWS = 4096
@@ -125,11 +125,13 @@ def nearest_cosines(
     Every row is indexed and every shard is searched for every query, so a row is missed only if it
     stays below its shard's collision threshold. Scores are exact cosines of the original vectors in
     double precision. Zero vectors take no part; for other rows see `valid_vectors`. A row is no
-    candidate of its own id, equal scores go by the smaller id, and an empty table gives an empty
+    candidate of its own id, nor of one whose vector has another length. Different vectors of one id
+    are all candidates, and as chosen rows they share the `k` ranks of their id. Equal scores go by the smaller id, and an empty table gives an empty
     one.
     """
     rows = valid_vectors(vectors, key, column).filter("exists(vector, x -> x <> 0)")
-    prepared = stored(rows, "collision-vectors")
+    lengths = of_each_length(stored(rows, "collision-vectors"), chosen)
+    spark = vectors.sparkSession
     return search(
-        prepared, chosen, k, lambda block: local_search(block, k, settings), "double"
+        spark, lengths, chosen, k, lambda block: local_search(block, k, settings), "double"
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import Batches, map_batches, stored
-from tripmill.llm.vectors import Best, matrix, search, valid_vectors
+from tripmill.llm.vectors import Best, matrix, of_each_length, search, valid_vectors
 
 PIVOTS = 32
 # Rows, least by a hash of their id, among which the pivots are chosen.
@@ -133,13 +133,16 @@ def top_products(
     """(query_id, rank, vec_id, score): the `k` greatest integer products of each chosen row.
 
     A component x becomes floor(factor * x). `chosen` is a condition on `vec_id`; a row is no
-    candidate of its own id. Which rows take no part, and how repeated ids count, says
-    `valid_vectors`. Equal scores go by the smaller id; with fewer candidates all are returned, and
+    candidate of its own id, nor of one whose vector has another length. Which rows take no part
+    says `valid_vectors`; different vectors of one id are all candidates, and as chosen rows they
+    share the `k` ranks of their id. Equal scores go by the smaller id; with fewer candidates all are returned, and
     an empty table gives an empty one. Scores must fit 64 bits.
     """
     whole = valid_vectors(vectors, key, column).select(
         "vec_id",
         F.transform("vector", lambda x: F.floor(x * factor).cast("double")).alias("vector"),
     )
-    table = pivot_table(stored(whole, "pivot-vectors"))
-    return search(table, chosen, k, lambda block: local_search(block, k), "long")
+    lengths = of_each_length(stored(whole, "pivot-vectors"), chosen)
+    tables = (pivot_table(rows) for rows in lengths)
+    spark = vectors.sparkSession
+    return search(spark, tables, chosen, k, lambda block: local_search(block, k), "long")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,11 +18,10 @@ QUERY_BLOCK = 4096
 
 
 def valid_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """(vec_id, vector) as doubles, one row for each id.
+    """(vec_id, vector) as doubles.
 
-    Rows with a null id, a null vector, or a null or non-finite component take no part, nor do
-    vectors whose length differs from the table's most frequent one (of equally frequent lengths,
-    the greatest). Of several vectors of one id the least counts.
+    Rows with a null id, a null vector, or a null or non-finite component take no part. Rows equal
+    in id and vector are one; different vectors of one id are rows of their own.
     """
     rows = vectors.select(
         F.col(key).cast("long").alias("vec_id"),
@@ -31,11 +30,14 @@ def valid_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedd
     wrong = F.exists(
         "vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
-    rows = rows.filter("vec_id is not null and vector is not null").filter(~wrong)
-    sizes = rows.groupBy(F.size("vector").alias("size")).count()
-    top = sizes.orderBy(F.desc("count"), F.desc("size")).first()
-    rows = rows.filter(F.size("vector") == (top[0] if top else 0))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.filter("vec_id is not null and vector is not null").filter(~wrong).distinct()
+
+
+def of_each_length(rows: DataFrame, chosen: Column) -> Iterator[DataFrame]:
+    """The stored rows of each vector length that a chosen row has; only the lengths are collected."""
+    size = F.size("vector").alias("size")
+    for (length,) in sorted(rows.filter(chosen).select(size).distinct().collect()):
+        yield rows.filter(F.size("vector") == length)
 
 
 def matrix(column: pa.Array, kind: str = "float64") -> np.ndarray:
@@ -55,23 +57,25 @@ def query_blocks(prepared: DataFrame, chosen: Column) -> Iterator[pa.Table]:
 
 
 def search(
-    prepared: DataFrame,
+    spark: SparkSession,
+    tables: Iterable[DataFrame],
     chosen: Column,
     k: int,
     local: Callable[[pa.Table], Callable[[Batches], Batches]],
     score: str,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): every chosen row against all prepared rows.
+    """(query_id, rank, vec_id, score): every chosen row against all rows of its table.
 
-    Block after block of queries goes to all tasks; `local(block)` makes the function that finds a
+    Each table holds prepared vectors of one length. Block after block of queries goes to all tasks; `local(block)` makes the function that finds a
     partition's best `k` for each of them. These are stored, and the best of all partitions taken,
-    equal scores by the smaller id. The driver holds one block at a time.
+    equal scores by the smaller id; chosen rows of one id share their ranks. The driver holds one
+    block at a time.
     """
-    spark = prepared.sparkSession
     path, schema = new_workdir(spark, "search"), f"query_id long, vec_id long, score {score}"
-    for block in query_blocks(prepared, chosen):
-        found = map_batches(prepared, local(block), schema)
-        found.write.mode("append").parquet(path)
+    for prepared in tables:
+        for block in query_blocks(prepared, chosen):
+            found = map_batches(prepared, local(block), schema)
+            found.write.mode("append").parquet(path)
     spark.createDataFrame([], schema).write.mode("append").parquet(path)
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = spark.read.schema(schema).parquet(path)
