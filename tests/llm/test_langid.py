@@ -49,6 +49,28 @@ def test_odd_rows(spark):
     assert not {4, 5, 6, 9} & {row["doc_id"] for row in kept.collect()}
 
 
+def test_unlearnt_languages_go_and_learnt_ones_stay(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [row for row in docs.collect() if langid.has_letter(row["text"])]
+    for out in ("fr", "de"):
+        model = langid.train(docs.filter(docs["lang"] != out))
+        gone = {known: [] for known in (True, False)}
+        for row in rows:
+            gone[row["lang"] != out].append(model.predict(row["text"])[2])
+        assert np.mean(gone[False]) >= 0.5
+        assert np.mean(gone[True]) <= 0.005
+
+
+def test_rejection():
+    known, unknown = [0.9 + i / 10_000 for i in range(1000)], [i / 200 for i in range(100)]
+    assert langid.rejection(known, unknown, 0.001, 0.5) == np.nextafter(0.495, 1)
+    assert abs(langid.rejection(known, [0.99] * 9, 0.001, 0.5) - known[1]) < 1e-9
+    few = langid.rejection(known[::10], [0.99] * 9, 0.001, 0.5)
+    assert abs(few / (1 - few) - 0.9) < 1e-9
+    assert langid.rejection(known, [], 0.001, 0.6) == 0.6
+    assert langid.rejection([], [0.5], 0.001, 0.6) == 0.0
+
+
 def test_same_result_again(spark):
     first, second = small_model(spark), small_model(spark)
     assert np.array_equal(first.embeddings, second.embeddings)

@@ -9,7 +9,7 @@ rejection threshold are fitted on a part of that sample the training does not se
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from zlib import crc32
 
@@ -30,6 +30,8 @@ CHUNK_CHARS = 1 << 19
 WINDOW_WORDS = (4, 12, 160)
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 CALIBRATION_SHARE = 5
+# Groups of languages that are left out in turn, and the share of their texts to be rejected.
+LEFT_OUT, UNLEARNT_REJECTED = 4, 0.99
 
 
 @lru_cache(maxsize=1)
@@ -82,8 +84,15 @@ class LanguageModel:
         for buckets in features(text):
             total += self.embeddings[buckets].sum(0, dtype=np.float64)
             count += len(buckets)
-        logits = total / max(count, 1) @ self.weights + self.bias
-        return softmax(logits[None, :] / self.temperature)[0]
+        return self._chances(total / max(count, 1))
+
+    def _chances(self, mean: np.ndarray) -> np.ndarray:
+        return softmax((mean @ self.weights + self.bias)[None, :] / self.temperature)[0]
+
+    def best_of_counts(self, buckets: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
+        """Language and calibrated probability of a text given by how often it has each bucket."""
+        chances = self._chances(counts @ self.embeddings[buckets].astype(np.float64) / counts.sum())
+        return self.languages[int(chances.argmax())], float(chances.max())
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated probability, rejected."""
@@ -105,8 +114,12 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def training_windows(docs: DataFrame, per_language: int, seed: int) -> list[tuple]:
-    """(language, calibration, buckets) of the sampled rows' windows, in a fixed order.
+def training_windows(
+    docs: DataFrame, per_language: int, seed: int
+) -> tuple[list[tuple], list[tuple]]:
+    """The sampled rows' windows as (language, calibration, buckets), in a fixed order.
+
+    And the whole texts that are held back for calibration, as (language, buckets, counts).
 
     Rows are chosen by a hash of key and text at the rate that gives `per_language` rows of each
     language, twice that at most. Rows that are held out, or lack a language, a key or letters,
@@ -117,7 +130,7 @@ def training_windows(docs: DataFrame, per_language: int, seed: int) -> list[tupl
     ).filter(~held_out("id") & F.col("id").isNotNull() & F.col("lang").isNotNull())
     counts = {row[0]: row[1] for row in labelled.groupBy("lang").count().collect()}
     if not counts:
-        return []
+        return [], []
     span = 1 << 30
     limits = [
         x
@@ -136,6 +149,13 @@ def training_windows(docs: DataFrame, per_language: int, seed: int) -> list[tupl
                     continue
                 words = row["text"].split()
                 mark = crc32(f"{seed} {row['id']}".encode())
+                if held_back(mark):
+                    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+                    for buckets in features(row["text"]):
+                        counts += np.bincount(buckets, minlength=len(counts))
+                    own = np.flatnonzero(counts)
+                    pairs = np.concatenate((own, counts[own])).astype("<i4").tobytes()
+                    rows.append((row["lang"], mark, 0, pairs))
                 for size in WINDOW_WORDS:
                     at = mark % max(1, len(words) - size)
                     window = " ".join(words[at : at + size])
@@ -157,10 +177,21 @@ def training_windows(docs: DataFrame, per_language: int, seed: int) -> list[tupl
 
     found = map_batches(sample, run, "lang string, mark long, size int, buckets binary")
     rows = sorted(tuple(row) for row in found.collect())
-    return [
-        (lang, (mark >> 8) % CALIBRATION_SHARE == 0, np.frombuffer(buckets, "<i4"))
-        for lang, mark, _, buckets in rows
+    windows = [
+        (lang, held_back(mark), np.frombuffer(buckets, "<i4"))
+        for lang, mark, size, buckets in rows
+        if size
     ]
+    texts = [
+        (lang, *np.frombuffer(pairs, "<i4").reshape(2, -1))
+        for lang, _, size, pairs in rows
+        if not size
+    ]
+    return windows, texts
+
+
+def held_back(mark: int) -> bool:
+    return (mark >> 8) % CALIBRATION_SHARE == 0
 
 
 def descend(
@@ -214,23 +245,56 @@ def calibrate(
     return temperature, min(most, float(least))
 
 
+def rejection(known: list[float], unknown: list[float], lost: float, least: float) -> float:
+    """The threshold for whole texts from scores of learnt and of unlearnt languages.
+
+    The lowest that rejects all of the unlearnt but a hundredth, or `least` if there are none; but
+    at most a share `lost` of the learnt may be below it. Fewer texts than show such a share lower
+    the least odds seen by as much as they are too few.
+    """
+    if not known:
+        return 0.0
+    if unknown:
+        least = sorted(unknown)[min(int(UNLEARNT_REJECTED * len(unknown)), len(unknown) - 1)]
+        least = float(np.nextafter(least, 1))
+    lowest = sorted(known)[int(lost * len(known))]
+    few = min(1.0, lost * len(known))
+    return min(least, lowest * few / (lowest * few + 1 - lowest))
+
+
 def train(
     docs: DataFrame,
     per_language: int = 600,
     epochs: int = 6,
     lost: float = 0.001,
-    most: float = 0.4,
     seed: int = 7,
 ) -> LanguageModel:
     """Fits the model on about `per_language` labelled rows of each language.
 
-    Without any labelled row the model knows no language and predicts `und`.
+    Its threshold comes from the held-back texts: as the model scores those of learnt languages,
+    and as models that lack a language score its texts. Languages are left out in at most
+    `LEFT_OUT` groups; of two languages none, since a model of one is always sure. Without any
+    labelled row the model knows no language and predicts `und`.
     """
-    windows = training_windows(docs, per_language, seed)
-    languages = tuple(sorted({lang for lang, _, _ in windows}))
+    windows, texts = training_windows(docs, per_language, seed)
+    languages = sorted({lang for lang, _, _ in windows})
     if not languages:
         empty = np.zeros((1 << BUCKET_BITS, DIMENSIONS), np.float32)
-        return LanguageModel((), empty, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, most)
+        return LanguageModel((), empty, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, 0.0)
+    model, unknown = fit(windows, epochs, lost, seed), []
+    groups = min(LEFT_OUT, len(languages)) if len(languages) > 2 else 0
+    for group in range(groups):
+        left = set(languages[group::groups])
+        other = fit([w for w in windows if w[0] not in left], epochs, lost, seed)
+        unknown += [other.best_of_counts(*own)[1] for lang, *own in texts if lang in left]
+    scored = [(lang, *model.best_of_counts(*own)) for lang, *own in texts]
+    known = [score for lang, best, score in scored if lang == best]
+    return replace(model, threshold=rejection(known, unknown, lost, model.threshold))
+
+
+def fit(windows: list[tuple], epochs: int, lost: float, seed: int) -> LanguageModel:
+    """The model of the windows' languages, its threshold one that loses a share of windows."""
+    languages = tuple(sorted({lang for lang, _, _ in windows}))
     number = {lang: i for i, lang in enumerate(languages)}
     learnt = [w for w in windows if not w[1]] or windows
     labels = np.array([number[lang] for lang, _, _ in learnt])
@@ -241,7 +305,7 @@ def train(
     means = [embeddings[buckets].mean(0, dtype=np.float64) for _, _, buckets in kept]
     logits = np.array(means).reshape(-1, DIMENSIONS) @ weights + bias
     truth = np.array([number[lang] for lang, _, _ in kept], int)
-    temperature, threshold = calibrate(logits, truth, lost, most)
+    temperature, threshold = calibrate(logits, truth, lost, 1.0)
     return LanguageModel(languages, embeddings, weights, bias, temperature, threshold)
 
 
