@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import (
     bytebpe,
+    codes,
     collisions,
     htmltext,
     langid,
@@ -17,10 +18,11 @@ from tripmill.llm import (
     mixing,
     pii,
     pivotsearch,
+    resampling,
     simhash,
     tokenfile,
 )
-from tripmill.llm.common import TEXT_ROWS, VECTOR_ROWS, hand_over, table
+from tripmill.llm.common import TEXT_ROWS, VECTOR_ROWS, hand_over, stored, table
 from tripmill.sources.workdir import new_workdir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,25 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, TEXT_ROWS)
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target, percent=25, buckets=10_000, most=2, seed=7)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, VECTOR_ROWS)
+    vectors = table(spark, sf_dir, "embeddings")
+    found = codes.compress(vectors, parts=8, entries=16, rounds=6, scale=4096, label="label")
+    return codes.group_errors(stored(found, "op12-codes")).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.sha2("codebooks", 256).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -125,6 +146,8 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_near_vectors": op10_near_vectors,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 LINES_SQL = f"""
@@ -174,4 +197,125 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 where rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINES_SQL, "op7_exact_top_k": PRODUCTS_SQL}
+# CRC-32 of a text, in the reflected form with its polynomial 0xEDB88320, a nibble at a time.
+RESAMPLING_SQL = """
+with recursive steps(i, step, n) as (
+    select range, range, 0 from range(16)
+    union all
+    select i, xor(step >> 1, case when step % 2 = 1 then 3988292384 else 0 end), n + 1
+    from steps where n < 4
+), nibbles as (
+    select list(cast(step as bigint) order by i) as t from steps where n = 4
+), worded as (
+    select 'd' as side, doc_id as id, row_number() over () as place, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+    from documents
+    union all
+    select 'b', null, null, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')
+    from benchmark
+), featured as (
+    select side, place, unnest(list_concat(words, list_transform(
+        range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as feature
+    from worded where len(words) > 0
+), hashed as (
+    select feature, xor(list_reduce(
+        list_prepend(4294967295, flatten(list_transform(range(0, octet_length(encode(feature))),
+            lambda i: [cast(('0x' || substr(hex(encode(feature)), 2 * i + 2, 1)) as bigint),
+                       cast(('0x' || substr(hex(encode(feature)), 2 * i + 1, 1)) as bigint)]))),
+        lambda c, nibble: xor(c >> 4, t[(xor(c, nibble) & 15) + 1])), 4294967295) % 10000 as bucket
+    from (select distinct feature from featured), nibbles
+), counted as (
+    select bucket, count(*) filter (where side = 'd') as s, count(*) filter (where side = 'b') as t
+    from featured join hashed using (feature) group by bucket
+), totals as (
+    select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counted
+), gained as (
+    select bucket, cast(floor(1000 * ln(cast(t + 1 as double) * (all_s + 10000)
+        / (cast(s + 1 as double) * (all_t + 10000)))) as bigint) as gain
+    from counted, totals
+), summed as (
+    select place, count(*) as n_features, cast(sum(gain) as bigint) as gains
+    from featured join hashed using (feature) join gained using (bucket)
+    where side = 'd' group by place
+), weighed as (
+    select id as doc_id, coalesce(len(words), 0) as n_words,
+        coalesce(n_features, 0) as n_features,
+        coalesce((gains - ((gains % n_features) + n_features) % n_features) // n_features, 0)
+            as weight,
+        cast(('0x' || substr(sha256('7:' || id), 1, 8)) as bigint) as h
+    from worded left join summed using (place) where side = 'd'
+), scored as (
+    select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score
+    from weighed
+), ranked as (
+    select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place
+    from scored
+)
+select doc_id, n_features, weight, score,
+    case when n_words >= 20
+        and place <= (select 25 * count(*) // 100 from scored where n_words >= 20)
+        then place end as rank
+from ranked
+"""
+
+_NEAREST_SQL = """
+assigned{n} as materialized (
+    select id, p, min(struct_pack(d := d, e := e)) as best
+    from (
+        select c.id, c.p, b.e, cast(coalesce(list_sum(list_transform(
+            range(1, len(c.x) + 1), lambda i: (c.x[i] - b.x[i]) * (c.x[i] - b.x[i]))), 0)
+            as bigint) as d
+        from cut c join book{n} b on c.p = b.p)
+    group by id, p
+)"""
+_MEANS_SQL = """
+book{m} as materialized (
+    select p, e, list(v order by i) as x
+    from (
+        select b.p, b.e, u.i, coalesce(any_value(m.mean), any_value(b.x[u.i])) as v
+        from book{n} b, range(1, 9) u(i) left join (
+            select a.p, a.best.e as e, i.i,
+                cast(floor(cast(sum(c.x[i.i]) as double) / count(*)) as bigint) as mean
+            from assigned{n} a join cut c on a.id = c.id and a.p = c.p, range(1, 9) i(i)
+            group by all
+        ) m on m.p = b.p and m.e = b.e and m.i = u.i
+        group by b.p, b.e, u.i)
+    group by p, e
+)"""
+CODES_SQL = (
+    """
+with kept as (
+    select vec_id, label, row_number() over (order by vec_id) as id,
+        list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), cut as materialized (
+    select id, p, v[8 * p + 1 : 8 * p + 8] as x from kept, range(8) parts(p)
+), book0 as (select p, id - 1 as e, x from cut where id <= 16),"""
+    + ",".join(_NEAREST_SQL.format(n=n) + "," + _MEANS_SQL.format(n=n, m=n + 1) for n in range(6))
+    + ","
+    + _NEAREST_SQL.format(n=6)
+    + """, coded as (
+    select id, string_agg(printf('%02x', best.e), '' order by p) as code,
+        cast(sum(best.d) as bigint) as error
+    from assigned6 group by id
+), books as (
+    select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256
+    from book6
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+    codebooks_sha256
+from kept join coded using (id), books
+"""
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": LINES_SQL,
+    "op7_exact_top_k": PRODUCTS_SQL,
+    "op11_importance_resampling": RESAMPLING_SQL,
+    "op12_vector_codes": CODES_SQL,
+}
