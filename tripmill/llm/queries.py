@@ -20,6 +20,7 @@ from tripmill.llm import (
     pivotsearch,
     resampling,
     simhash,
+    suffixdedup,
     tokenfile,
 )
 from tripmill.llm.common import TEXT_ROWS, VECTOR_ROWS, hand_over, stored, table
@@ -35,6 +36,8 @@ NEAR_SHINGLE, NEAR_BITS = 3, 3
 BOILERPLATE_SITES = 4
 # Share of the greatest entropy that the mixture is to reach, and the most passes over a source.
 MIX_ENTROPY, MIX_REPEATS = 0.95, 2.0
+# Strings of so many bytes that repeat across documents go.
+REPEAT_BYTES = 50
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +138,21 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand_over(spark, TEXT_ROWS)
+    found = suffixdedup.without_repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -148,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "op10_near_vectors": op10_near_vectors,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_vector_codes": op12_vector_codes,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 LINES_SQL = f"""
@@ -313,9 +332,49 @@ from kept join coded using (id), books
 """
 )
 
+# Bytes as pairs of hexadecimal digits.
+REPEATS_SQL = f"""
+with texts as (
+    select row_number() over () as place, doc_id, coalesce(hex(encode(text)), '') as digits
+    from documents
+), starts as (
+    select place, doc_id, pos, md5_number(substr(digits, 2 * pos + 1, {2 * REPEAT_BYTES})) as own
+    from (
+        select *, unnest(range(0, len(digits) // 2 - {REPEAT_BYTES - 1})) as pos
+        from texts where len(digits) >= {2 * REPEAT_BYTES})
+), gone as (
+    select place, pos from starts join (
+        select own, min(doc_id) as least from starts group by own having min(doc_id) < max(doc_id))
+        using (own)
+    where doc_id > least
+), runs as (
+    select place, min(pos) as a, max(pos) + {REPEAT_BYTES} as b from (
+        select place, pos, sum(fresh) over (partition by place order by pos) as run from (
+            select place, pos, case when pos - lag(pos, 1, -{REPEAT_BYTES + 1}) over (
+                partition by place order by pos) > {REPEAT_BYTES} then 1 else 0 end as fresh
+            from gone))
+    group by place, run
+), pieces as (
+    select place, a, b, lag(b, 1, 0) over (partition by place order by a) as before,
+        lead(a) over (partition by place order by a) is null as last
+    from runs
+), kept as (
+    select place, sum(b - a) as n_removed, count(*) as n_spans,
+        string_agg(substr(digits, 2 * before + 1, 2 * (a - before)) ||
+            case when last then substr(digits, 2 * b + 1) else '' end, '' order by a) as digits
+    from pieces join texts using (place) group by place
+)
+select doc_id, cast(len(t.digits) // 2 as bigint) as n_bytes,
+    cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    cast(coalesce(n_spans, 0) as bigint) as n_spans,
+    sha256(unhex(coalesce(k.digits, t.digits))) as kept_sha256
+from texts t left join kept k using (place)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": LINES_SQL,
     "op7_exact_top_k": PRODUCTS_SQL,
     "op11_importance_resampling": RESAMPLING_SQL,
     "op12_vector_codes": CODES_SQL,
+    "op13_suffix_dedup": REPEATS_SQL,
 }
