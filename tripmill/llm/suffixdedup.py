@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -73,9 +74,21 @@ def pack_mask(mask: np.ndarray) -> bytes:
 
 
 def unpack_mask(data: bytes, size: int) -> np.ndarray:
-    changes = np.zeros(size, np.uint8)
-    changes[unpack_sorted(data, np.uint64).astype(np.int64)] = 1
-    return (np.cumsum(changes) & 1).astype(bool)
+    changes = np.zeros(size, bool)
+    changes[unpack_sorted(data, np.uint64).astype(np.int64)] = True
+    return np.logical_xor.accumulate(changes)
+
+
+def pack_state(state: tuple[np.ndarray, ...]) -> bytes:
+    """Masks of a block's windows, and a number for each window of the first mask."""
+    parts = [pack_mask(part) if part.dtype == bool else pack(part) for part in state]
+    return with_lengths(parts)
+
+
+def unpack_state(data: bytes, size: int) -> tuple[np.ndarray, ...]:
+    wanted, gone, *numbers = without_lengths(data)
+    masks = unpack_mask(wanted, size), unpack_mask(gone, size)
+    return *masks, *[unpack(n, np.uint32) for n in numbers]
 
 
 def with_lengths(parts: list[bytes]) -> bytes:
@@ -96,13 +109,30 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
+def order_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The order of keys below 2 ** `bits`; sorting plain numbers is the fastest, where they fit."""
+    places = max(1, len(keys).bit_length())
+    if bits + places > 64:
+        return np.argsort(keys)
+    packed = (keys << np.uint64(places)) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << places) - 1)).astype(np.int64)
+
+
 class Distinct:
-    """The distinct keys of a block in the order of their buckets, and the least id of each."""
+    """The distinct keys of a block in the order of their buckets, and the least id of each.
 
-    def __init__(self, columns: tuple[np.ndarray, ...], ids: np.ndarray, buckets: int):
-        order = np.argsort(columns[0], kind="stable") if len(columns) == 1 else (
-            np.lexsort(columns[::-1])
-        )
+    `owner` gives the buckets of sorted keys.
+    """
+
+    def __init__(
+        self,
+        columns: tuple[np.ndarray, ...],
+        ids: np.ndarray,
+        owner: Callable[[np.ndarray], np.ndarray],
+        bits: int = 64,
+    ):
+        order = order_of(columns[0], bits) if len(columns) == 1 else np.lexsort(columns[::-1])
         rows = [c[order] for c in columns]
         new = np.ones(len(order), bool)
         new[1:] = np.any([r[1:] != r[:-1] for r in rows], axis=0)
@@ -113,9 +143,9 @@ class Distinct:
         self.many = most > self.least
         self.group = np.zeros(len(order), np.int64)
         self.group[order] = np.cumsum(new) - 1
-        owner = bucket_of(self.columns[0], buckets)
-        self.cuts = np.flatnonzero(np.diff(owner, prepend=owner.dtype.type(buckets)))
-        self.buckets = owner[self.cuts].astype(np.int64)
+        owners = owner(self.columns[0]).astype(np.int64)
+        self.cuts = np.flatnonzero(np.diff(owners, prepend=-1))
+        self.buckets = owners[self.cuts]
 
     def slices(self) -> Iterator[tuple[int, slice]]:
         ends = np.append(self.cuts[1:], len(self.columns[0]))
@@ -133,17 +163,14 @@ def sample_keys(block: Block, wanted: np.ndarray | None, buckets: int):
     at = block.samples(wanted)
     keys = block.first.of(at, at + block.reach)
     # What a bucket compares is the low bits; the high ones choose the bucket.
-    owner = bucket_of(keys, buckets)
-    short = (owner << np.uint64(32)) | (keys & np.uint64((1 << SAMPLE_BITS) - 1))
-    scaled = Distinct((short,), block.ids_at(at), 1)
-    owner = scaled.columns[0] >> np.uint64(32)
-    scaled.cuts = np.flatnonzero(np.diff(owner, prepend=owner.dtype.type(buckets)))
-    scaled.buckets = owner[scaled.cuts].astype(np.int64)
-    return at, scaled
+    shift = np.uint64(SAMPLE_BITS)
+    keys = (bucket_of(keys, buckets) << shift) | (keys & np.uint64((1 << SAMPLE_BITS) - 1))
+    bits = SAMPLE_BITS + buckets.bit_length()
+    return at, Distinct((keys,), block.ids_at(at), lambda k: k >> shift, bits)
 
 
 def tell_samples(found: Distinct) -> Iterator[tuple[int, bytes]]:
-    low = (found.columns[0] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    low = (found.columns[0] & np.uint64((1 << SAMPLE_BITS) - 1)).astype(np.uint32)
     told = (low << np.uint32(1)) | found.many
     for bucket, own in found.slices():
         yield bucket, pack_sorted(told[own])
@@ -152,8 +179,9 @@ def tell_samples(found: Distinct) -> Iterator[tuple[int, bytes]]:
 def meet_samples(blobs: list[bytes]) -> list[bytes]:
     told = [unpack_sorted(b, np.uint32) for b in blobs]
     joined = np.concatenate(told)
-    order = np.argsort(joined >> np.uint32(1), kind="stable")
-    keys = (joined >> np.uint32(1))[order]
+    keys = (joined >> np.uint32(1)).astype(np.uint64)
+    order = order_of(keys, SAMPLE_BITS)
+    keys = keys[order]
     new = np.append(True, keys[1:] != keys[:-1])
     begins = np.flatnonzero(new)
     sizes = np.diff(np.append(begins, len(keys)))
@@ -188,7 +216,7 @@ def meet_least(blobs: list[bytes]) -> list[bytes]:
     first = np.concatenate([unpack_sorted(t[0], np.uint64) for t in told])
     second = np.concatenate([np.frombuffer(t[1], np.uint64) for t in told])
     ids = [unpack(t[2], np.int64) for t in told]
-    found = Distinct((first, second), np.concatenate(ids), 1)
+    found = Distinct((first, second), np.concatenate(ids), np.zeros_like)
     least = found.least[found.group]
     return [pack(x) for x in np.split(least, np.cumsum([len(i) for i in ids])[:-1])]
 
@@ -207,7 +235,8 @@ def chunk_keys(block: Block, wanted: np.ndarray, buckets: int):
     sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(wanted)))
     some = sums[ends] > sums[starts]
     starts, ends, last = starts[some], ends[some], last[some]
-    return starts, ends, Distinct(block.keys(starts, last), block.ids_at(starts), buckets)
+    owner = partial(bucket_of, buckets=buckets)
+    return starts, ends, Distinct(block.keys(starts, last), block.ids_at(starts), owner)
 
 
 def window_keys(block: Block, wanted: np.ndarray, buckets: int):
@@ -218,7 +247,8 @@ def window_keys(block: Block, wanted: np.ndarray, buckets: int):
     ids = block.ids_at(at)
     least = np.minimum.reduceat(ids, begins) if len(begins) else ids[:0]
     heads = at[begins]
-    return at, run, Distinct(block.keys(heads, heads + block.length), least, buckets)
+    owner = partial(bucket_of, buckets=buckets)
+    return at, run, Distinct(block.keys(heads, heads + block.length), least, owner)
 
 
 # Rounds. Each tells keys; the next hears the answers, narrows what is wanted, and tells its own.
@@ -250,16 +280,19 @@ def hear_samples_tell_windows(block: Block, state, answers: dict[int, bytes], bu
     wanted, gone = state
     at, found = sample_keys(block, wanted, buckets)
     wanted = wanted & block.windows_with(at[heard_samples(found, answers)[found.group]])
-    return (wanted, gone), tell_least(window_keys(block, wanted, buckets)[2])
-
-
-def hear_windows(block: Block, state, answers: dict[int, bytes], buckets: int) -> np.ndarray:
-    """The windows that go."""
-    wanted, gone = state
     at, run, found = window_keys(block, wanted, buckets)
-    least = heard_least(found, answers)[found.group][run]
-    gone = gone.copy()
-    gone[at[block.ids_at(at) > least]] = True
+    key = np.zeros(len(block.data), np.uint32)
+    key[at] = found.group[run]
+    return (wanted, gone, key[wanted]), tell_least(found)
+
+
+def hear_windows(block: Block, state, answers: dict[int, bytes]) -> np.ndarray:
+    """The windows that go. The answers follow the keys in the order of their buckets."""
+    wanted, gone, key = state
+    at = np.flatnonzero(wanted)
+    if len(at):
+        least = np.concatenate([unpack(answers[b], np.int64) for b in sorted(answers)])
+        gone[at[block.ids_at(at) > least[key]]] = True
     return gone
 
 
@@ -338,7 +371,7 @@ def heard(batch: pa.RecordBatch, row: int, size: int) -> tuple:
         if answer["kind"] == KEYS:
             answers[answer["bucket"]] = answer["data"]
         else:
-            state = tuple(unpack_mask(m, size) for m in without_lengths(answer["data"]))
+            state = unpack_state(answer["data"], size)
     return state, answers
 
 
@@ -356,8 +389,7 @@ def told(blocks: DataFrame, step: Callable, length: int, buckets: int, first: bo
                     state, keys = step(block, state, answers, buckets)
                 rows = [(bucket, KEYS, data) for bucket, data in keys]
                 if state is not None:
-                    known = with_lengths([pack_mask(m) for m in state])
-                    rows.append((hash(number) % buckets, STATE, known))
+                    rows.append((number % buckets, STATE, pack_state(state)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int32()),
@@ -441,9 +473,8 @@ def without_repeats(
         for batch in batches:
             for row in range(batch.num_rows):
                 _, block = opened(batch, row, length)
-                gone = covered(
-                    hear_windows(block, *heard(batch, row, len(block.data)), buckets), length
-                )
+                gone = hear_windows(block, *heard(batch, row, len(block.data)))
+                gone = covered(gone, length)
                 yield cleaned(block, gone, batch.column("ids")[row].values)
 
     span = "array<struct<start: long, end: long>>"

@@ -8,7 +8,7 @@ agree, two samples of k bytes agree inside them.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -40,6 +40,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+@lru_cache(4)
+def _powers(factor: int, size: int) -> np.ndarray:
+    """The powers of a number modulo 2 ** 64, at least `size` of them."""
+    powers = np.full(size, np.uint64(factor))
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
+
+
 class Hash:
     """64-bit hashes of all substrings of a byte array, from one pass over it.
 
@@ -51,13 +59,13 @@ class Hash:
         draw = np.random.default_rng([SEED, number])
         table = draw.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
         factor = int(draw.integers(1 << 60, 1 << 61)) * 8 + 5
-        powers = np.full(len(data) + 1, np.uint64(factor))
-        powers[0] = 1
-        self.rising = np.multiply.accumulate(powers)
-        powers[1:] = np.uint64(pow(factor, -1, 1 << 64))
-        falling = np.multiply.accumulate(powers)[:-1]
+        # Blocks of like sizes use the same powers.
+        size = 1 << max(20, len(data).bit_length())
+        self.rising = _powers(factor, size)
+        falling = _powers(pow(factor, -1, 1 << 64), size)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * falling, out=self.sums[1:])
+        np.multiply(table[data], falling[: len(data)], out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.rising[starts])
@@ -85,12 +93,14 @@ class Block:
     @cached_property
     def place(self) -> np.ndarray:
         """Each position counted from its text's start."""
-        return np.arange(len(self.data)) - self.starts[self.text_of]
+        kind = np.int32 if len(self.data) < 1 << 31 else np.int64
+        starts = np.repeat(self.starts.astype(kind), self.sizes)
+        return np.subtract(np.arange(len(self.data), dtype=kind), starts, out=starts)
 
     @cached_property
     def room(self) -> np.ndarray:
         """Bytes from each position to its text's end."""
-        return self.sizes[self.text_of] - self.place
+        return np.repeat(self.sizes.astype(self.place.dtype), self.sizes) - self.place
 
     @cached_property
     def windows(self) -> np.ndarray:
@@ -147,9 +157,10 @@ class Block:
 
 def _any_of_last(marks: np.ndarray, count: int) -> np.ndarray:
     """Whether one of the last `count` positions, this one included, is marked."""
-    sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(marks)))
-    before = np.maximum(np.arange(1, len(sums)) - count, 0)
-    return sums[1:] > sums[before]
+    sums = np.cumsum(marks, dtype=np.int32 if len(marks) < 1 << 31 else np.int64)
+    some = sums > 0
+    some[count:] = sums[count:] > sums[:-count]
+    return some
 
 
 def covered(marks: np.ndarray, length: int) -> np.ndarray:
@@ -160,18 +171,33 @@ def covered(marks: np.ndarray, length: int) -> np.ndarray:
 def _words(data: np.ndarray, positions: np.ndarray, depth: int) -> np.ndarray:
     """The first `depth` bytes at each position as rows of big-endian numbers, zero-padded."""
     width = -(-depth // 8) * 8
-    padded = np.concatenate((data, np.zeros(width, np.uint8)))
+    padded = np.concatenate((data, np.zeros(max(COVERS) + width, np.uint8)))
     cells = np.lib.stride_tricks.sliding_window_view(padded, width)[positions].copy()
     cells[:, depth:] = 0
     return cells.view(">u8").astype(np.uint64)
 
 
 def _sorted_rows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, whether each row in that order differs from the one before)."""
-    order = np.lexsort(words.T[::-1])
-    rows = words[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]).any(1)
+    """(order, whether each row in that order differs from the one before).
+
+    Rows are sorted by their first word; each further word sorts what is level so far.
+    """
+    order = np.argsort(words[:, 0])
+    first = words[order, 0]
+    new = np.ones(len(order), bool)
+    new[1:] = first[1:] != first[:-1]
+    for depth in range(1, words.shape[1]):
+        level = ~new
+        level[:-1] |= ~new[1:]
+        level = np.flatnonzero(level)
+        if not len(level):
+            break
+        group = np.cumsum(new)[level]
+        rows = order[level]
+        word = words[rows, depth]
+        sort = np.lexsort((word, group))
+        order[level], word = rows[sort], word[sort]
+        new[level[1:]] |= word[1:] != word[:-1]
     return order, new
 
 
@@ -190,16 +216,14 @@ class Ranks:
         near = np.zeros(len(data) + modulus, bool)
         for step in range(modulus):
             near[positions + step] = True
-        near &= inside[np.arange(len(near)) % modulus]
-        self.samples = np.flatnonzero(near)
-        self.rank = np.zeros(len(self.samples), np.int64)
-        if len(self.samples):
-            order, new = _sorted_rows(_words(np.append(data, np.zeros(modulus, np.uint8)),
-                                             self.samples, depth))
-            self.rank[order] = np.cumsum(new)
+        near &= np.resize(inside, len(near))
+        samples = np.flatnonzero(near)
+        self.rank = np.zeros(len(near), np.int32 if len(near) < 1 << 31 else np.int64)
+        order, new = _sorted_rows(_words(data, samples, depth))
+        self.rank[samples[order]] = np.cumsum(new)
 
     def at(self, positions: np.ndarray) -> np.ndarray:
-        return self.rank[np.searchsorted(self.samples, positions)]
+        return self.rank[positions]
 
 
 def sorted_windows(block: Block, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
