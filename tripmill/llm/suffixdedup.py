@@ -148,7 +148,7 @@ class Distinct:
         self.buckets = owners[self.cuts]
 
     def slices(self) -> Iterator[tuple[int, slice]]:
-        ends = np.append(self.cuts[1:], len(self.columns[0]))
+        ends = np.append(self.cuts, len(self.columns[0]))[1:]
         for bucket, start, end in zip(
             self.buckets.tolist(), self.cuts.tolist(), ends.tolist(), strict=True
         ):
