@@ -79,5 +79,5 @@ def test_stages_on_odd_rows(spark, make):
 def test_registered():
     names = set(registry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert len({name.split("_")[0] for name in queries.QUERIES}) == 10
+    assert len({name.split("_")[0] for name in queries.QUERIES}) == 13
     assert set(queries.ORACLE_SQL) <= set(registry.oracle_sql())
