@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.operators.intervals import LEVELS, _indexed, _looking, _spans, levels_of, overlapping
+
+SPANS = "id long, k string, s timestamp, e timestamp"
+
+
+def made(spark, draw, count, keys, longest, around=datetime(2024, 1, 1)):
+    rows = []
+    for i in range(count):
+        start = around + timedelta(seconds=draw.randint(0, 20_000), microseconds=draw.randint(0, 3))
+        length = draw.choice([draw.randint(-5, 100), draw.randint(1, longest), 0])
+        rows.append((i, draw.choice(keys), start, start + timedelta(seconds=length)))
+    rows += [(count, "a", None, around), (count + 1, "a", around, None), (count + 2, None, around, around)]
+    return rows, spark.createDataFrame(rows, SPANS).repartition(3)
+
+
+def plain(left, right):
+    return sorted(
+        (a[0], b[0])
+        for a in left
+        for b in right
+        if None not in (a[1], *a[2:], *b[2:]) and a[1] == b[1]
+        and a[2] < a[3] and b[2] < b[3] and a[2] < b[3] and b[2] < a[3]
+    )
+
+
+@pytest.mark.parametrize("seed, longest", [(1, 60), (2, 5_000), (3, 40_000_000)])
+@pytest.mark.parametrize("around", [datetime(2024, 1, 1), datetime(1969, 12, 31, 22)])
+def test_against_all_pairs(spark, seed, longest, around):
+    draw = random.Random(seed)
+    left, a = made(spark, draw, 150, ["hot"] * 6 + ["a", "b", None], longest, around)
+    right, b = made(spark, draw, 120, ["hot", "a", "c"], 300, around)
+    span = ("s", "e")
+    got = overlapping(a, b, ["k"], span, span)
+    assert sorted((r["left"]["id"], r["right"]["id"]) for r in got.collect()) == plain(left, right)
+    turned = overlapping(b, a, ["k"], span, span, base_seconds=1)
+    assert sorted((r["right"]["id"], r["left"]["id"]) for r in turned.collect()) == plain(left, right)
+
+
+def test_touching_spans_do_not_overlap(spark):
+    at = [datetime(2024, 1, 1, h) for h in range(4)]
+    rows = [(1, "a", at[0], at[1]), (2, "a", at[1], at[2]), (3, "a", at[0], at[3])]
+    df = spark.createDataFrame(rows, SPANS)
+    span = ("s", "e")
+    pairs = overlapping(df, df, ["k"], span, span, F.col("left.id") < F.col("right.id"))
+    assert sorted((r[0]["id"], r[1]["id"]) for r in pairs.collect()) == [(1, 3), (2, 3)]
+
+
+def test_no_keys_and_equal_rows(spark):
+    at = [datetime(2024, 1, 1, h) for h in range(4)]
+    df = spark.createDataFrame([(1, "a", at[0], at[2]), (1, "b", at[1], at[3])] * 2, SPANS)
+    assert overlapping(df, df, [], ("s", "e"), ("s", "e")).count() == 16
+
+
+def test_spans_of_any_length_are_few_rows(spark):
+    """A span is indexed at most twice and looks up at most two buckets of a level."""
+    start = datetime(2024, 1, 1, 0, 0, 31)
+    lengths = [1e-6, 1, 63.9, 64, 65, 4_000, 1e6, 1e8, 3e9]
+    rows = [(i, "a", start, start + timedelta(seconds=s)) for i, s in enumerate(lengths)]
+    spans = _spans(spark.createDataFrame(rows, SPANS), "a", ("s", "e"), 64)
+    assert _indexed(spans, "a", 64).groupBy("_a_start", "_a_end").count().agg(F.max("count")).first()[0] <= 2
+    looking = _looking(spans, "a", list(range(LEVELS)), 0, 64)
+    assert looking.groupBy("_a", "_place.level").count().agg(F.max("count")).first()[0] <= 2
+    assert levels_of(spans, "a")[0] == 0 and len(levels_of(spans, "a")) <= LEVELS
+
+
+def test_a_hot_key_is_spread_by_time(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(i, "hot", start + timedelta(seconds=30 * i), start + timedelta(seconds=30 * i + 20))
+            for i in range(2000)]
+    spans = _spans(spark.createDataFrame(rows, SPANS), "a", ("s", "e"), 64)
+    most = _indexed(spans, "a", 64).groupBy("_place").count().agg(F.max("count")).first()[0]
+    assert most <= 4

@@ -76,6 +76,53 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stations.unionByName(blank, allowMissingColumns=True).select(*STATION_COLUMNS)
 
 
+def raw_station_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four versions of every station, launched nine days apart over the time of the trips.
+
+    Some have no launch date, some are repeated with another name, some stations are closed by a
+    version.
+    """
+    number = F.col("s_suppkey")
+
+    def version(turn: int) -> Column:
+        days = (number * 7 + turn * 9) % 36
+        launch = F.date_add(F.lit("2023-12-27").cast("date"), days.cast("int"))
+        if turn == 0:
+            launch = F.when(number % 13 != 0, launch)
+        return F.struct(
+            padded(" st", number, " ").alias("station_id"),
+            F.concat("s_name", F.lit(f" r{turn}")).alias("station_name"),
+            (10 + (number + 5 * turn) % 30).cast("int").alias("capacity"),
+            F.concat(F.lit(" N"), (number % 5).cast("string")).alias("neighbourhood"),
+            ((number + turn) % 4 != 0).alias("is_active"),
+            launch.alias("launch_date"),
+        )
+
+    versions = F.array(*[version(turn) for turn in range(4)])
+    rows = table(spark, sf_dir, "supplier").select(F.inline(versions))
+    renamed = rows.filter("capacity % 7 = 0").withColumn(
+        "station_name", F.concat("station_name", F.lit(" b"))
+    )
+    return rows.unionByName(renamed).select(
+        *[F.col(c) if c in rows.columns else F.lit(0.0).alias(c) for c in STATION_COLUMNS]
+    )
+
+
+def station_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two closures of every station, of 2 to 38 hours, by normalised station id."""
+    number = F.col("s_suppkey")
+
+    def closure(later: int) -> Column:
+        hour = number * 5 % 28 * 24 + number % 24 + later
+        start = F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + hour * 3600)
+        end = F.timestamp_seconds(F.unix_seconds(start) + (number % 7 * 6 + 2) * 3600)
+        return F.struct(start.alias("closed_from"), end.alias("closed_to"))
+
+    return table(spark, sf_dir, "supplier").select(
+        padded("ST", number).alias("station_id"), F.inline(F.array(closure(0), closure(31)))
+    )
+
+
 def station_slots(spark: SparkSession, sf_dir: str) -> Column:
     """Number of station ids trips refer to: every supplier and two that do not exist."""
     return table(spark, sf_dir, "supplier").agg(F.count("*") + 2).scalar()

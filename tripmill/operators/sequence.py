@@ -20,7 +20,7 @@ PART = "_part"
 
 
 def in_parts(
-    df: DataFrame, order: Sequence[Column], purpose: str, parts: int | None = None
+    df: DataFrame, order: Sequence[Column | str], purpose: str, parts: int | None = None
 ) -> DataFrame:
     """The rows stored with `_part`, the number of their range of the order.
 
@@ -44,7 +44,7 @@ def _with_carried(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> D
 
 
 def running_total(
-    parted: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str
+    parted: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, name: str
 ) -> DataFrame:
     """The rows of `in_parts` with `name`: the sum of `value` over the key's rows up to this one.
 
@@ -64,7 +64,7 @@ def running_total(
 
 
 def previous_row(
-    parted: DataFrame, keys: Sequence[str], order: Sequence[Column], row: Column, name: str
+    parted: DataFrame, keys: Sequence[str], order: Sequence[Column | str], row: Column, name: str
 ) -> DataFrame:
     """The rows of `in_parts` with `name`: the value of `row`, a struct, in the key's row before.
 
@@ -84,3 +84,24 @@ def previous_row(
     joined = _with_carried(rows, carried, keys)
     before = F.when(F.col("_rank") == 1, F.col("_carried")).otherwise(F.col("_lag"))
     return joined.select(*parted.columns, before.alias(name))
+
+
+def latest_value(
+    parted: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, name: str
+) -> DataFrame:
+    """The rows of `in_parts` with `name`: the key's latest non-null `value` up to this row.
+
+    What a part hands on is the last non-null value of each key, so later parts look back past parts
+    without any.
+    """
+    rows = parted.withColumn("_value", value).withColumn(
+        "_rank", F.row_number().over(W.partitionBy(PART, *keys).orderBy(*order))
+    )
+    here = W.partitionBy(PART, *keys).orderBy("_rank").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_here", F.last("_value", ignorenulls=True).over(here))
+    known = F.when(F.col("_value").isNotNull(), F.col("_rank"))
+    lasts = rows.groupBy(PART, *keys).agg(F.max_by("_value", known).alias("_last"))
+    earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    carried = lasts.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
+    joined = _with_carried(rows, carried.filter("_carried is not null"), keys)
+    return joined.select(*parted.columns, F.coalesce("_here", "_carried").alias(name))

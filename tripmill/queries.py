@@ -15,7 +15,7 @@ from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, station_role
 from tripmill.operators.survivors import keyed, latest_trip
 from tripmill.operators.validity import reject_reasons
-from tripmill.plans import marts, questions
+from tripmill.plans import marts, movements, questions
 from tripmill.plans.dim_station import build_dim_station, load_dim_station, station_rejects
 from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
 from tripmill.plans.refresh import (
@@ -353,6 +353,22 @@ def from_stored(build: Callable[[DataFrame], DataFrame], purpose: str) -> Query:
     return lambda spark, sf_dir: build(stored_fact(spark, sf_dir, purpose))
 
 
+def as_of_query(budget: BroadcastBudget) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        versions = movements.station_versions(fixtures.raw_station_versions(spark, sf_dir))
+        trips = normalised(spark, sf_dir).select(
+            "trip_id", "start_station_id", "end_station_id", "start_time", "end_time"
+        )
+        return movements.trips_as_of(trips, versions, budget)
+
+    return query
+
+
+def trip_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = enriched(spark, sf_dir)
+    return movements.trips_in_closures(facts, fixtures.station_closures(spark, sf_dir))
+
+
 def mart_audit(name: str, query: Callable = from_fact) -> Query:
     mart = marts.MARTS[name]
     return query(lambda facts: non_null_audit(mart.build(facts), name, mart.non_null))
@@ -405,6 +421,14 @@ QUERIES: dict[str, Query] = {
     "top_od_pairs": from_fact(lambda f: questions.top_od_pairs(marts.station_od(f))),
     "bike_usage": from_fact(questions.bike_usage),
     "bike_type_comparison": from_fact(questions.bike_type_comparison),
+    "trip_station_as_of": as_of_query(BroadcastBudget()),
+    "trip_station_as_of_merged": as_of_query(BroadcastBudget(limit_bytes=0, known_bytes=1)),
+    "trip_overlaps": from_fact(movements.trip_overlaps),
+    "trip_closures": trip_closures,
+    "dock_balance": from_fact(movements.dock_balance),
+    "dock_balance_large": from_fact(movements.dock_balance, large_fact),
+    "bikes_under_way": from_fact(movements.bikes_under_way),
+    "bike_relocations": from_fact(movements.bike_relocations),
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
     "audit_station_daily": mart_audit(
         "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")
