@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from tripmill.operators import nearby
+
+
+def far(a, b):
+    lat, other = math.radians(a[1]), math.radians(b[1])
+    h = math.sin((other - lat) / 2) ** 2
+    h += math.cos(lat) * math.cos(other) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+    return 2 * nearby.EARTH_METRES * math.asin(math.sqrt(min(1, h)))
+
+
+def plain(points, places, radius):
+    out = {}
+    for point in points:
+        if None in point:
+            continue
+        able = [(round(far(point, p) * 100), p[0]) for p in places
+                if None not in p and p[0] != point[0] and far(point, p) <= radius]
+        if able:
+            out[point[0]] = min(able)[1]
+    return out
+
+
+def found(spark, points, places, radius, **options):
+    schema = "id long, latitude double, longitude double"
+    a, b = (spark.createDataFrame(x, schema).repartition(3) for x in (points, places))
+    rows = nearby.nearest_within(a, b, "id", "id", radius, **options).collect()
+    assert len({r["id"] for r in rows}) == len(rows)
+    return {r["id"]: r["nearest_id"] for r in rows}
+
+
+@pytest.mark.parametrize("lat, lon, spread", [(49.2, -123.1, 0.05), (0.0, 179.99, 0.05), (-84.9, 0.0, 1.0),
+                                              (89.5, 10.0, 0.5), (12.0, -180.0, 0.02)])
+@pytest.mark.parametrize("radius", [300.0, 5_000.0])
+def test_against_all_pairs(spark, lat, lon, spread, radius):
+    draw = random.Random(int(lat * 10))
+    rows = [(i, min(90.0, lat + draw.uniform(-spread, spread)), lon + draw.uniform(-spread, spread) * 3)
+            for i in range(150)]
+    rows += [(150, None, lon), (None, lat, lon), (151, lat, None)]
+    places = rows[::2] + [(1000 + i, rows[i][1], rows[i][2]) for i in range(0, 60, 5)]
+    assert found(spark, rows, places, radius) == plain(rows, places, radius)
+    assert found(spark, rows, places, radius, levels=1) == plain(rows, places, radius)
+
+
+def test_longitudes_meet(spark):
+    points = [(1, 10.0, 179.9999), (2, 10.0, -179.9999), (3, 10.0, 180.0), (4, 10.0, -180.0)]
+    assert found(spark, points, points, 100.0) == {1: 3, 2: 3, 3: 4, 4: 3}
+
+
+def test_a_crowd_at_one_spot_is_two_places(spark):
+    crowd = [(i, 49.0, -123.0) for i in range(400)]
+    lone = [(1000, 49.001, -123.0), (1001, 60.0, 0.0)]
+    got = found(spark, crowd + lone, crowd, 500.0)
+    assert got[0] == 1 and all(got[i] == 0 for i in range(1, 400))
+    assert got[1000] == 0 and 1001 not in got
+
+
+def test_empty(spark):
+    assert found(spark, [], [(1, 0.0, 0.0)], 10.0) == {}
+    assert found(spark, [(1, 0.0, 0.0)], [], 10.0) == {}

@@ -13,11 +13,13 @@ from tripmill import fixtures
 from tripmill.operators.checks import non_null_audit, unique_audit
 from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, station_role
+from tripmill.operators.nearby import nearest_within
 from tripmill.operators.survivors import keyed, latest_trip
 from tripmill.operators.validity import reject_reasons
-from tripmill.plans import marts, movements, questions
+from tripmill.plans import cubes, marts, movements, questions, sketches
 from tripmill.plans.dim_station import build_dim_station, load_dim_station, station_rejects
 from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
+from tripmill.plans.reconciliation import reconciliation
 from tripmill.plans.refresh import (
     audit_fact,
     build_marts,
@@ -369,6 +371,81 @@ def trip_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movements.trips_in_closures(facts, fixtures.station_closures(spark, sf_dir))
 
 
+def stored_sketches(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
+    """Sketches of two loads of trips, by load; the second is written twice."""
+    table = sketches.sketch_table(f"{new_workdir(spark, purpose)}/sketches")
+    facts = enriched(spark, sf_dir)
+    second = F.col("trip_date") >= F.lit("2024-01-16").cast("date")
+    for load, part in (("1", facts.filter(~second)), ("2", facts.filter(second))) * 2:
+        sketches.add_load(table, part, load)
+    return table.read(spark)
+
+
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct bikes and users by neighbourhood over all dates, from sketches by hour."""
+    stored = stored_sketches(spark, sf_dir, "distinct_sketches")
+    found = sketches.estimated(sketches.merged(stored, ["start_neighbourhood"]))
+    return found.drop("duration_quantiles")
+
+
+def duration_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the durations by bike type from merged sketches, with the ranks they really have.
+
+    A quantile is right if its rank is at most three hundredths away from the one that was asked for.
+    """
+    stored = stored_sketches(spark, sf_dir, "duration_sketches")
+    asked = (0.0, 0.25, 0.5, 0.9, 1.0)
+    found = sketches.estimated(sketches.merged(stored, ["bike_type"]), asked)
+    values = found.select("bike_type", "trip_count", F.posexplode("duration_quantiles"))
+    trips = enriched(spark, sf_dir).filter("is_valid_trip").select(
+        F.col("bike_type").alias("type"), "trip_duration_minutes"
+    )
+    met = trips.join(values, F.col("type").eqNullSafe(F.col("bike_type")))
+    ranks = met.groupBy("bike_type", "trip_count", "pos", "col").agg(
+        (F.count_if(F.col("trip_duration_minutes") < F.col("col")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("trip_duration_minutes") <= F.col("col")) / F.count("*")).alias("upto"),
+    )
+    rank = F.element_at(F.array(*[F.lit(a) for a in asked]), F.col("pos") + 1)
+    exact = F.when(F.col("pos").isin(0, len(asked) - 1), F.col("col"))
+    close = (F.col("below") - 0.03 <= rank) & (rank <= F.col("upto") + 0.03)
+    return ranks.select(
+        "bike_type", "trip_count", rank.alias("rank"), exact.alias("bound"), close.alias("is_close")
+    )
+
+
+def returning_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_sketches(spark, sf_dir, "returning_users")
+    return sketches.returning(stored, "users", "2024-01-03", "2024-01-28")
+
+
+def some_grouping_sets(facts: DataFrame) -> DataFrame:
+    sets = [["trip_date"], ["start_neighbourhood", "bike_type"], []]
+    names = ["trip_date", "start_neighbourhood", "bike_type"]
+    return cubes.demand_grouping_sets(facts, sets, names)
+
+
+def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in two versions, loaded in two batches of which one comes twice, against what is stored."""
+    workdir = new_workdir(spark, "load_reconciliation")
+    sink = stream_sink(spark, sf_dir, workdir)
+    sink = TripSink(sink.fact, sink.quarantine, sink.stations, sink.budget, stream_id="load")
+    sent = fixtures.raw_trips(spark, sf_dir, resent="later")
+    later = F.col("user_type") == "MEMBER"
+    first = later == (F.crc32(F.coalesce("trip_id", F.lit(""))) % 2 == 0)
+    for batch_id, part in ((0, first), (1, ~first), (1, ~first)):
+        sink(sent.filter(part), batch_id)
+    quarantine = normalise_trips(sink.quarantine.read(spark))
+    return reconciliation(normalise_trips(sent), sink.fact.read(spark), quarantine)
+
+
+def nearest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each station's nearest other active station within a kilometre and a half."""
+    stations = dim(spark, sf_dir)
+    active = stations.filter("is_active")
+    found = nearest_within(stations, active, "station_id", "station_id", 1500.0)
+    return found.withColumn("metres", F.rint("metres").cast("long"))
+
+
 def mart_audit(name: str, query: Callable = from_fact) -> Query:
     mart = marts.MARTS[name]
     return query(lambda facts: non_null_audit(mart.build(facts), name, mart.non_null))
@@ -429,6 +506,14 @@ QUERIES: dict[str, Query] = {
     "dock_balance_large": from_fact(movements.dock_balance, large_fact),
     "bikes_under_way": from_fact(movements.bikes_under_way),
     "bike_relocations": from_fact(movements.bike_relocations),
+    "distinct_sketches": distinct_sketches,
+    "duration_sketches": duration_sketches,
+    "returning_users": returning_users,
+    "demand_cube": from_fact(cubes.demand_cube),
+    "demand_rollup": from_fact(cubes.demand_rollup),
+    "demand_grouping_sets": from_fact(some_grouping_sets),
+    "load_reconciliation": load_reconciliation,
+    "nearest_stations": nearest_stations,
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
     "audit_station_daily": mart_audit(
         "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")
