@@ -29,10 +29,17 @@ from tripmill.plans.refresh import (
     refresh_touched_dates,
 )
 from tripmill.session import pin_utc
-from tripmill.sources.files import land_trips, read_trip_json
-from tripmill.sources.tables import ConnectorTable, SnapshotTable, date_texts, declare
+from tripmill.sources.files import land_trips, read_trip_json, stream_trip_json
+from tripmill.sources.tables import (
+    ConnectorTable,
+    PartitionedTable,
+    SnapshotTable,
+    date_texts,
+    declare,
+)
 from tripmill.sources.workdir import new_workdir
 from tripmill.streaming.job import drain_trip_stream
+from tripmill.streaming.pairing import by_batch, paired_table, paired_trips
 from tripmill.streaming.sink import (
     LOAD_BATCH,
     AppendSink,
@@ -40,6 +47,7 @@ from tripmill.streaming.sink import (
     fact_table,
     quarantine_table,
 )
+from tripmill.streaming.windows import WindowSink, bike_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -446,6 +454,73 @@ def nearest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("metres", F.rint("metres").cast("long"))
 
 
+def windowed(spark: SparkSession, sf_dir: str, purpose: str) -> WindowSink:
+    """Trips in three batches, the second delivered twice; the third brings some of the first days."""
+    sink = WindowSink(new_workdir(spark, purpose))
+    raw = fixtures.raw_trips(spark, sf_dir)
+    number = F.coalesce(F.regexp_extract("trip_id", "([0-9]+)", 1).try_cast("long"), F.lit(0))
+    held = (number % 50 == 1) & (F.col("start_time") < "2024-01-25")
+    first = F.col("start_time") < "2024-01-21"
+    for batch_id, part in ((0, first & ~held), (1, ~first & ~held), (1, ~first & ~held), (2, held)):
+        sink(raw.filter(part), batch_id)
+    return sink
+
+
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windowed(spark, sf_dir, "stream_windows").windows(spark)
+
+
+def stream_late_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windowed(spark, sf_dir, "stream_late_trips").late.read(spark).drop("batch_id")
+
+
+def far_trips(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """One trip of a far day, which moves a stream's watermark past all others."""
+    trip = fixtures.raw_trips(spark, sf_dir).filter("trip_id is not null").limit(1)
+    moved = {c: F.lit(f"{day}T00:00:00+00:00") for c in ("start_time", "end_time", "event_created_at")}
+    return trip.withColumns({**moved, "trip_id": F.lit("far"), "bike_id": F.lit("far")})
+
+
+def stream_bike_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of bikes from a stream in two runs, the second with a far trip that closes them all."""
+    workdir = new_workdir(spark, "stream_bike_sessions")
+    raw, later = fixtures.raw_trips(spark, sf_dir), F.col("start_time") >= "2024-01-16"
+    target = PartitionedTable(f"{workdir}/sessions", SESSIONS, ("batch_id",))
+    far = far_trips(spark, sf_dir, "2030-01-01")
+    for part in (raw.filter(~later), raw.filter(later), far):
+        land_trips(part, f"{workdir}/landing")
+        sessions = bike_sessions(normalise_trips(stream_trip_json(spark, f"{workdir}/landing")))
+        drained(sessions, target, f"{workdir}/checkpoint")
+    return target.read(spark).drop("batch_id")
+
+
+SESSIONS = """
+    bike_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, trip_count BIGINT, batch_id BIGINT
+"""
+
+
+def stream_paired_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures and arrivals landed apart and joined as streams, in three runs."""
+    workdir = new_workdir(spark, "stream_paired_trips")
+    raw, later = fixtures.raw_trips(spark, sf_dir), F.col("start_time") >= "2024-01-16"
+    target = paired_table(f"{workdir}/paired")
+    far = far_trips(spark, sf_dir, "2030-01-01")
+    for part in (raw.filter(~later), raw.filter(later), far):
+        for side, other in (("departures", "end"), ("arrivals", "start")):
+            gone = {f"{other}_{c}": F.lit(None).cast("string") for c in ("station_id", "time")}
+            land_trips(part.withColumns(gone), f"{workdir}/{side}")
+        sides = [stream_trip_json(spark, f"{workdir}/{side}") for side in ("departures", "arrivals")]
+        drained(paired_trips(*sides, longest="2 hours"), target, f"{workdir}/checkpoint")
+    found = target.read(spark).drop("batch_id")
+    return found.filter(~F.col("trip_id").eqNullSafe("FAR"))
+
+
+def drained(rows: DataFrame, target: PartitionedTable, checkpoint: str) -> None:
+    """A stream's rows into a table by batch, until nothing is left to read."""
+    query = rows.writeStream.foreachBatch(by_batch(target)).option("checkpointLocation", checkpoint)
+    query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
 def mart_audit(name: str, query: Callable = from_fact) -> Query:
     mart = marts.MARTS[name]
     return query(lambda facts: non_null_audit(mart.build(facts), name, mart.non_null))
@@ -514,6 +589,10 @@ QUERIES: dict[str, Query] = {
     "demand_grouping_sets": from_fact(some_grouping_sets),
     "load_reconciliation": load_reconciliation,
     "nearest_stations": nearest_stations,
+    "stream_windows": stream_windows,
+    "stream_late_trips": stream_late_trips,
+    "stream_bike_sessions": stream_bike_sessions,
+    "stream_paired_trips": stream_paired_trips,
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
     "audit_station_daily": mart_audit(
         "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")
