@@ -21,7 +21,10 @@ WRITERS = {
     "fact_trip_stream", "trip_quarantine", "stream_cross_batch_dedupe", "stream_batch_replay",
     "mart_incremental_refresh", "build_marts_by_tag", "mart_refresh_by_tag", "audit_store",
     "stream_cross_batch_versions", "stream_append_replay", "stream_odd_landing", "fact_compacted",
-    "fact_lineage", "audit_fact_unique", "station_csv_load",
+    "fact_lineage", "audit_fact_unique", "station_csv_load", "station_preview", "station_guards",
+    "stream_periodic", "stream_empty_batch", "stream_watermark_versions", "mart_load_times",
+    "stream_windows", "stream_late_trips", "stream_bike_sessions", "stream_paired_trips",
+    "load_reconciliation",
 }
 
 

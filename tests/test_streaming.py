@@ -11,7 +11,6 @@ from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
 from tripmill.plans.marts import MARTS, hourly_demand
 from tripmill.plans.refresh import (
-    compact_dates,
     partitioned_marts,
     refresh_logs,
     refresh_touched_dates,
@@ -141,8 +140,6 @@ def test_far_years_pass_load_look_up_and_refresh(spark, pipeline):
     assert len(dates) == len(events) + 1 and None in dates
     daily = target_of(MARTS["mart_station_daily_activity"]).read(spark)
     assert daily.agg(F.sum("trip_starts")).first()[0] == len(years) + 2
-    compact_dates(spark, sink.fact, dates)
-    assert pipeline.fact.count() == len(events) + 2
 
 
 def test_files_of_every_name_are_read(spark, pipeline):
@@ -173,29 +170,72 @@ def test_the_latest_version_survives_in_any_batches(pipeline, max_files, latest_
         assert fact.count() == 4
 
 
-def test_an_emptied_load_leaves_no_rows(spark, tmp_path):
+def test_a_replay_of_a_beaten_load_shows_the_latest_version(spark, tmp_path):
     pipeline = Pipeline(spark, tmp_path, stream_id="s")
-    for batch_id, hour in enumerate((10, 11)):
+    for batch_id, hour in ((0, 10), (1, 11), (0, 10), (1, 11)):
         created = f"2024-05-01T{hour}:00:00+00:00"
-        for _ in range(2):
-            pipeline.sink(trips(spark, trip("1", event_created_at=created)), batch_id)
+        pipeline.sink(trips(spark, trip("1", event_created_at=created)), batch_id)
     assert by_id(pipeline.fact, "load_batch") == {"1": "s-1"}
     assert pipeline.fact.count() == 1
-    assert not (tmp_path / "fact" / f"trip_date={DAY}" / "load_batch=s-0").exists()
 
 
-def test_compaction_keeps_rows_and_replays(spark, tmp_path):
+@pytest.mark.parametrize("broken", ["fact", "fact_loads"])
+def test_a_failure_between_two_writes_shows_no_trip_twice(spark, tmp_path, monkeypatch, broken):
+    """The second version's load fails before or after its rows are there; then it is replayed."""
     pipeline = Pipeline(spark, tmp_path, stream_id="s")
-    for batch_id in range(3):
-        pipeline.sink(trips(spark, trip("1"), trip(f"own{batch_id}")), batch_id)
-    before = sorted(by_id(pipeline.fact, "bike_id"))
-    loads = load_table(pipeline.sink.fact).read(spark).count()
-    compact_dates(spark, pipeline.sink.fact, [DAY, "1999-01-01"])
-    assert len(list((tmp_path / "fact" / f"trip_date={DAY}").glob("load_batch=*"))) == 1
-    pipeline.sink(trips(spark, trip("1"), trip("own1")), 1)
-    assert sorted(by_id(pipeline.fact, "bike_id")) == before
-    assert pipeline.fact.count() == 4
-    assert load_table(pipeline.sink.fact).read(spark).count() == loads
+    later = {"event_created_at": "2024-05-01T12:00:00+00:00", "bike_id": "later"}
+    pipeline.sink(trips(spark, trip("1"), trip("2")), 0)
+    real = PartitionedTable.replace_partitions
+
+    def failing(table, df):
+        if table.path.endswith(f"/{broken}"):
+            raise OSError("no space left")
+        real(table, df)
+
+    monkeypatch.setattr(PartitionedTable, "replace_partitions", failing)
+    with pytest.raises(OSError, match="no space"):
+        pipeline.sink(trips(spark, trip("1", **later), trip("3")), 1)
+    written = broken == "fact_loads"
+    shown = {"1": "LATER" if written else "BK1", "2": "BK1"} | ({"3": "BK1"} if written else {})
+    assert by_id(pipeline.fact, "bike_id") == shown
+    assert pipeline.fact.count() == len(shown)
+    monkeypatch.undo()
+    pipeline.sink(trips(spark, trip("1", **later), trip("3")), 1)
+    assert by_id(pipeline.fact, "bike_id") == {"1": "LATER", "2": "BK1", "3": "BK1"}
+    assert pipeline.fact.count() == 3
+
+
+def test_dates_without_versions_are_read_as_they_are(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path, stream_id="s")
+
+    def on(day, hour):
+        return {f"{c}_time": f"2024-05-0{day}T1{i}:00:00+00:00" for i, c in enumerate(("start", "end"))} | {
+            "event_created_at": f"2024-05-0{day}T{hour}:00:00+00:00"
+        }
+
+    pipeline.sink(trips(spark, trip("1", **on(1, 12)), trip("2", **on(2, 12))), 0)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(pipeline.fact)
+    pipeline.sink(trips(spark, trip("2", **on(2, 13)), trip("3", **on(3, 12))), 1)
+    assert pipeline.fact.count() == 3
+    assert pipeline.sink.fact.read_versions(spark).count() == 4
+    assert "Exchange" in plan(pipeline.fact)
+    first = pipeline.sink.fact.read_slices(spark, ["2024-05-01"])
+    assert "Exchange" not in plan(first) or first.count() == 1
+    assert pipeline.sink.fact.read_slices(spark, ["2024-05-02"]).count() == 1
+    assert pipeline.sink.fact.read_slices(spark, ["1999-01-01"]) is None
+
+
+def test_slices_of_a_trip_that_has_moved_to_another_date(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path, stream_id="s", match_dates=False)
+    for batch_id, day in enumerate((1, 2)):
+        times = {c: f"2024-05-0{day}T10:{m}:00+00:00" for c, m in (("start_time", "00"), ("end_time", "30"),
+                                                                 ("event_created_at", "40"))}
+        pipeline.sink(trips(spark, trip("1", **times), trip(f"own{day}", **times)), batch_id)
+    read = pipeline.sink.fact.read_slices
+    assert sorted(by_id(read(spark, ["2024-05-01"]), "bike_id")) == ["OWN1"]
+    assert sorted(by_id(read(spark, ["2024-05-02"]), "bike_id")) == ["1", "OWN2"]
+    assert pipeline.fact.count() == 3
 
 
 @pytest.mark.parametrize(("match_dates", "expected"), [(True, 2), (False, 1)])

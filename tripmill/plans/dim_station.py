@@ -45,6 +45,11 @@ def station_rejects(raw: DataFrame) -> DataFrame:
     )
 
 
+def preview(dim: DataFrame, rows: int = 10) -> DataFrame:
+    """The first rows by station id."""
+    return dim.orderBy("station_id").limit(rows)
+
+
 @dataclass(frozen=True)
 class DimensionLoad:
     """Row counts of one dimension refresh."""
@@ -78,7 +83,7 @@ def load_dim_station(
     if isinstance(target, SnapshotTable):
         target.keep_newest(spark, keep)
     if preview_rows:
-        target.read(spark).show(preview_rows, truncate=False)
+        preview(target.read(spark), preview_rows).show(preview_rows, truncate=False)
     return DimensionLoad(observed(raw_seen), observed(kept_seen))
 
 

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators.checks import non_null_audit, unique_audit
-from tripmill.operators.survivors import keyed, latest_trip
 from tripmill.plans.marts import Mart, marts_tagged
 from tripmill.sources.tables import (
     ConnectorTable,
     PartitionedTable,
     SnapshotTable,
     date_texts,
+    delete_path,
     directories,
     partition_name,
     rebalanced,
@@ -38,7 +38,7 @@ def partitioned_marts(root: str) -> Callable[[Mart], PartitionedTable]:
 
 
 def refresh_logs(root: str) -> Callable[[Mart], SnapshotTable]:
-    """For each mart the loads it has seen."""
+    """For each mart the loads it has seen; a refresh adds those it has seen first."""
     return lambda mart: SnapshotTable(f"{root}/_refresh_log/{mart.name}")
 
 
@@ -135,7 +135,8 @@ def publish(
         table = staged.read(spark)
         if not audits.passes(mart, table):
             return False
-        target.replace_partitions(rebalanced(table, *MART_PARTITION))
+        # Every staged file is of one date and of a good size, so the rows need no second exchange.
+        target.replace_partitions(table)
         written = {n for n in directories(spark, staged.path) if n.startswith("trip_date=")}
         present = {n for n in directories(spark, target.path) if n.startswith("trip_date=")}
         if dates is not None:
@@ -192,21 +193,22 @@ def refresh_touched_dates(
     loads = load_table(fact).read(spark).select("trip_date", "attempt", LOAD_BATCH)
     for mart in tagged_or_raise(tags):
         log = log_of(mart)
-        version = log.stage(loads)
-        now, seen = spark.read.schema(loads.schema).parquet(version), log.current(spark)
-        if seen is not None and not everything:
-            before = spark.read.schema(loads.schema).parquet(seen)
-            new = now.alias("now").join(
-                before.alias("before"),
-                F.expr(
-                    "now.trip_date <=> before.trip_date and now.attempt = before.attempt"
-                    " and now.load_batch = before.load_batch"
-                ),
-                "left_anti",
-            )
-        else:
-            new = now
-        dates = date_texts(new.select("trip_date"))
+        seen = log.published(spark)
+        before = spark.read.schema(loads.schema).parquet(*seen) if seen else loads.limit(0)
+        unseen = loads.alias("now").join(
+            before.alias("before"),
+            F.expr(
+                "now.trip_date <=> before.trip_date and now.attempt = before.attempt"
+                " and now.load_batch = before.load_batch"
+            ),
+            "left_anti",
+        )
+        version = log.stage(unseen)
+        new = spark.read.schema(loads.schema).parquet(version)
+        dates = date_texts((loads if everything else new).select("trip_date"))
+        if not dates:
+            delete_path(spark, version)
+            continue
         touched = fact.read(spark) if everything else fact.read_slices(spark, dates)
         if touched is not None:
             rows = mart.build(touched)
@@ -216,38 +218,6 @@ def refresh_touched_dates(
                 continue
             refreshed.update(dates)
         log.publish(spark, version)
-        log.keep_newest(spark, 1)
     if audits.failed:
         audits.result()
     return sorted(refreshed, key=str)
-
-
-def compact_dates(
-    spark: SparkSession, fact: PartitionedTable, dates: Iterable[str | None]
-) -> None:
-    """Merges the loads of some dates, given as Spark's texts, into one load each.
-
-    To be run while no stream writes these dates. The merged rows are staged, written under a load
-    of their own, and then the old loads are deleted; run again after a failure in between, it
-    finds the trips twice and keeps each once. The table of loads stays as it is: the rows do not
-    change, so no mart has to be refreshed, and a replayed batch finds its trips as stored.
-    """
-    merged = f"compacted-{uuid.uuid4().hex}"
-    for date in dates:
-        slices = fact.read_slices(spark, [date])
-        if slices is None:
-            continue
-        day = partition_name("trip_date", date)
-        old = [f"{day}/{name}" for name in directories(spark, f"{fact.path}/{day}")]
-        if len(old) < 2:
-            continue
-        staged = PartitionedTable(
-            f"{fact.path}_staged/{uuid.uuid4().hex}", fact.schema, fact.partition_by
-        )
-        one = latest_trip(keyed(slices)).withColumn(LOAD_BATCH, F.lit(merged))
-        staged.replace_partitions(rebalanced(one, "trip_date"))
-        try:
-            fact.replace_partitions(rebalanced(staged.read(spark), "trip_date"))
-            fact.drop_slices(spark, old)
-        finally:
-            staged.drop(spark)

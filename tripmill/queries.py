@@ -17,13 +17,17 @@ from tripmill.operators.nearby import nearest_within
 from tripmill.operators.survivors import keyed, latest_trip
 from tripmill.operators.validity import reject_reasons
 from tripmill.plans import cubes, marts, movements, questions, sketches
-from tripmill.plans.dim_station import build_dim_station, load_dim_station, station_rejects
+from tripmill.plans.dim_station import (
+    build_dim_station,
+    load_dim_station,
+    preview,
+    station_rejects,
+)
 from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
 from tripmill.plans.reconciliation import reconciliation
 from tripmill.plans.refresh import (
     audit_fact,
     build_marts,
-    compact_dates,
     partitioned_marts,
     refresh_logs,
     refresh_touched_dates,
@@ -34,11 +38,11 @@ from tripmill.sources.tables import (
     ConnectorTable,
     PartitionedTable,
     SnapshotTable,
-    date_texts,
     declare,
+    rebalanced,
 )
 from tripmill.sources.workdir import new_workdir
-from tripmill.streaming.job import drain_trip_stream
+from tripmill.streaming.job import drain_trip_stream, start_trip_stream
 from tripmill.streaming.pairing import by_batch, paired_table, paired_trips
 from tripmill.streaming.sink import (
     LOAD_BATCH,
@@ -269,13 +273,14 @@ def mart_refresh_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads, merged date by date, and a replay of the first."""
-    sink, loads = two_loads(spark, sf_dir, new_workdir(spark, "fact_compacted"))
-    for batch_id, load in enumerate(loads):
-        sink(load, batch_id)
-    compact_dates(spark, sink.fact, date_texts(sink.fact.read(spark).select("trip_date")))
-    sink(loads[0], 0)
-    return sink.fact.read(spark)
+    """Two loads and a replay of the first, published as a snapshot by date without versions."""
+    workdir = new_workdir(spark, "fact_compacted")
+    sink, loads = two_loads(spark, sf_dir, workdir)
+    for batch_id, load in enumerate([*loads, loads[0]]):
+        sink(load, batch_id % 2)
+    snapshot = SnapshotTable(f"{workdir}/fact_snapshot", ("trip_date",))
+    snapshot.replace(rebalanced(sink.fact.read(spark), "trip_date"))
+    return snapshot.read(spark)
 
 
 def audit_fact_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,13 +319,115 @@ def station_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark)
 
 
-def stored_fact(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
-    """The fact of all trips, stored: what marts that read it twice are built from."""
+def station_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview(station_csv_load(spark, sf_dir))
+
+
+def station_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a dimension load says to a file of stations, to one without rows, and to one without ids.
+
+    A refused load leaves the dimension as it was.
+    """
+    workdir = new_workdir(spark, "station_guards")
+    raw = fixtures.raw_stations(spark, sf_dir)
+    target = SnapshotTable(f"{workdir}/dim_station")
+    blank = raw.withColumn("station_id", F.lit("  "))
+    kept_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines = []
+    for case, rows in (("stations", raw), ("no_rows", raw.filter("false")), ("no_ids", blank)):
+        path = f"{workdir}/{case}"
+        rows.coalesce(1).write.options(header=True, **kept_spaces).csv(path)
+        try:
+            load_dim_station(spark, path, target)
+            outcome = "loaded"
+        except ValueError:
+            outcome = "refused"
+        count = target.read(spark).agg(F.count("*").alias("stations"))
+        lines.append(count.select(F.lit(case).alias("load"), F.lit(outcome).alias("outcome"), "stations"))
+    return reduce(DataFrame.unionByName, lines)
+
+
+def stream_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that runs until it is stopped; half of the trips land while it runs."""
+    workdir = new_workdir(spark, "stream_periodic")
+    sink = stream_sink(spark, sf_dir, workdir)
+    raw, later = fixtures.raw_trips(spark, sf_dir), F.col("start_time") >= "2024-01-16"
+    land_trips(raw.filter(~later), f"{workdir}/landing")
+    query = start_trip_stream(
+        spark, f"{workdir}/landing", f"{workdir}/checkpoint", sink, processing_time="500 milliseconds"
+    )
+    try:
+        query.processAllAvailable()
+        land_trips(raw.filter(later), f"{workdir}/landing")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return sink.fact.read(spark)
+
+
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads with rows, counted: an empty batch between two others leaves none."""
+    sink, (first, second) = two_loads(spark, sf_dir, new_workdir(spark, "stream_empty_batch"))
+    for batch_id, load in enumerate((first, first.filter("false"), second)):
+        sink(load, batch_id)
+    return sink.fact.read(spark).groupBy(F.col(LOAD_BATCH).alias("load")).agg(
+        F.count("*").alias("trip_rows")
+    )
+
+
+def stream_watermark_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of trips in two landings, de-duplicated in the stream: the first to land stays."""
+    workdir = new_workdir(spark, "stream_watermark_versions")
+    sink = stream_sink(spark, sf_dir, workdir)
+    sent = fixtures.raw_trips(spark, sf_dir, resent="later")
+    number = F.coalesce(F.regexp_extract("trip_id", "([0-9]+)", 1).try_cast("long"), F.lit(0))
+    first = (F.col("user_type") == "MEMBER") == (number % 40 == 0)
+    for part in (first, ~first):
+        land_trips(sent.filter(part), f"{workdir}/landing")
+        drain_trip_stream(
+            spark, f"{workdir}/landing", f"{workdir}/checkpoint", sink, watermark_delay="400 days"
+        )
+    return sink.fact.read(spark).select("trip_id", "user_type", "event_created_at")
+
+
+def mart_load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each mart whose load time is the one of its own build."""
+    facts = stored_fact(spark, sf_dir, "mart_load_times")
+    target_of = partitioned_marts(f"{new_workdir(spark, 'mart_load_times')}/gold")
+    started = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    build_marts(facts, target_of)
+    now = F.unix_micros("mart_load_dt")
+    counts = [
+        target_of(mart).read(spark).agg(
+            F.lit(name).alias("mart"),
+            F.count_if((now >= started) & (now <= F.unix_micros(F.current_timestamp()))).alias("timed"),
+        )
+        for name, mart in marts.MARTS.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def stored_fact(
+    spark: SparkSession, sf_dir: str, purpose: str, columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """The fact of all trips, stored: what marts that read it twice are built from.
+
+    With `columns`, what a caller needs of it.
+    """
     fact = SnapshotTable(f"{new_workdir(spark, purpose)}/fact_trip", ("trip_date",))
-    fact.replace(enriched(spark, sf_dir))
+    rows = enriched(spark, sf_dir)
+    fact.replace(rows.select("trip_date", *columns) if columns else rows)
     return fact.read(spark)
 
 
+# What the daily activity of stations reads of the fact.
+ACTIVITY = (
+    "is_valid_trip",
+    "trip_duration_minutes",
+    *[f"{r}_{c}" for r in ("start", "end") for c in ("station_id", "station_name", "neighbourhood")],
+)
+
+
 def build_marts_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts tagged `station`, built from the declared fact and counted."""
     target_of = partitioned_marts(f"{new_workdir(spark, 'build_marts_by_tag')}/gold")
@@ -360,7 +467,8 @@ def daily_of_computed(facts: DataFrame) -> DataFrame:
 
 
 def from_stored(build: Callable[[DataFrame], DataFrame], purpose: str) -> Query:
-    return lambda spark, sf_dir: build(stored_fact(spark, sf_dir, purpose))
+    """A query of the daily activity, which reads the fact twice."""
+    return lambda spark, sf_dir: build(stored_fact(spark, sf_dir, purpose, ACTIVITY))
 
 
 def as_of_query(budget: BroadcastBudget) -> Query:
@@ -593,6 +701,12 @@ QUERIES: dict[str, Query] = {
     "stream_late_trips": stream_late_trips,
     "stream_bike_sessions": stream_bike_sessions,
     "stream_paired_trips": stream_paired_trips,
+    "station_preview": station_preview,
+    "station_guards": station_guards,
+    "stream_periodic": stream_periodic,
+    "stream_empty_batch": stream_empty_batch,
+    "stream_watermark_versions": stream_watermark_versions,
+    "mart_load_times": mart_load_times,
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
     "audit_station_daily": mart_audit(
         "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")

@@ -43,16 +43,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def partition_name(column: str, value: str | None) -> str:
-    """Directory of a partition value given as Spark's text of it."""
-    escaped = spark_escaped(NULL_PARTITION if value is None else value)
-    return f"{column}={escaped}"
-
-
-def spark_escaped(text: str) -> str:
-    """Text as Spark writes it into a partition directory's name: odd characters as %XX."""
-    odd = set('"#%\'*/:=?\\\x7f{[]^')
-    return "".join(f"%{ord(c):02X}" if c in odd or ord(c) < 32 else c for c in text)
+def partition_name(column: str, date: str | None) -> str:
+    """Directory of a date's partition; the date is given as Spark's text of it."""
+    return f"{column}={NULL_PARTITION if date is None else date}"
 
 
 @dataclass(frozen=True)
@@ -159,13 +152,6 @@ class PartitionedTable:
         for name in names:
             delete_path(spark, f"{self.path}/{name}")
 
-    def keep_only(self, spark: SparkSession, values: Iterable[str | None]) -> None:
-        """Deletes the partitions whose first partition column has none of the values."""
-        head = self.partition_by[0]
-        kept = {partition_name(head, value) for value in values}
-        present = [name for name in directories(spark, self.path) if name.startswith(f"{head}=")]
-        self.drop_slices(spark, sorted(set(present) - kept))
-
 
 def date_texts(dates: DataFrame) -> list[str | None]:
     """The distinct values of a frame's one date column, as Spark's texts of them."""

@@ -2,8 +2,11 @@
 
 A micro-batch becomes the partitions `trip_date=<date>/load_batch=<stream>-<batch>`. Writing
 replaces exactly those, so a batch that Spark replays after a failure replaces itself. Of a trip's
-versions the latest survives, in whatever batches they come: a version that is not later than the
-stored one is left out, and a later one takes the stored one's place.
+versions the latest counts, in whatever batches they come: a version that is not later than the
+stored one is left out, and a later one is written beside it. The dates on which that happened are
+noted before anything is written; readers of the fact (`FactTable`) take the latest version there and
+read all other dates as they are. Nothing stored is rewritten or deleted, and no failure in between
+shows a trip twice.
 
 The look-up of stored trips and the write are not one transaction, so a fact has a single writer:
 streams that share a fact must not run at the same time. The audit of the fact's trip ids
@@ -14,8 +17,9 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +27,14 @@ from pyspark.sql import functions as F
 
 from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget
-from tripmill.operators.survivors import TRIP_PRECEDENCE, keyed, keyless, latest_trip
+from tripmill.operators.survivors import (
+    TRIP_PRECEDENCE,
+    greatest_first,
+    keyed,
+    keyless,
+    latest_trip,
+    pick_survivor,
+)
 from tripmill.plans.fact_trip import enrich_trips
 from tripmill.schemas import FACT_TRIP, TRIP_COLUMNS, TRIP_JSON
 from tripmill.sources.files import CORRUPT
@@ -31,13 +42,13 @@ from tripmill.sources.tables import (
     ConnectorTable,
     PartitionedTable,
     date_texts,
-    partition_name,
     rebalanced,
 )
 
 log = logging.getLogger(__name__)
 
 LOAD_BATCH = "load_batch"
+TRIP_AND_DATE = ["trip_id", "trip_date"]
 # Size of a (trip id, date) pair in a hash table beyond the text of the id.
 KEY_OVERHEAD_BYTES = 64
 STREAM_ID_PROPERTY = "sql.streaming.queryId"
@@ -45,8 +56,63 @@ STREAM_ID_PROPERTY = "sql.streaming.queryId"
 VERSION = [name for name in TRIP_PRECEDENCE if name != "file_name"]
 
 
-def fact_table(path: str) -> PartitionedTable:
-    return PartitionedTable(path, f"{FACT_TRIP}, {LOAD_BATCH} STRING", ("trip_date", LOAD_BATCH))
+@dataclass(frozen=True)
+class FactTable(PartitionedTable):
+    """The fact as its readers see it: one row of each trip.
+
+    Only dates that are noted to hold several versions of a trip cost a shuffle by trip id.
+    """
+
+    @property
+    def versions(self) -> PartitionedTable:
+        """Dates, as Spark's text, on which a load has written later versions of stored trips.
+
+        `any_date` tells that the earlier versions may lie on other such dates.
+        """
+        schema = f"trip_date STRING, any_date BOOLEAN, {LOAD_BATCH} STRING"
+        return PartitionedTable(f"{self.path}_versions", schema, (LOAD_BATCH,))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._latest(super().read(spark), *self._noted(spark))
+
+    def read_slices(self, spark: SparkSession, values: Iterable[str | None]) -> DataFrame | None:
+        wanted = set(values)
+        same, across = self._noted(spark)
+        # A later version of a wanted date's trip may lie on another date.
+        more = across if wanted & across else set()
+        rows = super().read_slices(spark, wanted | more)
+        return None if rows is None else self._latest(rows, same, across).filter(_on(wanted))
+
+    def read_versions(self, spark: SparkSession, values: Iterable[str | None] | None = None):
+        """Every stored version, of the given dates or of all."""
+        return super().read(spark) if values is None else super().read_slices(spark, values)
+
+    def _noted(self, spark: SparkSession) -> tuple[set[str | None], set[str | None]]:
+        """The noted dates whose versions share their date, and those that may not: texts of dates."""
+        noted = self.versions.read(spark).select("trip_date", "any_date").distinct().collect()
+        across = {date for date, any_date in noted if any_date}
+        return {date for date, _ in noted} - across, across
+
+    def _latest(
+        self, rows: DataFrame, same: set[str | None], across: set[str | None]
+    ) -> DataFrame:
+        parts = [rows.filter(~_on(same | across))] if same or across else [rows]
+        for dates, key in ((same, ["trip_id", "trip_date"]), (across, ["trip_id"])):
+            if dates:
+                order = [*greatest_first(VERSION), F.col(LOAD_BATCH).asc()]
+                parts.append(pick_survivor(rows.filter(_on(dates)), key, order))
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _on(dates: set[str | None]) -> Column:
+    """Whether a trip's date is among some, given as Spark's texts; prunes partitions."""
+    text = F.col("trip_date").cast("string")
+    known = F.coalesce(text.isin(sorted(d for d in dates if d is not None)), F.lit(False))
+    return known | text.isNull() if None in dates else known
+
+
+def fact_table(path: str) -> FactTable:
+    return FactTable(path, f"{FACT_TRIP}, {LOAD_BATCH} STRING", ("trip_date", LOAD_BATCH))
 
 
 def load_table(fact: PartitionedTable) -> PartitionedTable:
@@ -77,7 +143,7 @@ class TripSink:
     checkpoint.
     """
 
-    fact: PartitionedTable
+    fact: FactTable
     quarantine: PartitionedTable
     stations: Callable[[SparkSession], DataFrame]
     budget: BroadcastBudget = BroadcastBudget()
@@ -113,12 +179,12 @@ class TripSink:
             stored = stored.persist(StorageLevel.MEMORY_AND_DISK)
             new, beaten = self._compare(new, stored)
         try:
+            changed = set(batch.dates)
+            if beaten is not None:
+                changed |= self._note(spark, beaten, load_batch)
             facts = enrich_trips(new, self.stations(spark), self.budget, visits=trips)
             tagged = facts.withColumn(LOAD_BATCH, F.lit(load_batch))
             self.fact.replace_partitions(rebalanced(tagged, "trip_date"))
-            changed = set(batch.dates)
-            if beaten is not None:
-                changed |= self._remove(spark, beaten)
             self._record(spark, changed, load_batch)
         finally:
             if stored is not None:
@@ -132,7 +198,7 @@ class TripSink:
             written.show(self.preview_rows, truncate=False)
 
     def _key(self) -> list[str]:
-        return ["trip_id", "trip_date"] if self.match_dates else ["trip_id"]
+        return TRIP_AND_DATE if self.match_dates else TRIP_AND_DATE[:1]
 
     def _stored_versions(
         self, spark: SparkSession, trips: DataFrame, batch: BatchProfile, load_batch: str
@@ -141,11 +207,7 @@ class TripSink:
 
         When the batch's ids are few enough to be broadcast, the fact is scanned but not shuffled.
         """
-        written = (
-            self.fact.read_slices(spark, batch.dates)
-            if self.match_dates
-            else self.fact.read(spark)
-        )
+        written = self.fact.read_versions(spark, batch.dates if self.match_dates else None)
         if written is None:
             return None
         keys = keyed(trips).select(*self._key()).distinct()
@@ -156,55 +218,25 @@ class TripSink:
         return _same_trip(others, F.broadcast(keys) if small else keys, self._key(), "left_semi")
 
     def _compare(self, new: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The new rows no stored version equals or beats; the stored rows a new one beats."""
-        versions = new.select(*self._key(), version().alias("version")).alias("l")
+        """The new rows later than every stored version; the dates of these and of what they beat."""
+        versions = new.select(*TRIP_AND_DATE, version().alias("version")).alias("l")
         met = _same_trip(versions, stored.alias("r"), self._key(), "inner")
         later = F.col("l.version") > F.col("r.version")
-        beaten = met.filter(later).select(
-            "r.trip_id", F.col("r.trip_date").alias("trip_date"), f"r.{LOAD_BATCH}"
-        )
+        both = F.explode(F.array("l.trip_date", "r.trip_date")).alias("trip_date")
         known = met.filter(~later).select(*[f"l.{name}" for name in self._key()]).distinct()
-        return _same_trip(new, known, self._key(), "left_anti"), beaten
+        return _same_trip(new, known, self._key(), "left_anti"), met.filter(later).select(both)
 
-    def _remove(self, spark: SparkSession, beaten: DataFrame) -> set[str | None]:
-        """Rewrites the partitions of beaten rows without them; returns their dates.
+    def _note(self, spark: SparkSession, beaten: DataFrame, load_batch: str) -> set[str | None]:
+        """Notes the dates that are about to hold several versions of a trip; returns them.
 
-        Comes after the new rows are written, so a failure in between leaves both versions until
-        the replayed batch gets here again. What stays is stored first, as a table cannot be read
-        while its partitions are replaced.
+        A date too many costs its readers a shuffle and nothing else, so a failure after this is
+        harmless, and a replay that finds less leaves the note of the first attempt.
         """
-        text = F.col("trip_date").cast("string").alias("date")
-        pairs = {tuple(row) for row in beaten.select(text, LOAD_BATCH).distinct().collect()}
-        if not pairs:
-            return set()
-        dates = {date for date, _ in pairs}
-        touched = beaten.select(F.col("trip_date").alias("_date"), F.col(LOAD_BATCH).alias("_load"))
-        on = F.col("trip_date").eqNullSafe(F.col("_date")) & (F.col(LOAD_BATCH) == F.col("_load"))
-        slices = self.fact.read_slices(spark, dates).join(touched.distinct(), on, "left_semi")
-        gone = beaten.select(
-            F.col("trip_id").alias("_id"),
-            F.col("trip_date").alias("_date"),
-            F.col(LOAD_BATCH).alias("_load"),
-        )
-        staged = PartitionedTable(
-            f"{self.fact.path}_staged/{uuid.uuid4().hex}", self.fact.schema, self.fact.partition_by
-        )
-        staged.replace_partitions(
-            rebalanced(slices.join(gone, on & (F.col("trip_id") == F.col("_id")), "left_anti"), "trip_date")
-        )
-        try:
-            rest = staged.read(spark)
-            left = {tuple(row) for row in rest.select(text, LOAD_BATCH).distinct().collect()}
-            self.fact.replace_partitions(rebalanced(rest, "trip_date"))
-            self.fact.drop_slices(
-                spark,
-                [
-                    f"{partition_name('trip_date', date)}/{partition_name(LOAD_BATCH, load)}"
-                    for date, load in pairs - left
-                ],
-            )
-        finally:
-            staged.drop(spark)
+        dates = set(date_texts(beaten))
+        if dates:
+            rows = [(date, not self.match_dates, load_batch) for date in sorted(dates, key=str)]
+            noted = spark.createDataFrame(rows, self.fact.versions.schema).coalesce(1)
+            self.fact.versions.replace_partitions(noted)
         return dates
 
     def _record(self, spark: SparkSession, dates: set[str | None], load_batch: str) -> None:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def drop_copies_within(raw: DataFrame, delay: str, salts: int = 16) -> DataFrame:
-    """One row per trip id among rows created within `delay` of each other.
+    """One row per trip id among rows created within `delay` of each other: the first to arrive.
 
+    State holds ids and not versions, so a later version of a trip is dropped like a copy. Where the
+    latest version has to win, use the sink's look-up of stored trips instead.
     Rows created longer than `delay` before the newest one are dropped, new or not; where that may
     not happen use the sink's look-up of written ids. Rows without an id or a readable creation
     time cannot be told apart by either, so they pass by the de-duplication to the sink. Streaming
