@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import stations, trip, trips, two_stations
 from tripmill.functions.numbers import exact_mean, half_up_quotient
-from tripmill.operators.checks import non_null_audit, unique_audit
+from tripmill.operators.checks import audit_history, non_null_audit, unique_audit
 from tripmill.plans import marts, questions
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
@@ -178,3 +178,23 @@ def test_a_failed_audit_keeps_the_old_rows(spark, facts, tmp_path):
 def test_registry():
     assert {m.name for m in marts.marts_tagged()} == set(marts.MARTS)
     assert [m.name for m in marts.marts_tagged(["hourly"])] == ["mart_hourly_demand"]
+
+
+def test_audit_history(spark):
+    rows = [("m", "a", 0, 1), ("m", "a", 4, 2), ("m", "a", 1, 3), ("m", "a", 1, 3), ("m", "b", 0, 3)]
+    lines = spark.createDataFrame(rows, "check_name string, column_name string, violations long, t int")
+    history = audit_history(lines.selectExpr("* except (t)", "timestamp_seconds(t) as run_dt"))
+    found = {r["column_name"]: r for r in history.collect()}
+    assert [found["a"][c] for c in ("runs", "failed_runs", "last_violations")] == [3, 2, 1]
+    assert found["a"]["last_failed_dt"] == found["a"]["last_run_dt"]
+    assert found["b"]["runs"] == 1 and found["b"]["last_failed_dt"] is None
+
+
+def test_trips_over_midnight(spark):
+    def ends(trip_id, day, hour):
+        return trip(trip_id, start_time="2024-05-01T23:00:00+00:00", end_time=f"2024-05-0{day}T{hour}:30:00+00:00")
+
+    events = [ends("1", 1, 23), ends("2", 2, "00"), ends("3", 2, "05"), ends("4", 3, "00")]
+    facts = build_fact_trip(trips(spark, *events), build_dim_station(two_stations(spark)))
+    rows = questions.trips_over_midnight(facts).collect()
+    assert sorted((r["days_later"], r["trip_count"]) for r in rows) == [(1, 2), (2, 1)]

@@ -24,7 +24,7 @@ WRITERS = {
     "fact_lineage", "audit_fact_unique", "station_csv_load", "station_preview", "station_guards",
     "stream_periodic", "stream_empty_batch", "stream_watermark_versions", "mart_load_times",
     "stream_windows", "stream_late_trips", "stream_bike_sessions", "stream_paired_trips",
-    "load_reconciliation",
+    "load_reconciliation", "audit_runs",
 }
 
 

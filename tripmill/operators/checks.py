@@ -30,6 +30,26 @@ def unique_audit(df: DataFrame, check: str, key: Sequence[str]) -> DataFrame:
     )
 
 
+def audit_history(lines: DataFrame) -> DataFrame:
+    """Each check over all stored runs: how many there were, how many failed, and what the last said.
+
+    `lines` are stored audit lines with their `run_dt`; lines of one run and check count once, with
+    the most violations that they tell.
+    """
+    runs = lines.groupBy("check_name", "column_name", "run_dt").agg(
+        F.max("violations").alias("violations")
+    )
+    failed = F.col("violations") > 0
+    return runs.groupBy("check_name", "column_name").agg(
+        F.count("*").alias("runs"),
+        F.count_if(failed).alias("failed_runs"),
+        F.max_by("violations", "run_dt").alias("last_violations"),
+        F.min("run_dt").alias("first_run_dt"),
+        F.max("run_dt").alias("last_run_dt"),
+        F.max(F.when(failed, F.col("run_dt"))).alias("last_failed_dt"),
+    )
+
+
 def _line(check, column, violations):
     return F.struct(
         F.lit(check).alias("check_name"),

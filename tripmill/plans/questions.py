@@ -81,6 +81,21 @@ def bike_type_comparison(facts: DataFrame) -> DataFrame:
     )
 
 
+def trips_over_midnight(facts: DataFrame) -> DataFrame:
+    """How many trips arrive on another date than the one they are counted on?
+
+    Marts date arrivals by the start; `days_later` tells by how many days that is too early.
+    """
+    later = F.date_diff(F.to_date("end_time"), F.col("trip_date"))
+    return (
+        valid_trips(facts)
+        .withColumn("days_later", later)
+        .filter("days_later > 0")
+        .groupBy("trip_date", "days_later")
+        .agg(F.count("*").alias("trip_count"))
+    )
+
+
 def _station_totals(daily: DataFrame) -> DataFrame:
     return daily.groupBy("station_id").agg(
         F.sum("trip_starts").alias("trip_starts"), F.sum("trip_ends").alias("trip_ends")

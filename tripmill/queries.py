@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill import fixtures
-from tripmill.operators.checks import non_null_audit, unique_audit
+from tripmill.operators.checks import audit_history, non_null_audit, unique_audit
 from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, station_role
 from tripmill.operators.nearby import nearest_within
@@ -26,6 +26,7 @@ from tripmill.plans.dim_station import (
 from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
 from tripmill.plans.reconciliation import reconciliation
 from tripmill.plans.refresh import (
+    AuditFailed,
     audit_fact,
     build_marts,
     partitioned_marts,
@@ -451,6 +452,23 @@ def audit_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark)
 
 
+def audit_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of the audits of two builds, the second of a fact in which some dates are lost."""
+    workdir = new_workdir(spark, "audit_runs")
+    target = connector_at(f"{workdir}/audit")
+    whole = stored_fact(spark, sf_dir, "audit_runs", (*ACTIVITY, "bike_type", "user_type"))
+    early = F.col("trip_date") < F.lit("2024-01-04").cast("date")
+    broken = whole.withColumn("trip_date", F.when(~early, F.col("trip_date")))
+    for facts in (whole, broken):
+        try:
+            build_marts(facts, partitioned_marts(f"{workdir}/gold"), ("od",), target)
+        except AuditFailed:
+            # The mart keeps its rows; the lines are stored.
+            continue
+    history = audit_history(target.read(spark))
+    return history.select("check_name", "column_name", "runs", "failed_runs", "last_violations")
+
+
 def large_fact_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large fact with a lookup that is beyond the broadcast budget."""
     budget = BroadcastBudget(limit_bytes=0, known_bytes=1, hot_share=1 / 64)
@@ -707,6 +725,8 @@ QUERIES: dict[str, Query] = {
     "stream_empty_batch": stream_empty_batch,
     "stream_watermark_versions": stream_watermark_versions,
     "mart_load_times": mart_load_times,
+    "trips_over_midnight": from_fact(questions.trips_over_midnight),
+    "audit_runs": audit_runs,
     "audit_hourly_demand": mart_audit("mart_hourly_demand"),
     "audit_station_daily": mart_audit(
         "mart_station_daily_activity", lambda build: from_stored(build, "audit_station_daily")
