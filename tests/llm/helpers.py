@@ -7,7 +7,7 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "fingerprint", "component_id", "ids", "n_tokens", "decoded", "lang_pred", "score", "rejected",
     "n_lines", "n_removed", "line", "owner", "place", "doc", "row", "hash", "tokens", "mix_epoch",
-    "mix_order", "mix_weight", "base", "seen", "added", "removed", "site", "key", "page", "low",
+    "mix_order", "mix_weight", "mix_position", "base", "seen", "added", "removed", "site", "key", "page", "low",
 )
 
 ENGLISH = "the cat and the dog went over the hill to see that this was the end of it"

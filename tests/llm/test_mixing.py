@@ -10,9 +10,12 @@ from tests.llm.helpers import documents, empty, odd_documents, rows_of, with_cla
 from tripmill.llm import mixing, queries
 
 
+BLOCK = 70
+
+
 def sized(spark, sizes, words=7):
     rows = [
-        (1000 * i + j, "w " * words, "en", name)
+        (10_000 * i + j, "w " * words, "en", name)
         for i, (name, count) in enumerate(sizes.items())
         for j in range(count)
     ]
@@ -48,14 +51,13 @@ def plain_exponent(tokens, entropy, repeats, budget):
     "entropy, repeats, budget",
     [(0.9, None, None), (0.95, 2.0, None), (None, 3.0, None), (0.99, 1.5, 2000), (None, None, 900)],
 )
-def test_weights_and_budgets(spark, monkeypatch, entropy, repeats, budget):
-    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 70)
+def test_weights_and_budgets(spark, entropy, repeats, budget):
     sizes = {"a": 200, "b": 90, "c": 60, "d": 41}
     docs = sized(spark, sizes)
     tokens = {name: 7 * count for name, count in sizes.items()}
     total = sum(tokens.values())
     exponent = plain_exponent(tokens, entropy, repeats, budget)
-    mixed = mixing.mix(docs, entropy, repeats, budget).collect()
+    mixed = mixing.mix(docs, entropy, repeats, budget, block_tokens=BLOCK).collect()
     powers = {name: (t / total) ** exponent for name, t in tokens.items()}
     weights = {name: x / sum(powers.values()) for name, x in powers.items()}
     found = {row["source"]: row["mix_weight"] for row in mixed}
@@ -74,11 +76,11 @@ def test_weights_and_budgets(spark, monkeypatch, entropy, repeats, budget):
             assert len(ids) == sizes[name]
 
 
-def test_partial_pass_takes_whole_blocks_in_order(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 70)
+def test_partial_pass_takes_whole_blocks_in_order(spark):
     docs = sized(spark, {"a": 400})
-    taken = Counter(r["mix_order"] for r in mixing.mix(docs, None, None, 1400).collect())
-    every = Counter(r["mix_order"] for r in mixing.mix(docs, None, None, None).collect())
+    some = mixing.mix(docs, None, None, 1400, block_tokens=BLOCK).collect()
+    whole = mixing.mix(docs, None, None, None, block_tokens=BLOCK).collect()
+    taken, every = Counter(r["mix_order"] for r in some), Counter(r["mix_order"] for r in whole)
     order = sorted(every)
     last = max(order.index(o) for o in taken)
     assert all(taken[o] == every[o] for o in order[:last])
@@ -94,6 +96,74 @@ def test_query_keeps_every_document(spark, data_dir):
     assert mixed.select("doc_id", "mix_epoch").distinct().count() == mixed.count()
 
 
+def check_order(rows, tokens, passes, block_tokens):
+    """Rows stand in blocks by position; each pass permutes the blocks; copies are a pass apart."""
+    parts = {name: max(1, math.ceil(n / block_tokens)) for name, n in tokens.items()}
+    keys = [r["mix_position"] for r in rows]
+    assert keys == sorted(keys)
+    blocks = [(r["source"], r["mix_epoch"], r["mix_order"]) for r in rows]
+    changes = sum(a != b for a, b in zip(blocks, blocks[1:]))
+    assert changes == len(set(blocks)) - 1
+    for row in rows:
+        within = row["mix_epoch"] + (row["mix_order"] + 0.5) / parts[row["source"]]
+        assert row["mix_position"] == pytest.approx(within / passes[row["source"]], rel=1e-3)
+    assert all(0 <= order < parts[name] for name, _, order in blocks)
+    at = defaultdict(list)
+    for row in rows:
+        at[row["doc_id"]].append(row["mix_epoch"])
+    assert all(epochs == sorted(set(epochs)) for epochs in at.values())
+
+
+def test_sources_take_turns_by_weight(spark):
+    sizes = {"a": 2000, "b": 900, "c": 600, "d": 410}
+    rows = mixing.mix(sized(spark, sizes), 0.97, 2.0, block_tokens=BLOCK).collect()
+    weights = {row["source"]: row["mix_weight"] for row in rows}
+    whole = max(sizes[name] / weights[name] for name in sizes)
+    passes = {name: weights[name] * whole / sizes[name] for name in sizes}
+    check_order(rows, {name: 7 * n for name, n in sizes.items()}, passes, BLOCK)
+    assert len(rows) > sum(sizes.values())
+    assert all(a["doc_id"] != b["doc_id"] for a, b in zip(rows, rows[1:]))
+    seen = Counter()
+    for count, row in enumerate(rows, 1):
+        seen[row["source"]] += 1
+        if count >= 1000:
+            assert all(abs(seen[name] / count - weights[name]) < 0.06 for name in sizes)
+
+
+def test_query_rows_stand_in_order(spark, data_dir):
+    rows = queries.op4_source_mixing(spark, data_dir).collect()
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").select("source", "text").collect()
+    tokens = Counter()
+    for source, text in docs:
+        tokens[source] += len((text or "").split())
+    exponent = plain_exponent(tokens, queries.MIX_ENTROPY, queries.MIX_REPEATS, None)
+    # With the least budget that reads every source, passes go by (greatest / own) ** (1 - exponent).
+    most = max(tokens.values())
+    passes = {name: (most / n) ** (1 - exponent) for name, n in tokens.items()}
+    check_order(rows, tokens, passes, queries.MIX_BLOCK)
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 7, 64, 1000, 4095])
+def test_places_are_permutations(spark, blocks):
+    rows = spark.range(blocks).select(
+        F.lit("a").alias("source"), F.col("id").alias("hash"), F.lit(blocks).cast("long").alias("blocks")
+    )
+    orders = set()
+    for epoch in range(9):
+        place = mixing._block_place(11, F.lit(epoch).cast("long"))
+        order = [row[0] for row in rows.select(place, "hash").orderBy("hash").collect()]
+        assert sorted(order) == list(range(blocks))
+        orders.add(tuple(order))
+    assert len(orders) > 5 or blocks < 64
+
+
+def test_blocks_of_one_source_are_summed_in_ranges(spark):
+    """However many blocks a source has, no window holds them all."""
+    docs = sized(spark, {"a": 3000, "b": 40})
+    few = mixing.mix(docs, None, None, 15_000, block_tokens=BLOCK)
+    assert 15_000 * 0.98 < 7 * few.count() <= 15_000
+
+
 def test_odd_rows(spark):
     docs = with_clashing(odd_documents(spark))
     mixed = mixing.mix(docs)

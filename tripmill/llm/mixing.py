@@ -4,7 +4,8 @@ Source token shares are raised to an exponent between 1 (as they are) and 0 (all
 exponent is bisected until the mixture has a target entropy, or until no source is repeated more
 often than a limit. The normalised weights become token budgets, and each source fills its budget
 with permutations of its blocks: whole epochs first, then the first blocks of one more permutation,
-the last of them in part.
+the last of them in part. Every source's blocks are spread evenly over the mixture, so rows leave in
+an order in which each stretch holds the sources by their weights.
 """
 
 from __future__ import annotations
@@ -18,9 +19,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import stored, without
+from tripmill.operators.sequence import in_parts, running_total
 
-# Tokens of a block. Blocks are what a permutation moves.
+# Tokens of a block. Blocks are what a permutation moves, and what sources take turns by.
 BLOCK_TOKENS = 1 << 18
+# The greatest primes below 2 ** 31. A source has fewer blocks, so each of them, times a
+# block's number, modulo the blocks, permutes the blocks; passes take them in turn.
+MULTIPLIERS = (
+    2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497,
+)
 # Halvings of the exponent's interval per Spark job, and in all.
 HALVINGS, PRECISION = 4, 32
 
@@ -119,17 +126,21 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
     column: str = "text",
+    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """The rows of `docs`, each as often as its source's budget takes it, with three more columns.
+    """The rows of `docs`, each as often as its source's budget takes it, with four more columns.
 
     `mix_weight` is the source's weight, `mix_epoch` numbers the passes over the source, and
-    `mix_order` is the hash by which its blocks are permuted in that pass. A null source is a source
-    of its own. Sources without a token, and rows of an input without any, are read once, with
+    `mix_order` is the place in that pass of the row's block, of about `block_tokens` tokens.
+    `mix_position` is the share of the source's passes up to the block, from 0 to about 1; rows are
+    sorted by it (ties by source, then by the row's hash), so blocks stay together, copies of a row
+    are in passes one after the other, and sources take turns by their weights. The sort is by ranges
+    of the position. A null source is a source of its own. Sources without a token, and rows of an input without any, are read once, with
     weight 0. Rows without a token follow their hash. Rows equal in key and text are taken or left
     together, and a part of a block never exceeds what the budget leaves. Columns of these names
     give way; an empty table gives an empty one.
     """
-    docs = without(docs, "mix_weight", "mix_epoch", "mix_order")
+    docs = without(docs, "mix_weight", "mix_epoch", "mix_order", "mix_position")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.col(source).alias("source"),
@@ -138,36 +149,53 @@ def mix(
     )
     light = stored(rows.drop("doc"), "mix-rows")
     sizes = stored(light.groupBy("source").agg(F.sum("tokens").alias("tokens")), "mix-sizes")
-    plan = plan_of(light, sizes, solve(sizes, entropy, repeats, budget), budget is None, seed)
+    mixture = solve(sizes, entropy, repeats, budget)
+    plan = plan_of(light, sizes, mixture, budget is None, seed, block_tokens)
     plan = stored(plan, "mix-plan").withColumnRenamed("source", "planned")
     placed = rows.join(plan, F.col("source").eqNullSafe(F.col("planned")))
-    block_hash = _block_hash(seed, F.col("full"))
-    taken = (block_hash < F.col("cut_block")) | (
-        (block_hash == F.col("cut_block")) & (F.col("hash") <= F.col("cut_row"))
+    place = _block_place(seed, F.col("full"))
+    taken = (place < F.col("cut_block")) | (
+        (place == F.col("cut_block")) & (F.col("hash") <= F.col("cut_row"))
     )
     passes = F.col("full") + F.coalesce(taken, F.lit(False)).cast("long")
     drawn = placed.filter(passes > 0).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), passes - 1))
     )
-    return drawn.select(
+    drawn = drawn.withColumn("order", _block_place(seed, F.col("epoch")))
+    within = (F.col("order") + 0.5) / F.col("blocks")
+    drawn = drawn.withColumn("position", (F.col("epoch") + within) / F.col("passes"))
+    return drawn.orderBy("position", "source", "hash").select(
         "doc.*",
         F.col("weight").alias("mix_weight"),
         F.col("epoch").cast("int").alias("mix_epoch"),
-        _block_hash(seed, F.col("epoch")).alias("mix_order"),
+        F.col("order").alias("mix_order"),
+        F.col("position").alias("mix_position"),
     )
 
 
-def _block_hash(seed: int, epoch: Column) -> Column:
+def _block_place(seed: int, epoch: Column) -> Column:
     """Place of a row's block in a pass; needs the columns source, hash and blocks."""
-    return F.xxhash64(
-        F.lit(seed), epoch, F.col("source"), F.pmod(F.col("hash"), F.col("blocks"))
+    blocks = F.col("blocks")
+    factor = F.element_at(
+        F.array(*map(F.lit, MULTIPLIERS)), (F.pmod(epoch, F.lit(len(MULTIPLIERS))) + 1).cast("int")
     )
+    shift = F.pmod(F.xxhash64(F.lit(seed), epoch, F.col("source")), blocks)
+    number = F.pmod(F.col("hash"), blocks)
+    return F.pmod(F.pmod(factor.cast("long"), blocks) * number + shift, blocks)
 
 
 def plan_of(
-    light: DataFrame, sizes: DataFrame, mixture: Mixture | None, whole: bool, seed: int
+    light: DataFrame,
+    sizes: DataFrame,
+    mixture: Mixture | None,
+    whole: bool,
+    seed: int,
+    block_tokens: int,
 ) -> DataFrame:
-    """(source, weight, blocks, full, cut_block, cut_row): what decides over each row of a source."""
+    """What decides over each row of a source: (source, weight, passes, blocks, full, cut_block, cut_row).
+
+    Tokens of the blocks in their order are summed in ranges, so a source's blocks may be many.
+    """
     if mixture is None:
         weight, quota = F.lit(0.0), F.col("tokens")
     else:
@@ -177,21 +205,25 @@ def plan_of(
         if whole:
             quota = F.greatest(quota, "tokens")
     some = F.col("tokens") > 0
-    blocks = F.greatest(F.ceil(F.col("tokens") / BLOCK_TOKENS), F.lit(1))
+    blocks = F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1))
+    blocks = F.least(blocks, F.lit(MULTIPLIERS[-1] - 1)).cast("long")
     plan = sizes.select(
         "source", "tokens", weight.alias("weight"), blocks.alias("blocks"), quota.alias("quota")
     )
     plan = plan.withColumn(
         "full", F.when(some, F.floor(F.col("quota") / F.col("tokens"))).otherwise(1).cast("long")
     ).withColumn("rest", F.when(some, F.col("quota") - F.col("full") * F.col("tokens")).otherwise(0))
+    passes = F.when(some, F.col("quota") / F.col("tokens")).otherwise(1.0)
+    plan = plan.withColumn("passes", passes)
     plan = stored(plan.drop("tokens", "quota"), "mix-quotas")
     partial = plan.filter("rest > 0").withColumnRenamed("source", "planned")
     placed = light.join(partial, F.col("source").eqNullSafe(F.col("planned"))).select(
-        "source", "rest", "tokens", "hash", _block_hash(seed, F.col("full")).alias("block")
+        "source", "rest", "tokens", "hash", _block_place(seed, F.col("full")).alias("block")
     )
     sums = placed.groupBy("source", "rest", "block").agg(F.sum("tokens").alias("tokens"))
-    before = F.sum("tokens").over(W.partitionBy("source").orderBy("block")) - F.col("tokens")
-    cut = sums.withColumn("before", before).filter("before < rest")
+    parted = in_parts(sums, ["source", "block"], "mix-blocks")
+    cut = running_total(parted, ["source"], ["block"], F.col("tokens"), "upto")
+    cut = cut.withColumn("before", F.col("upto") - F.col("tokens")).filter("before < rest")
     cut = cut.groupBy("source").agg(F.max(F.struct("block", "before", "rest")).alias("last"))
     cut = cut.select(
         F.col("source").alias("cut_source"),
@@ -207,5 +239,5 @@ def plan_of(
     return (
         plan.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
         .join(rows, F.col("source").eqNullSafe(F.col("row_source")), "left")
-        .select("source", "weight", "blocks", "full", "cut_block", "cut_row")
+        .select("source", "weight", "passes", "blocks", "full", "cut_block", "cut_row")
     )

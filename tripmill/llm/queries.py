@@ -36,6 +36,8 @@ NEAR_SHINGLE, NEAR_BITS = 3, 3
 BOILERPLATE_SITES = 4
 # Share of the greatest entropy that the mixture is to reach, and the most passes over a source.
 MIX_ENTROPY, MIX_REPEATS = 0.95, 2.0
+# Tokens of a block: some dozen documents.
+MIX_BLOCK = 1 << 14
 # Strings of so many bytes that repeat across documents go.
 REPEAT_BYTES = 50
 
@@ -66,8 +68,9 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS)
-    return mixed.select("doc_id", "source", "n_chars", "mix_weight", "mix_epoch", "mix_order")
+    mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS, block_tokens=MIX_BLOCK)
+    placed = ["mix_weight", "mix_epoch", "mix_order", "mix_position"]
+    return mixed.select("doc_id", "source", "n_chars", *placed)
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
