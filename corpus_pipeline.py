@@ -10,6 +10,7 @@ from tripmill.llm.common import TEXT_ROWS, hand_over, stored
 from tripmill.llm.queries import (
     BOILERPLATE_SITES,
     BYTE_BPE,
+    MIX_BLOCK,
     MIX_ENTROPY,
     MIX_REPEATS,
     NEAR_BITS,
@@ -37,9 +38,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; documents of small sources up to the limit of repeats."""
-    mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS)
-    return mixed.drop("mix_weight", "mix_epoch", "mix_order")
+    """Every document at least once; documents of small sources up to the limit of repeats.
+
+    They leave in the order of the mixture: permuted blocks, the sources taking turns by weight.
+    """
+    mixed = mixing.mix(docs, MIX_ENTROPY, MIX_REPEATS, block_tokens=MIX_BLOCK)
+    return mixed.select(docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
