@@ -1,19 +1,21 @@
 from __future__ import annotations
 
 import html
+import math
 import re
 import time
+from collections import Counter, defaultdict
 
 import pytest
 
-from tests.llm.helpers import CLASHING, rows_of
+from tests.llm.helpers import CLASHING
 from tripmill.llm import htmltext, queries
 
 SCHEMA = "page_id long, url string, html string"
 
 
 def text(source):
-    return htmltext.Page(source).text(frozenset())
+    return htmltext.Page(source).tree().main({})
 
 
 def test_query_against_articles(spark, data_dir):
@@ -78,6 +80,33 @@ def test_names_of_wrappers(source, expected):
     assert text(source) == expected
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "ad-container", "advert-wrapper", "comments-section", "sidebar-wrapper", "social-media",
+        "cookie-consent-wrapper", "commentSection", "relatedPosts", "AdBox",
+    ],
+)
+def test_names_with_what_is_around(name):
+    assert text(f"<p>some text of the page</p><div class='{name}'>no</div>") == "some text of the page"
+
+
+LONG_TALK = "<p>What a long comment this one is!" * 50
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        (f"<main><article>a</article><div id='comments'>{LONG_TALK}</div></main>", "a"),
+        (f"<article>a<section class='comments'>{LONG_TALK}</section></article>", "a"),
+        (f"<main>a<div class='sidebar'>{LONG_TALK}</div></main>", "a"),
+        (f"<p>a<div class='comments-section'>{LONG_TALK}</div>", "a"),
+    ],
+)
+def test_comments_go_however_long(source, expected):
+    assert text(source) == expected
+
+
 @pytest.mark.parametrize("inside", ["<i>", "<div>", "<b class=x>", "<ul><li>", "<p>x<span>"])
 def test_closing_tags_find_their_element_at_any_depth(inside):
     for count in (10, 399, 400, 1000):
@@ -120,9 +149,48 @@ def test_same_branch_on_page_after_page_goes(spark):
     assert {row["text"] for row in got} == {f"own text {i}" for i in range(30)}
 
 
-def test_few_pages_tell_nothing(spark):
-    got = htmltext.main_text(site(spark, 5)).collect()
-    assert all(row["text"].startswith("Buy two") for row in got)
+def test_the_fewer_pages_the_less_goes(spark):
+    """There is no step: what two pages share may be chance, a page alone tells nothing."""
+    for count, stays in ((1, True), (2, True), (5, False), (9, False), (10, False)):
+        got = htmltext.main_text(site(spark, count)).collect()
+        assert all(row["text"].startswith("Buy two") == stays for row in got)
+        assert all(row["text"].endswith(f"own text {row['page_id']}") for row in got)
+
+
+def neutral(source):
+    """A test page whose tags and names say nothing of their role."""
+    for tag, name in (("nav", "k1"), ("article", "k3"), ("footer", "k4")):
+        source = source.replace(f"<{tag}>", f"<div class={name}>").replace(f"</{tag}>", "</div>")
+    return source.replace('class="ad"', "class=k2")
+
+
+def test_the_tree_alone_finds_articles(spark):
+    """On hosts of 60 pages and more menu, advert and footer go; no page loses its article."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    renamed = [(page["page_id"], page["url"], neutral(page["html"])) for page in pages]
+    got = htmltext.main_text(spark.createDataFrame(renamed, SCHEMA)).collect()
+    texts = {row["page_id"]: row["text"] for row in got}
+    hosts = Counter(page["url"].split("/")[2] for page in pages)
+    changed = 0
+    for page in pages:
+        article = text(page["html"])
+        found = texts[page["page_id"]]
+        assert article in found
+        changed += found == article
+        if hosts[page["url"].split("/")[2]] >= 60:
+            assert found == article
+    assert changed > 0.4 * len(pages)
+
+
+def test_long_comments_go_by_the_tree(spark):
+    """Neutral names, comments longer than the text: what all pages repeat goes, its length aside."""
+    rules = "please be kind to others and read the rules of this site before you write " * 20
+    rows = [
+        (i, "http://a.org/", f"<div class=t><p>own words {i} of {i * 7}</div><div class=u>{rules}</div>")
+        for i in range(20)
+    ]
+    got = htmltext.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(row["text"] == f"own words {row['page_id']} of {row['page_id'] * 7}" for row in got)
 
 
 def test_copies_of_an_article_stay(spark):
@@ -169,11 +237,50 @@ def test_copies_weigh_no_more_than_one_page(spark):
     assert {row["text"] for row in got} == {f"own text {i}" for i in range(30)}
 
 
-def test_entropy_of_styles(spark):
-    nodes = [("h", 1, 5, 5)] * 16 + [("h", 2, i, 5) for i in range(16)]
-    frame = spark.createDataFrame(nodes, "host string, path long, content long, presentation long")
-    assert rows_of(htmltext.unimportant(frame, 10, 0.2)) == [("h", [1])]
-    assert rows_of(htmltext.unimportant(frame, 17, 0.2)) == []
+def plain_ratings(sources):
+    """The ratings of one host's pages, from their trees, page by page."""
+    trees = [htmltext.Page(source).tree() for source in sources]
+    trees = list({repr((t.texts, t.at, t.paths, t.shown)): t for t in trees}.values())
+    shown, pairs = defaultdict(Counter), defaultdict(lambda: defaultdict(list))
+    for tree in trees:
+        for path, style in zip(tree.paths, tree.shown):
+            shown[path][style] += 1
+        held = defaultdict(Counter)
+        for words, at in zip(tree.texts, tree.at):
+            words = words.split()
+            held[tree.paths[at]].update(zip([None, *words], words))
+        for path, counts in held.items():
+            for pair, count in counts.items():
+                pairs[path][pair].append(count)
+
+    def entropy(counts, base):
+        total = sum(counts)
+        return -sum(n / total * math.log(n / total) for n in counts) / math.log(base)
+
+    out = {}
+    for path, styles in shown.items():
+        pages = sum(styles.values())
+        if pages > 1:
+            weight = 1 - htmltext.LEFT_BY_STYLE ** (len(styles) - 1)
+            of_pairs = [entropy(counts, pages) for counts in pairs[path].values()]
+            content = 1 - sum(of_pairs) / len(of_pairs) if of_pairs else 1
+            out[path] = (pages, content, weight * entropy(styles.values(), pages))
+    return out
+
+
+def test_ratings_against_brute_force(spark):
+    sources = []
+    for i in range(12):
+        items = "".join(f"<li>item {j} of the list" for j in range(i % 4))
+        own = " ".join(f"word{i * j % 5} again" for j in range(6))
+        sources.append(f"<div class=a>menu of all</div><div class=b><p>{own}<ul>{items}</ul></div>")
+    rows = [(i, "http://a.org/", s) for i, s in enumerate([*sources, *sources[:3], sources[0]])]
+    hosted = spark.createDataFrame(rows, SCHEMA).selectExpr("struct(page_id) page", "'h' host", "html")
+    got = htmltext.ratings(htmltext.trees(hosted)).collect()
+    want = plain_ratings(sources)
+    assert {row["path"] for row in got} == set(want)
+    for row in got:
+        assert (row["pages"], row["content"], row["presentation"]) == pytest.approx(want[row["path"]], abs=1e-6)
 
 
 def test_odd_rows(spark):

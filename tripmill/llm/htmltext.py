@@ -1,29 +1,41 @@
 """Main text of web pages by a site style tree.
 
 The element trees of a host's pages are merged by style: elements of the same tag, class and id
-below the same styles are one node. Over the pages of the host a node has an entropy of what it
-holds (content) and one of the sequences of its children (presentation). Branches whose importance,
-the greater of both, is low are the same on page after page, and are removed from each page,
-together with those that HTML itself names as no part of an article.
+below the same styles are one node. Over the pages of the host a node has an entropy of the
+sequences of its children (presentation) and, for each pair of neighbouring words in its text, one of
+the pages that hold it (content): pairs that stand on page after page say little. A branch's
+importance is that of its presentation and, as far as this is always the same, of the branches and
+text that it holds. Each page is walked from its root: of the branches of an element those go that
+are less important than the greatest of them, together with those that HTML itself names as no part
+of an article.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.llm.common import Batches, map_batches, row_groups, stored, without
 
-# Pages of a host from which a node's entropy counts, and the importance that a branch must have.
-LEAST_PAGES, LEAST_IMPORTANCE = 10, 0.2
-# A branch with more than this share of a page's text (numerator, denominator) is its main text.
+# The importance that a branch must have as a share of the greatest beside it: where pages are laid
+# out alike, and in an article, in a branch that differs from page to page, and for a heading.
+LEAST_SHARE, LEAST_WITHIN = 0.95, 0.2
+# What of a presentation's weight each further style of it leaves to the content.
+LEFT_BY_STYLE = 0.9
+# Pairs of words that a task hands to Spark at once, or those of one page.
+FEATURES_AT_ONCE = 1 << 16
+# A branch with more than this share of a page's text (numerator, denominator) keeps what its name
+# would remove.
 MOST = 2, 3
 
 # Names of HTML elements by their role.
@@ -53,12 +65,15 @@ REMOVED_WORDS = frozenset(
     "sponsor sponsored subscribe toc toolbar widget widgets complementary alert disclaimer "
     "skyscraper topbar usermenu adsbygoogle adbox adslot".split()
 )
-# Words after which the one before names the element, words that say a page has or
-# lacks something elsewhere, and words that on a heading mean the heading itself.
+# Words after which the one before names the element, words that also do so if all
+# before them are such names, words for comments, words that say a page has or lacks something
+# elsewhere, and words that on a heading mean the heading itself.
 PARTS = frozenset(
     "area articles bar block bottom box button buttons form icons inner item items left link links "
     "list message posts right stories top".split()
 )
+AROUND = frozenset("container media section wrapper".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
 ELSEWHERE = frozenset("has no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEADERS = frozenset("banner header masthead".split())
@@ -83,8 +98,9 @@ TOKEN = re.compile(
 # Parts of a tag after its name: up to a value or the end, white space, a value without quotes.
 NAMES, SPACE, BARE = re.compile(r"[^>=]*+"), re.compile(r"\s*+"), re.compile(r"[^\s>]*+")
 CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
-WORDS = re.compile(r"[a-z]{2,}")
-HEX_OR_NUMBER = re.compile(r"[0-9]+")
+WORDS, CAPITAL = re.compile(r"[a-z]{2,}"), re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Numbers in names that count things; a single digit tells styles apart.
+COUNTED = re.compile(r"[0-9]{2,}")
 
 
 @dataclass
@@ -92,7 +108,7 @@ class Element:
     tag: str
     path: int
     hard: bool
-    named: bool
+    named: int
     removed: bool
     main: bool
     styled: bool
@@ -144,14 +160,17 @@ def attributes_at(source: str, at: int, last: dict[str, int]) -> tuple[dict[str,
             found.setdefault(valued, source[start:end])
 
 
-def names_no_article(tag: str, names: str, in_main: bool) -> bool:
-    """Whether a class, id or role names what is no part of an article.
+def names_no_article(tag: str, names: str, in_main: bool) -> int:
+    """Whether a class, id or role names what is no part of an article: 2 for comments, 0 if none.
 
-    The last word of each counts, as "sidebar" of "left-sidebar" or of "sidebar-box", but not of
-    "no-sidebar" or "sidebar-wrap". Of an article's own header every word but that counts.
+    The last word of each counts, as "sidebar" of "left-sidebar", "sidebar-box" or
+    "sidebar-wrapper", but not of "no-sidebar" or "content-sidebar-wrapper". A capital after a small
+    letter starts a word. Of an article's own header every word but that counts.
     """
     for name in names.split():
-        words = WORDS.findall(name)
+        words = WORDS.findall(CAPITAL.sub(" ", name).lower())
+        if len(words) > 1 and words[-1] in AROUND and REMOVED_WORDS.issuperset(words[:-1]):
+            words.pop()
         if not words or not ELSEWHERE.isdisjoint(words[:-1]):
             continue
         if tag == "header" and in_main:
@@ -161,25 +180,25 @@ def names_no_article(tag: str, names: str, in_main: bool) -> bool:
                 words.pop()
             named = REMOVED_WORDS.intersection(words[-1:])
         if named - HEADERS if tag in HEADINGS else named:
-            return True
-    return False
+            return 1 if COMMENTS.isdisjoint(named) else 2
+    return 0
 
 
 def style_of(
     tag: str, attributes: dict[str, str], in_main: bool
-) -> tuple[str, bool, bool, bool]:
+) -> tuple[str, bool, bool, int]:
     """Style of an element, whether it is more than its tag, and whether HTML or a name removes it."""
     # A header of the article itself holds its title.
     hard = tag in REMOVED and not (tag == "header" and in_main)
     found = {name: attributes[name].lower() for name in READ if name in attributes}
     if not found:
-        return tag, False, hard, False
-    names = " ".join(found.get(name, "") for name in ("class", "id", "role"))
+        return tag, False, hard, 0
+    names = " ".join(attributes.get(name, "") for name in ("class", "id", "role"))
     hard = hard or "hidden" in found or found.get("aria-hidden") == "true"
     named = names_no_article(tag, names, in_main)
-    look = HEX_OR_NUMBER.sub("0", f"{found.get('class', '')}#{found.get('id', '')}")
+    look = COUNTED.sub("0", f"{found.get('class', '')}#{found.get('id', '')}")
     page = tag in ("html", "body")
-    return f"{tag}.{look}", look != "#", hard and not page, named and not page
+    return f"{tag}.{look}", look != "#", hard and not page, 0 if page else named
 
 
 class Page:
@@ -188,7 +207,7 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[Block] = []
         self.elements: list[Element] = []
-        self.root = Element("", 0, False, False, False, False, False, None)
+        self.root = Element("", 0, False, 0, False, False, False, None)
         self.opened: list[Element] = []
         self.stack = [self.root]
         # The depths at which elements of each tag, and blocks of any tag, are open.
@@ -242,12 +261,12 @@ class Page:
             self._end_open(tag)
         above = self.stack[-1]
         style, styled, hard, named = style_of(tag, attributes, above.main)
-        removed = hard or named
+        removed = hard or named > 0
         # Runs of inline elements do not start a style of their own.
         if tag not in BLOCK and not styled and not removed:
             if tag not in VOID:
                 element = Element(
-                    tag, above.path, False, False, above.removed, above.main, False, above
+                    tag, above.path, False, 0, above.removed, above.main, False, above
                 )
                 self.opened.append(element)
                 self._push(element)
@@ -314,8 +333,9 @@ class Page:
     def _settle_names(self) -> None:
         """Takes back removals by name that would take the page's article or most of its text.
 
-        An element with <main> or with most of the text stays. So does one with an article, if all
-        articles would go: the only one of the page, or several with more text than what is left.
+        An element with <main> stays, and on a page without <main> or article one with most of the
+        text, unless it is named comments. So does one with an article, if all articles would go: the
+        only one of the page, or several with more text than what is left.
         """
         articles, inside = [], {id(self.root): (False, False)}
         for element in self.opened:
@@ -332,9 +352,11 @@ class Page:
             element.above.chars += element.chars
             element.above.holds_main |= element.holds_main
         most = self.root.chars * MOST[0]
+        plain = not articles and not self.root.holds_main
         for element in self.opened:
-            if element.holds_main or element.chars * MOST[1] > most:
-                element.named = False
+            largest = plain and element.named == 1 and element.chars * MOST[1] > most
+            if element.holds_main or largest:
+                element.named = 0
         self._remove()
         if articles and all(article.removed for article in articles):
             has_main = any(e.main and not e.removed for e in self.elements)
@@ -346,68 +368,119 @@ class Page:
             if len(articles) == 1 or sum(article.chars for article in articles) > left:
                 for element in articles:
                     while element is not None:
-                        element.named = False
+                        element.named = 0
                         element = element.above
                 self._remove()
 
     def _remove(self) -> None:
         for element in self.opened:
-            element.removed = element.above.removed or element.hard or element.named
+            element.removed = element.above.removed or element.hard or element.named > 0
 
-    def nodes(self) -> Iterator[tuple[int, int, int]]:
-        """(path, content, presentation) of every style that occurs, as hashes."""
-        held: dict[int, list[str]] = {}
-        shown: dict[int, list[str]] = {}
-        for element in self.elements:
-            shown.setdefault(element.path, []).append(" ".join(element.children))
-            held.setdefault(element.path, [])
-        for block in self.blocks:
-            text, element = block.text, block.element
-            last = None
-            while element is not None:
-                if element.path != last and element.path in held:
-                    held[element.path].append(text)
-                last, element = element.path, element.above
-        for path, texts in held.items():
-            content = xxhash.xxh64_intdigest("\n".join(texts))
-            yield path, signed(content), signed(xxhash.xxh64_intdigest("|".join(shown[path])))
-
-    def text(self, low: frozenset[int]) -> str:
-        """The blocks that are in no removed branch. `low`: paths of low importance on this host.
-
-        In a page with an article, what lies outside is no part of it, and inside only branches
-        with a class or id of their own can be of low importance. A low branch that is the page,
-        its article or most of the page's text stays with all it holds: its entropy only tells
-        that many pages have the same text.
+    def tree(self) -> Tree:
+        """The blocks that HTML and names leave, and the merged styles that hold them.
+
+        In a page with an article, what lies outside is no part of it. A branch can be removed
+        unless it is the page or its article; in an article it must have a class or id of its own.
         """
-        found = []
-        for block in self.blocks:
-            if not block.element.removed and (block.element.main or not self.has_main):
-                found.append((block.text, *self._low_branches(block.element, low)))
-        held: dict[int, int] = {}
-        for text, branches, _ in found:
-            for path in branches:
-                held[path] = held.get(path, 0) + len(text)
-        most = sum(len(text) for text, _, _ in found) * MOST[0]
-        kept = (
-            text
-            for text, branches, stays in found
-            if stays or not branches or any(held[path] * MOST[1] > most for path in branches)
-        )
-        return "\n".join(text for text in kept if text)
+        kept = [
+            block
+            for block in self.blocks
+            if block.text and not block.element.removed and (block.element.main or not self.has_main)
+        ]
+        tree = Tree([block.text for block in kept], [], [], [], [], [])
+        numbers: dict[int, int] = {0: -1}
+        styles: dict[int, list[str]] = {}
+        for element in self.elements:
+            styles.setdefault(element.path, []).append(" ".join(element.children))
+        for block in kept:
+            chain, element = [], block.element
+            while element.path not in numbers:
+                element = self._styled_above(element)
+                chain.append(element)
+                element = element.above
+            for element in reversed(chain):
+                numbers[element.path] = len(tree.paths)
+                tree.paths.append(element.path)
+                tree.above.append(numbers[element.above.path])
+                tree.kinds.append(self._kind(element))
+                shown = "|".join(styles[element.path])
+                tree.shown.append(signed(xxhash.xxh64_intdigest(shown)))
+            tree.at.append(numbers[block.element.path])
+        return tree
 
     @staticmethod
-    def _low_branches(element: Element | None, low: frozenset[int]) -> tuple[list[int], bool]:
-        """The low branches an element is in, and whether one of them is the page or its article."""
-        branches, stays = [], False
-        while low and element.above is not None:
-            if element.path in low and element.path != element.above.path:
-                if element.tag in WHOLE:
-                    stays = True
-                elif element.styled or not element.main:
-                    branches.append(element.path)
-            element = element.above
-        return branches, stays
+    def _kind(element: Element) -> int:
+        if element.tag in WHOLE or (element.main and not element.styled):
+            return STAYS
+        return WITHIN if element.main or element.tag in HEADINGS else FREE
+
+
+# Whether a branch can be removed by its importance, and by which share.
+STAYS, WITHIN, FREE = range(3)
+
+
+@dataclass
+class Tree:
+    """A page's texts in order, the style that holds each, and its styles from the root downwards.
+
+    A style has its path, the number of the style above it (-1 for none), a hash of its
+    presentation, and its kind.
+    """
+
+    texts: list[str]
+    at: list[int]
+    paths: list[int]
+    above: list[int]
+    shown: list[int]
+    kinds: list[int]
+
+    def features(self) -> Counter[tuple[int, int]]:
+        """How often each pair of neighbouring words stands in the text of each style, as hashes.
+
+        A block's first word is paired with nothing. Pages without a branch that could be removed
+        need none.
+        """
+        found: Counter[tuple[int, int]] = Counter()
+        if all(kind == STAYS for kind in self.kinds):
+            return found
+        for text, at in zip(self.texts, self.at, strict=True):
+            if at >= 0:
+                words = text.split()
+                pairs = zip(["", *words], words, strict=False)
+                path = self.paths[at]
+                found.update((path, signed(xxhash.xxh64_intdigest(f"{a} {b}"))) for a, b in pairs)
+        return found
+
+    def main(self, rated: dict[int, tuple[float, float, float]]) -> str:
+        """The text of the branches that stay.
+
+        `rated` has (pages, content, presentation) of the host's styles; others are important. Of
+        the branches and the text of an element the most important stays, so a page never loses all,
+        and importance counts for more the fewer pages tell of it.
+        """
+        count = len(self.paths)
+        unrated = (1.0, 1.0, 1.0)
+        own, parts = [False] * count, [[] for _ in range(count)]
+        top: list[float] = []
+        for at in self.at:
+            if at >= 0:
+                own[at] = True
+        worth = [0.0] * count
+        for i in reversed(range(count)):
+            _, content, shown = rated.get(self.paths[i], unrated)
+            held = parts[i] + ([content] if own[i] else [])
+            worth[i] = shown + (1 - shown) * sum(held) / len(held)
+            (parts[self.above[i]] if self.above[i] >= 0 else top).append(worth[i])
+        stays = []
+        for i, (path, above, kind) in enumerate(zip(self.paths, self.above, self.kinds, strict=True)):
+            pages = rated.get(path, unrated)[0]
+            _, content, shown = rated.get(self.paths[above], unrated) if above >= 0 else unrated
+            beside = parts[above] + ([content] if own[above] else []) if above >= 0 else top
+            share = LEAST_SHARE if kind == FREE and (above < 0 or shown < 0.5) else LEAST_WITHIN
+            low = kind != STAYS and worth[i] + 1 / pages < share * max(beside)
+            stays.append(not low and (above < 0 or stays[above]))
+        kept = (t for t, at in zip(self.texts, self.at, strict=True) if at < 0 or stays[at])
+        return "\n".join(kept)
 
 
 def host_of(url: Column) -> Column:
@@ -416,75 +489,128 @@ def host_of(url: Column) -> Column:
     return F.coalesce(found, F.lit(""))
 
 
-def style_nodes(pages: DataFrame, column: str = "html") -> DataFrame:
-    """(host, path, content, presentation): one row for each distinct page and style in it.
+LISTS = {"texts": pa.string(), "at": pa.int32(), "paths": pa.int64(), "above": pa.int32(),
+         "shown": pa.int64(), "kinds": pa.int32()}
+LISTED = (
+    "texts array<string>, at array<int>, paths array<long>, above array<int>, shown array<long>, "
+    "kinds array<int>"
+)
+
 
-    Pages of a host with the same styles that hold the same texts are one page. Their rows combine
-    before the exchange, by page and path, so a page in very many copies is no large group.
-    """
+def trees(hosted: DataFrame) -> DataFrame:
+    """(page, host, digest, and the lists of `Tree`) of (page, host, html), parsed once and stored."""
+    own = hosted.select("page", "host", F.lit(0).cast("long").alias("digest")).schema
+    schema = StructType(own.fields + StructType.fromDDL(LISTED).fields)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for group in row_groups(batch, column):
-                hosts = group.column("host").to_pylist()
-                rows = []
-                for host, source in zip(hosts, group.column(column).to_pylist(), strict=True):
-                    nodes = list(Page(source or "").nodes())
-                    page = signed(xxhash.xxh64_intdigest(repr(nodes)))
-                    rows += [(host, page, *node) for node in nodes]
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = (pa.string(), *[pa.int64()] * 4)
+            for group in row_groups(batch, "html"):
+                found = [Page(x or "").tree() for x in group.column("html").to_pylist()]
+                digests = [
+                    signed(xxhash.xxh64_intdigest(repr((t.texts, t.at, t.paths, t.shown))))
+                    for t in found
+                ]
+                lists = [
+                    pa.array([getattr(t, name) for t in found], pa.list_(kind))
+                    for name, kind in LISTS.items()
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                    ["host", "page", "path", "content", "presentation"],
+                    [group.column("page"), group.column("host"), pa.array(digests, pa.int64()), *lists],
+                    ["page", "host", "digest", *LISTS],
                 )
 
-    schema = "host string, page long, path long, content long, presentation long"
-    nodes = map_batches(pages.select("host", column), run, schema)
-    once = nodes.groupBy("host", "page", "path")
-    return once.agg(
-        F.min("content").alias("content"), F.min("presentation").alias("presentation")
-    ).drop("page")
+    return stored(map_batches(hosted, run, schema), "html-trees")
 
 
-def _entropies(nodes: DataFrame, what: str) -> DataFrame:
-    """(host, path, pages, entropy): of a hash over the pages, 1 where all differ.
+def weighed(parsed: DataFrame) -> DataFrame:
+    """The trees with `weight`: all copies of a page on its host weigh one together.
 
-    Values are counted first and sums combine before both exchanges, so a host with very many pages
-    sends no more rows than it has tasks.
+    Only pages that have copies are joined; their copies are counted by partial sums.
     """
-    counts = nodes.groupBy("host", "path", what).agg(F.count("*").alias("n"))
-    sums = counts.groupBy("host", "path").agg(
-        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("mass")
-    )
-    entropy = 1 - F.col("mass") / (F.col("pages") * F.log("pages"))
-    return sums.select(
-        "host", "path", "pages", F.when(F.col("pages") > 1, entropy).otherwise(1.0).alias(what)
-    )
+    copies = parsed.groupBy("host", "digest").agg(F.count("*").alias("copies")).filter("copies > 1")
+    weight = 1 / F.coalesce("copies", F.lit(1))
+    columns = ["host", *LISTS]
+    return parsed.join(copies, ["host", "digest"], "left").select(*columns, weight.alias("weight"))
 
 
-def unimportant(nodes: DataFrame, least_pages: int, least_importance: float) -> DataFrame:
-    """(host, low): the paths of low importance of each host that has any."""
-    nodes = stored(nodes, "html-nodes")
-    content, shown = _entropies(nodes, "content"), _entropies(nodes, "presentation").drop("pages")
-    rated = content.filter(F.col("pages") >= least_pages).join(shown, ["host", "path"])
-    low = rated.filter(F.greatest("content", "presentation") < least_importance)
-    return low.groupBy("host").agg(F.collect_set("path").alias("low"))
+def _page_features(rows: DataFrame) -> DataFrame:
+    """(host, path, feature, n, mass): counts c of a page, and c ln c, both times its weight."""
+
+    def written(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        columns = zip(zip(*rows, strict=True), kinds, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values, kind) for values, kind in columns],
+            ["host", "path", "feature", "n", "mass"],
+        )
+
+    def run(batches: Batches) -> Batches:
+        out: list[tuple] = []
+        for batch in batches:
+            columns = [batch.column(name) for name in ("host", "weight", *LISTS)]
+            for i in range(batch.num_rows):
+                host, weight, *lists = (column[i].as_py() for column in columns)
+                for (path, pair), count in Tree(*lists).features().items():
+                    n = weight * count
+                    out.append((host, path, pair, n, n * math.log(count)))
+                if len(out) >= FEATURES_AT_ONCE:
+                    yield written(out)
+                    out = []
+        if out:
+            yield written(out)
+
+    schema = "host string, path long, feature long, n double, mass double"
+    return map_batches(rows, run, schema)
+
+
+def ratings(parsed: DataFrame) -> DataFrame:
+    """(host, path, pages, content, presentation) of the styles of each host.
+
+    Sums over pages combine before every exchange, so a host with very many pages sends no more
+    rows than its tasks have styles and pairs of words. `presentation` is its entropy, 0 to 1, times
+    the weight that its number of styles gives it; `content` is 1 less the mean entropy of the
+    pairs, 1 where there are none.
+    """
+    rows = weighed(parsed)
+    style = F.explode(F.arrays_zip("paths", "shown")).alias("style")
+    styles = rows.select("host", "weight", style).select(
+        "host", "weight", F.col("style.paths").alias("path"), F.col("style.shown").alias("shown")
+    )
+    styles = styles.groupBy("host", "path", "shown").agg(F.sum("weight").alias("n"))
+    entropy = F.log("pages") - F.col("mass") / F.col("pages")
+    weight = 1 - F.pow(F.lit(LEFT_BY_STYLE), F.col("styles") - 1)
+    shown = (
+        styles.groupBy("host", "path")
+        .agg(
+            F.sum("n").alias("pages"),
+            F.sum(F.col("n") * F.log("n")).alias("mass"),
+            F.count("*").alias("styles"),
+        )
+        .filter("pages > 1.5")
+        .select("host", "path", "pages", (weight * entropy / F.log("pages")).alias("presentation"))
+    )
+    pairs = _page_features(rows).groupBy("host", "path", "feature")
+    pairs = pairs.agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+    pair_entropy = F.log("n") - F.col("mass") / F.col("n")
+    content = pairs.groupBy("host", "path").agg(F.avg(pair_entropy).alias("mean"))
+    lost = F.coalesce(F.col("mean") / F.log("pages"), F.lit(0.0))
+    return shown.join(content, ["host", "path"], "left").select(
+        "host",
+        "path",
+        F.round("pages", 6).alias("pages"),
+        F.round(1 - lost, 9).alias("content"),
+        F.round("presentation", 9).alias("presentation"),
+    )
 
 
-def main_text(
-    pages: DataFrame,
-    least_pages: int = LEAST_PAGES,
-    least_importance: float = LEAST_IMPORTANCE,
-    url: str = "url",
-    column: str = "html",
-) -> DataFrame:
+def main_text(pages: DataFrame, url: str = "url", column: str = "html") -> DataFrame:
     """The rows of `pages` with `text` (main text) and `n_chars` instead of the HTML.
 
-    Null and empty pages have an empty text. Pages without a host form a site of their own; sites
-    of fewer than `least_pages` distinct pages lose no branch by its entropy. The trees are merged in one
-    pass; the paths of low importance of each host, a few for each, are joined to the second one by
-    Spark's choice. Repeated rows stay repeated; columns `text` and `n_chars` give way.
+    Null and empty pages have an empty text. Pages without a host form a site of their own; a page
+    alone on its host loses no branch by its importance, and copies of a page on a host count as one.
+    Pages are parsed once; what is stored of them is met by the ratings of their host's styles,
+    of which only those go along that lack importance. Repeated rows stay repeated; ties in
+    importance stay; an empty table gives an empty one; columns `text` and `n_chars` give way.
     """
     pages = without(pages, "text", "n_chars")
     kept = [c for c in pages.columns if c != column]
@@ -493,19 +619,28 @@ def main_text(
         host_of(F.col(url)).alias("host"),
         F.col(column).alias("html"),
     )
-    low = stored(unimportant(style_nodes(hosted), least_pages, least_importance), "html-low")
-    joined = hosted.join(low, "host", "left").select("page", "html", "low")
+    parsed = trees(hosted)
+    rated = ratings(parsed).filter(F.col("presentation") < 0.99)
+    rated = rated.groupBy("host").agg(
+        F.collect_list(F.struct("path", "pages", "content", "presentation")).alias("rated")
+    )
+    joined = parsed.join(stored(rated, "html-ratings"), "host", "left")
+    joined = joined.select("page", *LISTS, "rated")
     schema = joined.select("page", F.lit("").alias("text")).schema
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for group in row_groups(batch, "html"):
-                lows = [frozenset(x or ()) for x in group.column("low").to_pylist()]
-                sources = group.column("html").to_pylist()
-                texts = [Page(s or "").text(x) for s, x in zip(sources, lows, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [group.column("page"), pa.array(texts, pa.string())], ["page", "text"]
-                )
+            texts = []
+            lists = [batch.column(name) for name in (*LISTS, "rated")]
+            for i in range(batch.num_rows):
+                *tree, found = (column[i].as_py() for column in lists)
+                host = {
+                    r["path"]: (r["pages"], r["content"], r["presentation"]) for r in found or ()
+                }
+                texts.append(Tree(*tree).main(host))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page"), pa.array(texts, pa.string())], ["page", "text"]
+            )
 
     found = map_batches(joined, run, schema)
     return found.select("page.*", "text", F.char_length("text").cast("long").alias("n_chars"))
