@@ -525,12 +525,15 @@ def trees(hosted: DataFrame) -> DataFrame:
 def weighed(parsed: DataFrame) -> DataFrame:
     """The trees with `weight`: all copies of a page on its host weigh one together.
 
-    Only pages that have copies are joined; their copies are counted by partial sums.
+    Only pages that have copies are joined; their copies are counted by partial sums. Texts of
+    pages without a branch that could be removed are not needed and stay behind.
     """
+    removable = F.exists("kinds", lambda kind: kind != STAYS)
+    slim = parsed.withColumns({name: F.when(removable, F.col(name)) for name in ("texts", "at")})
     copies = parsed.groupBy("host", "digest").agg(F.count("*").alias("copies")).filter("copies > 1")
     weight = 1 / F.coalesce("copies", F.lit(1))
     columns = ["host", *LISTS]
-    return parsed.join(copies, ["host", "digest"], "left").select(*columns, weight.alias("weight"))
+    return slim.join(copies, ["host", "digest"], "left").select(*columns, weight.alias("weight"))
 
 
 def _page_features(rows: DataFrame) -> DataFrame:
