@@ -71,6 +71,20 @@ def test_rejection():
     assert langid.rejection([], [0.5], 0.001, 0.6) == 0.0
 
 
+def test_texts_without_blanks_send_bounded_windows(spark):
+    """A million letters without a blank are one word; windows and counts stay small."""
+    signs = "".join(chr(0x4E00 + i * 7919 % 20_000) for i in range(1_000_000))
+    rows = [(i, signs[i:] + signs[:i], "zh", "s") for i in range(20)]
+    windows, texts = langid.training_windows(documents(spark, rows), 600, 7)
+    assert 3 * 10 < len(windows) <= 3 * 20
+    longest = langid.ORDERS * (max(langid.WINDOW_WORDS) * langid.WORD_CHARS + 2)
+    assert max(len(buckets) for _, _, buckets in windows) <= longest
+    assert all(len(buckets) <= 1 << langid.BUCKET_BITS for _, buckets, _ in texts)
+    lengths = {len(langid.window_of(["x" * 40] * 300, size, 5)) for size in langid.WINDOW_WORDS}
+    assert lengths == {size * langid.WORD_CHARS for size in langid.WINDOW_WORDS}
+    assert langid.window_of(["ab", "cd", "ef"], 4, 5) == "ab cd ef"
+
+
 def test_same_result_again(spark):
     first, second = small_model(spark), small_model(spark)
     assert np.array_equal(first.embeddings, second.embeddings)

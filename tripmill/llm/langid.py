@@ -26,8 +26,9 @@ ORDERS = 4
 DIMENSIONS = 16
 # Characters whose features are held at once; a word across such a border counts as two.
 CHUNK_CHARS = 1 << 19
-# Words of the windows that one sampled text gives to the training.
-WINDOW_WORDS = (4, 12, 160)
+# Words of the windows that one sampled text gives to the training, and the most characters that
+# such a window has for each of them, for texts without blanks.
+WINDOW_WORDS, WORD_CHARS = (4, 12, 160), 32
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 CALIBRATION_SHARE = 5
 # Groups of languages that are left out in turn, and the share of their texts to be rejected.
@@ -123,7 +124,8 @@ def training_windows(
 
     Rows are chosen by a hash of key and text at the rate that gives `per_language` rows of each
     language, twice that at most. Rows that are held out, or lack a language, a key or letters,
-    are not learned from.
+    are not learned from. Only windows of bounded size and counts by bucket leave the tasks, so a
+    text of any length sends under half a megabyte.
     """
     labelled = docs.select(
         F.col("doc_id").alias("id"), F.col("text").alias("text"), F.col("lang").alias("lang")
@@ -139,7 +141,7 @@ def training_windows(
     ]
     drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(span))
     sample = labelled.filter(drawn < F.create_map(*limits)[F.col("lang")])
-    sample = sample.limit(2 * per_language * len(counts))
+    most = 2 * per_language * len(counts) * (1 + len(WINDOW_WORDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,8 +159,7 @@ def training_windows(
                     pairs = np.concatenate((own, counts[own])).astype("<i4").tobytes()
                     rows.append((row["lang"], mark, 0, pairs))
                 for size in WINDOW_WORDS:
-                    at = mark % max(1, len(words) - size)
-                    window = " ".join(words[at : at + size])
+                    window = window_of(words, size, mark)
                     buckets = np.concatenate([np.zeros(0, np.int64), *features(window)])
                     if len(buckets):
                         rows.append(
@@ -176,7 +177,7 @@ def training_windows(
             )
 
     found = map_batches(sample, run, "lang string, mark long, size int, buckets binary")
-    rows = sorted(tuple(row) for row in found.collect())
+    rows = found.limit(most).orderBy("lang", "mark", "size", "buckets").collect()
     windows = [
         (lang, held_back(mark), np.frombuffer(buckets, "<i4"))
         for lang, mark, size, buckets in rows
@@ -190,6 +191,14 @@ def training_windows(
     return windows, texts
 
 
+def window_of(words: list[str], size: int, mark: int) -> str:
+    """Some words in a row, at a place by a hash; a part of them where they are very long."""
+    at = mark % max(1, len(words) - size)
+    window, most = " ".join(words[at : at + size]), size * WORD_CHARS
+    at = mark % max(1, len(window) - most) if len(window) > most else 0
+    return window[at : at + most]
+
+
 def held_back(mark: int) -> bool:
     return (mark >> 8) % CALIBRATION_SHARE == 0
 
