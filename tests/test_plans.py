@@ -107,3 +107,8 @@ def test_same_rows_when_the_lookup_is_too_large_to_broadcast(spark, data_dir, mo
     result = queries()[name](spark, data_dir)
     expected = rows_of_sql(connect(data_dir), ORACLE_SQL[name])
     assert rows_of_spark(result) == expected
+
+
+def test_trips_are_built_by_more_tasks_than_their_table_has_row_groups(spark, data_dir):
+    plan = plan_of(fixtures.raw_trips(spark, data_dir))
+    assert re.search(r"Exchange hashpartitioning\(event_id", plan)

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import by_id, land, stations, trip, trips, two_stations
+from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget
+from tripmill.operators.survivors import latest_trip
 from tripmill.plans.dim_station import build_dim_station
 from tripmill.plans.fact_trip import build_fact_trip
 from tripmill.plans.marts import MARTS, hourly_demand
@@ -24,7 +27,9 @@ from tripmill.streaming.sink import (
     TripSink,
     fact_table,
     load_table,
+    parsed_once,
     quarantine_table,
+    version,
 )
 
 DAY = "2024-05-01"
@@ -404,3 +409,43 @@ def test_refresh_reads_only_touched_dates(spark, pipeline, monkeypatch):
     )
     refresh_touched_dates(spark, sink.fact, refresh_logs(gold), partitioned_marts(gold))
     assert {str(dates) for path, dates in read if path == sink.fact.path} == {f"['{DAY}']"}
+
+
+def test_only_rows_without_an_id_are_kept_as_they_came(spark):
+    kept = parsed_once(trips(spark, trip("1"), trip(None, bike_id=" x ")))
+    assert [(r.trip_id, r._raw and r._raw.bike_id) for r in kept.sort("trip_id").collect()] == [
+        (None, " x "), ("1", None)
+    ]
+    kept.unpersist()
+
+
+@pytest.mark.parametrize("match_dates", [True, False])
+def test_a_load_is_shuffled_once_for_its_comparison(spark, tmp_path, match_dates):
+    sink = Pipeline(spark, tmp_path, stream_id="s", match_dates=match_dates).sink
+    raw = trips(spark, trip("1"), trip("2"))
+    sink(raw, 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        stored = sink.fact.read_versions(spark).withColumn("version", version())
+        met = sink._compare(latest_trip(normalise_trips(raw)), stored)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize(("hour", "written"), [(9, 0), (11, 0), (12, 0), (13, 1)])
+def test_a_version_among_several_stored_ones(spark, tmp_path, hour, written):
+    def at(hour):
+        return trip("1", event_created_at=f"2024-05-01T{hour:02}:00:00+00:00")
+
+    pipeline = Pipeline(spark, tmp_path, stream_id="s", skip_known=False)
+    for batch_id, stored in enumerate((10, 12, 12)):
+        pipeline.sink(trips(spark, at(stored)), batch_id)
+    sink = replace(pipeline.sink, skip_known=True)
+    sink(trips(spark, at(hour), trip("2")), 3)
+    loaded = pipeline.sink.fact.read_versions(spark).filter("load_batch = 's-3'")
+    assert sorted(r.trip_id for r in loaded.collect()) == ["1"] * written + ["2"]
+    noted = sink.fact.versions.read(spark).filter("load_batch = 's-3'").count()
+    assert noted == (1 if hour > 10 else 0)
