@@ -112,3 +112,17 @@ def test_same_rows_when_the_lookup_is_too_large_to_broadcast(spark, data_dir, mo
 def test_trips_are_built_by_more_tasks_than_their_table_has_row_groups(spark, data_dir):
     plan = plan_of(fixtures.raw_trips(spark, data_dir))
     assert re.search(r"Exchange hashpartitioning\(event_id", plan)
+
+
+def test_derived_columns_are_not_shuffled(spark):
+    raw, nothing_fits = trips(spark, trip()), BroadcastBudget(limit_bytes=0, known_bytes=1)
+    facts = build_fact_trip(raw, build_dim_station(two_stations(spark)), nothing_fits)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS trip_hour") == 1
+    assert plan.index("AS trip_hour") < plan.index("Join")
+
+
+def test_visits_of_large_trips_read_their_columns(spark, data_dir):
+    visits = fixtures.raw_trips_large(spark, data_dir).select("start_station_id", "end_station_id")
+    columns = set.union(*[scanned(line) for line in scans(visits) if "l_suppkey" in line])
+    assert {re.sub("#.*", "", c) for c in columns} == {"l_orderkey", "l_partkey", "l_suppkey"}
