@@ -127,3 +127,14 @@ def test_pairs_of_streams_over_batches(spark, tmp_path):
     assert ("1", "ended") in first and ("5", "ended") in first and ("2", "open") not in first
     far = run([departed("FAR", 900)], [arrived("FAR2", 900)])
     assert far == sorted(STATUS, key=repr)
+
+
+def test_a_batch_keeps_only_what_it_counts(spark, tmp_path, monkeypatch):
+    kept, placed = [], WindowSink._placed
+    monkeypatch.setattr(
+        WindowSink, "_placed", lambda sink, df: kept.append(set(df.columns)) or placed(sink, df)
+    )
+    WindowSink(str(tmp_path / "windows"))(trips(spark, trip()), 0)
+    assert kept == [
+        {"trip_id", "bike_id", "bike_type", "start_time", "end_time", "trip_duration_minutes"}
+    ]

@@ -28,6 +28,8 @@ from tripmill.sources.tables import PartitionedTable, rebalanced
 BATCH = "batch_id"
 # Length and step of each kind of window; a step shorter than the length makes windows overlap.
 KINDS = {"hour": ("1 hour", "1 hour"), "quarter_day": ("6 hours", "1 hour")}
+# What is counted or set aside of a trip; nothing else is kept of a batch.
+COUNTED = ["trip_id", "bike_id", "bike_type", "start_time", "end_time", "trip_duration_minutes"]
 PARTIAL = f"""
     kind STRING, window_start TIMESTAMP, window_end TIMESTAMP, bike_type STRING,
     trip_count BIGINT, duration BIGINT, {BATCH} BIGINT
@@ -67,7 +69,7 @@ class WindowSink:
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
         trips = latest_trip(keyed(normalise_trips(raw))).filter("start_time is not null")
-        trips = trips.persist(StorageLevel.MEMORY_AND_DISK)
+        trips = trips.select(*COUNTED).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             placed = self._placed(trips)
             closed = F.col("w.end") <= self.watermark(spark, before=batch_id)
