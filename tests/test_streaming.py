@@ -413,6 +413,7 @@ def test_refresh_reads_only_touched_dates(spark, pipeline, monkeypatch):
 
 def test_only_rows_without_an_id_are_kept_as_they_came(spark):
     kept = parsed_once(trips(spark, trip("1"), trip(None, bike_id=" x ")))
+    assert not {"trip_hour", "trip_duration_minutes", "is_round_trip"} & set(kept.columns)
     assert [(r.trip_id, r._raw and r._raw.bike_id) for r in kept.sort("trip_id").collect()] == [
         (None, " x "), ("1", None)
     ]
