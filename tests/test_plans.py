@@ -114,6 +114,16 @@ def test_trips_are_built_by_more_tasks_than_their_table_has_row_groups(spark, da
     assert re.search(r"Exchange hashpartitioning\(event_id", plan)
 
 
+def test_trips_are_built_by_as_many_tasks_as_cores_and_rows_ask_for(spark, data_dir, monkeypatch):
+    def tasks():
+        plan = plan_of(fixtures.raw_trips(spark, data_dir))
+        return int(re.search(r"Exchange hashpartitioning\(event_id[^)]*, (\d+)\)", plan)[1])
+
+    assert tasks() == 2 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(fixtures, "TRIPS_PER_TASK", 100)
+    assert tasks() == fixtures.table(spark, data_dir, "events").count() // 100
+
+
 def test_derived_columns_are_not_shuffled(spark):
     raw, nothing_fits = trips(spark, trip()), BroadcastBudget(limit_bytes=0, known_bytes=1)
     facts = build_fact_trip(raw, build_dim_station(two_stations(spark)), nothing_fits)
