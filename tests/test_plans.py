@@ -9,11 +9,12 @@ import pytest
 from tests.helpers import trip, trips, two_stations
 from tests.oracle import connect, rows_of_spark, rows_of_sql
 from tripmill import fixtures
+from tripmill.operators.cleaning import normalise_trips
 from tripmill.operators.lookup import BroadcastBudget, active_station_lookup, payload_bytes
 from tripmill.oracle_sql import ORACLE_SQL
 from tripmill.plans import marts, questions
 from tripmill.plans.dim_station import build_dim_station
-from tripmill.plans.fact_trip import build_fact_trip
+from tripmill.plans.fact_trip import build_fact_trip, enrich_trips
 from tripmill.queries import queries
 from tripmill.sources.tables import SnapshotTable
 
@@ -124,6 +125,21 @@ def test_trips_are_built_by_as_many_tasks_as_cores_and_rows_ask_for(spark, data_
     assert tasks() == fixtures.table(spark, data_dir, "events").count() // 100
 
 
+def test_rows_are_rebalanced_before_joins_that_shuffle_nothing(spark):
+    raw, dim = trips(spark, trip(), trip("2", start_station_id="x")), two_stations(spark)
+    trip_rows, stations = normalise_trips(raw), build_dim_station(dim)
+    found = []
+    for limit in (64 << 20, 0):
+        facts = enrich_trips(
+            trip_rows, stations, BroadcastBudget(limit_bytes=limit), write_by=["trip_date"]
+        )
+        plan = facts._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RebalancePartitions") == 1
+        assert (plan.index("RebalancePartitions") < plan.index("Join")) == (limit == 0)
+        found.append(sorted(map(str, facts.drop("load_dt").collect())))
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
 def test_derived_columns_are_not_shuffled(spark):
     raw, nothing_fits = trips(spark, trip()), BroadcastBudget(limit_bytes=0, known_bytes=1)
     facts = build_fact_trip(raw, build_dim_station(two_stations(spark)), nothing_fits)
