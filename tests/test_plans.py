@@ -140,6 +140,14 @@ def test_rows_are_rebalanced_before_joins_that_shuffle_nothing(spark):
     assert found[0] == found[1] and len(found[0]) == 2
 
 
+def test_a_lookup_whose_bound_is_too_large_is_measured(spark, data_dir, monkeypatch):
+    monkeypatch.setattr(fixtures, "LOOKUP_ROW_BYTES", 1 << 40)
+    budget = fixtures.station_budget(spark, data_dir)
+    lookup = active_station_lookup(build_dim_station(fixtures.raw_stations(spark, data_dir)))
+    assert budget.admits(lookup)
+    assert budget.measured(lookup).known_bytes == payload_bytes(lookup)
+
+
 def test_derived_columns_are_not_shuffled(spark):
     raw, nothing_fits = trips(spark, trip()), BroadcastBudget(limit_bytes=0, known_bytes=1)
     facts = build_fact_trip(raw, build_dim_station(two_stations(spark)), nothing_fits)
