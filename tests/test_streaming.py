@@ -436,6 +436,33 @@ def test_a_load_is_shuffled_once_for_its_comparison(spark, tmp_path, match_dates
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+@pytest.mark.parametrize(("match_dates", "limit_bytes"), [(True, 0), (False, 64 << 20)])
+def test_a_replay_is_not_compared_with_itself(
+    spark, tmp_path, monkeypatch, match_dates, limit_bytes
+):
+    """Only rows of other loads, on the dates of the batch if these count, need a comparison."""
+    compared, real = [], TripSink._compare
+
+    def compare(sink, new, stored):
+        compared.append(stored.count())
+        return real(sink, new, stored)
+
+    monkeypatch.setattr(TripSink, "_compare", compare)
+    options = {"match_dates": match_dates, "budget": BroadcastBudget(limit_bytes=limit_bytes)}
+    sink = Pipeline(spark, tmp_path, stream_id="s", **options).sink
+    later = {"event_created_at": "2024-05-01T12:00:00+00:00", "bike_id": "later"}
+    for batch_id in (0, 0):
+        sink(trips(spark, trip("1"), trip("2"), trip(None)), batch_id)
+    assert compared == []
+    assert load_table(sink.fact).read(spark).count() == 1
+    sink(trips(spark, trip("2"), trip("1", **later)), 1)
+    assert compared == [2]
+    sink(trips(spark, trip("1"), trip("2"), trip(None)), 0)
+    assert compared == [2, 1]
+    assert by_id(sink.fact.read(spark), "bike_id") == {"1": "LATER", "2": "BK1"}
+    assert sink.quarantine.read(spark).count() == 1
+
+
 @pytest.mark.parametrize(("hour", "written"), [(9, 0), (11, 0), (12, 0), (13, 1)])
 def test_a_version_among_several_stored_ones(spark, tmp_path, hour, written):
     def at(hour):
