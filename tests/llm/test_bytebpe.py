@@ -4,6 +4,7 @@ import base64
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -69,3 +70,40 @@ def test_round_trip_of_odd_rows(spark, library):
 
 def test_empty_table(spark):
     assert rows_of(bytebpe.encode(empty(spark), PATH, PATTERN)) == []
+
+
+ODD = st.text(alphabet="aeth'śrvelmdLT  \n\t 　é日1٣½²!?’-😀\x1c\u0085", max_size=60)
+
+
+@pytest.fixture(scope="module")
+def searched():
+    """The same pieces by a pattern that is searched for."""
+    return bytebpe.ByteBpe(bytebpe.read_ranks(PATH), f"(?:{PATTERN})")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ODD, max_size=8), st.integers(1, 30))
+def test_classes_cut_as_the_pattern_does(codec, searched, texts, size):
+    assert codec.by_class and not searched.by_class
+    with pytest.MonkeyPatch.context() as patch:
+        expected = searched.encode_all(texts)
+        assert codec.encode_all(texts) == expected
+        patch.setattr(bytebpe, "STREAMED_CHARS", size)
+        assert codec.encode_all(texts) == expected
+        assert searched.encode_all(texts) == expected
+
+
+def test_texts_are_not_searched_and_met_pieces_not_merged_again(codec, monkeypatch):
+    monkeypatch.setattr(codec, "pattern", None)
+    text = "one xqzjw two xqzjw's, three"
+    expected = codec.encode_all([text])
+    monkeypatch.setattr(codec, "merge_rows", None)
+    assert codec.encode_all([text, None, text]) == [expected[0], b"", expected[0]]
+
+
+def test_ids_of_slices_and_broken_ids(codec):
+    texts = pa.array(["a b", None, "", "don't", "日本 x"]).slice(1, 4)
+    ids = codec.encode_array(texts)
+    assert codec.decode_array(ids).to_pylist() == [b"", b"", b"don't", "日本 x".encode()]
+    with pytest.raises(ValueError):
+        codec.decode_array(pa.array([b"\0\0\0"]))
