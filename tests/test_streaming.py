@@ -477,3 +477,32 @@ def test_a_version_among_several_stored_ones(spark, tmp_path, hour, written):
     assert sorted(r.trip_id for r in loaded.collect()) == ["1"] * written + ["2"]
     noted = sink.fact.versions.read(spark).filter("load_batch = 's-3'").count()
     assert noted == (1 if hour > 10 else 0)
+
+
+def test_a_stream_with_state_keeps_it_on_disk_and_rebalances_its_writes(spark, pipeline):
+    sent = [trip(str(n), event_created_at=f"{DAY}T10:{n}:00+00:00") for n in range(10, 50)]
+    for name in range(4):
+        land(pipeline.landing, DAY, str(name), *sent[name::4])
+    names = ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")
+    before = [spark.conf.get(name) for name in names]
+    options = {"watermark_delay": "1 hour", "state_partitions": 5}
+    assert pipeline.drain(**options).count() == 40
+    assert [spark.conf.get(name) for name in names] == before
+    state = pipeline.root / "checkpoint" / "state" / "0"
+    assert {f.name for f in state.iterdir() if f.name.isdigit()} == {str(n) for n in range(5)}
+    assert list(state.glob("0/*.zip")) and not list(state.glob("0/*.delta"))
+    # One file of the date, where every task wrote one.
+    assert len(list((pipeline.root / "fact").glob("*/*/*.parquet"))) == 1
+    land(pipeline.landing, DAY, "again", *sent[:10], trip("new"))
+    assert pipeline.drain(**options).count() == 41
+
+
+def test_a_state_store_that_the_session_names_is_kept(spark, pipeline):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, spark.conf.get(provider))
+    try:
+        land(pipeline.landing, DAY, "a", trip("1"))
+        assert pipeline.drain(watermark_delay="1 hour").count() == 1
+    finally:
+        spark.conf.unset(provider)
+    assert list((pipeline.root / "checkpoint" / "state" / "0").glob("0/*.delta"))
